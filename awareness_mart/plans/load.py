@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +15,7 @@ from ..operators.keys import assign_keys, fill_keys, highest_key
 from ..sources.feeds import FLATTEN, accepted, children_of, only_active, read_feed
 from ..sources.hr import active_hr_units
 from ..sources.masters import stage_phishing_campaigns, stage_training_names, stage_units
-from ..sources.store import MartStore
+from ..sources.store import MartStore, written
 from . import facts
 from .campaigns import campaign_source
 from .templates import new_templates
@@ -76,13 +76,31 @@ def _load_dimension(
 ) -> DataFrame:
     """Load a history-keeping dimension: closed rows are added to its history slice."""
     surrogate = store.schemas[table].names[0]
-    rows = scd2_changes(
-        store.read(table, "current"), source, keys, tracked, surrogate=surrogate, **options
+    changes = written(
+        scd2_changes(
+            store.read(table, "current"), source, keys, tracked, surrogate=surrogate, **options
+        )
     )
-    keyed = fill_keys(rows, surrogate, keys, highest_key(store.read(table), surrogate))
+    keyed = fill_keys(changes, surrogate, keys, highest_key(store.read(table), surrogate))
     return store.write(table, keyed, history=~F.col("is_current"))
 
 
+def _merge_fact(
+    store: MartStore,
+    table: str,
+    rows: DataFrame,
+    merge: Callable[[DataFrame, DataFrame], DataFrame],
+    keys: list[str],
+) -> DataFrame:
+    """Merge mapped rows into a fact. They are written first: updates and inserts both read them."""
+    fact = store.read(table)
+    surrogate = store.schemas[table].names[0]
+    merged = merge(fact, written(rows))
+    return store.write(
+        table, fill_keys(merged, surrogate, keys, highest_key(fact, surrogate))
+    )
+
+
 def run_load(
     store: MartStore,
     landed: dict[str, str],
@@ -160,23 +178,12 @@ def run_load(
     settled = ~F.col("is_current") & (F.col("start_date_key") != day_key)
     store.write("bridge_user_unit", bridge, history=settled)
 
-    fact = store.read("fact_recipient")
     rows = facts.recipient_rows(
         staged["recipients"], staged["tests"], dim_user, dim_campaign, dim_template, dates
     )
-    merged = facts.merge_recipients(fact, rows)
-    key = "pst_recipient_key"
-    store.write(
-        "fact_recipient", fill_keys(merged, key, ["pst_id", "user_key"], highest_key(fact, key))
-    )
-
-    fact = store.read("fact_enrollment")
+    _merge_fact(store, "fact_recipient", rows, facts.merge_recipients, ["pst_id", "user_key"])
     rows = facts.enrollment_rows(staged["enrollments"], dim_user, dim_campaign, dates)
-    merged = facts.merge_enrollments(fact, rows)
-    key = "enrollment_key"
-    store.write(
-        "fact_enrollment", fill_keys(merged, key, ["enrollment_id"], highest_key(fact, key))
-    )
+    _merge_fact(store, "fact_enrollment", rows, facts.merge_enrollments, ["enrollment_id"])
 
     fact = store.read("fact_snapshot")
     rows = facts.snapshot_rows(

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-_LOG = "seq BIGINT, name STRING, version STRING"
+_LOG = "seq BIGINT, name STRING, version STRING, keeps_history BOOLEAN"
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -43,6 +43,17 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/awareness-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame) -> DataFrame:
+    """The same rows, written to the shared scratch folder and read back.
+
+    For an intermediate that several steps use: it is computed once, and a lost
+    executor costs a file read instead of the whole lineage.
+    """
+    path = scratch_dir(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class MartStore:
     """One load's view of the tables below ``root``."""
 
@@ -50,26 +61,33 @@ class MartStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self.schemas = schemas
-        self.run = uuid.uuid4().hex
-        self.seq, self.published = self._published()
-        self.pending: list[str] = []
+        self.published: dict[str, list[tuple[str, bool]]] = {}
+        self.pending: dict[str, bool] = {}
+        self.seq = 0
+        self._read_log()
+        self._next_run()
 
-    def _published(self) -> tuple[int, dict[str, list[str]]]:
-        """Published versions per table, oldest first: one small log row per table and load."""
+    def _next_run(self) -> None:
+        self.run = f"v{uuid.uuid4().hex}"
+
+    def _read_log(self) -> None:
+        """Published versions per table, oldest first: one small row per table and load."""
         try:
             rows = self.spark.read.schema(_LOG).json(f"{self.root}/_published").collect()
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            rows = []
-        versions: dict[str, list[str]] = {}
+            return
         for row in sorted(rows, key=lambda r: r.seq):
-            versions.setdefault(row.name, []).append(row.version)
-        return max((r.seq for r in rows), default=0), versions
+            self.published.setdefault(row.name, []).append((row.version, row.keeps_history))
+            self.seq = row.seq
 
     def versions(self, table: str) -> list[str]:
-        mine = [self.run] if table in self.pending else []
-        return self.published.get(table, []) + mine
+        """Versions that hold rows of the table: the newest and those that kept history."""
+        found = list(self.published.get(table, []))
+        if table in self.pending:
+            found.append((self.run, self.pending[table]))
+        return [v for v, keeps in found[:-1] if keeps] + [v for v, _ in found[-1:]]
 
     def write(self, table: str, rows: DataFrame, history: bool | Column = False) -> DataFrame:
         """Write this load's version and return the table as this load now sees it.
@@ -79,14 +97,14 @@ class MartStore:
         """
         if table in self.pending:
             raise ValueError(f"{table} was already written in this load")
-        kept = F.lit(history) if isinstance(history, bool) else history
-        (
-            rows.select(*self.schemas[table].names)
-            .withColumn("slice", F.when(kept, F.lit("history")).otherwise(F.lit("current")))
-            .write.partitionBy("slice")
-            .parquet(f"{self.root}/{table}/version={self.run}")
-        )
-        self.pending.append(table)
+        rows = rows.select(*self.schemas[table].names)
+        path = f"{self.root}/{table}/version={self.run}"
+        if isinstance(history, bool):
+            rows.write.parquet(f"{path}/slice={'history' if history else 'current'}")
+        else:
+            part = F.when(history, F.lit("history")).otherwise(F.lit("current"))
+            rows.withColumn("slice", part).write.partitionBy("slice").parquet(path)
+        self.pending[table] = history is not False
         return self.read(table)
 
     def read(self, table: str, slice_: str | None = None) -> DataFrame:
@@ -108,12 +126,12 @@ class MartStore:
 
     def publish(self) -> None:
         """Make everything this load wrote visible, at once."""
-        entries = [(self.seq + 1, table, self.run) for table in self.pending]
+        entries = [(self.seq + 1, t, self.run, keeps) for t, keeps in self.pending.items()]
         self.spark.createDataFrame(entries, _LOG).coalesce(1).write.mode("append").json(
             f"{self.root}/_published"
         )
-        for table in self.pending:
-            self.published.setdefault(table, []).append(self.run)
+        for table, keeps in self.pending.items():
+            self.published.setdefault(table, []).append((self.run, keeps))
         self.seq += 1
-        self.pending = []
-        self.run = uuid.uuid4().hex
+        self.pending = {}
+        self._next_run()

@@ -79,9 +79,11 @@ _USERS = "select user_id, sha256(lower(email)) as ehash from fx_users_today"
 
 @query("scd2_user", _scd2_sql(_DIM_USER, _USERS, "user_key", ["user_id"], {"ehash": "'00'"}))
 def scd2_user(t: Tables) -> DataFrame:
-    return hexed(
-        scd2_apply(dim_user(t), users_today(t), ["user_id"], USER_TRACKED, RUN_TS, "user_key")
-    )
+    return hexed(scd2_users(t))
+
+
+def scd2_users(t: Tables) -> DataFrame:
+    return scd2_apply(dim_user(t), users_today(t), ["user_id"], USER_TRACKED, RUN_TS, "user_key")
 
 
 @query(

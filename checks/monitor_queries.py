@@ -11,6 +11,7 @@ from awareness_mart.plans import audit, monitoring
 from awareness_mart.sources import feeds
 
 from . import landing
+from .change_queries import scd2_users
 from .fixtures import Tables
 from .registry import RUN_TS, query
 
@@ -138,3 +139,19 @@ def scd2_shape(t: Tables) -> DataFrame:
         {"valid_from": "effective_from", "valid_to": "effective_to"}
     )
     return audit.scd2_shape(versions, ["user_id"])
+
+
+@query(
+    "audit_bridge",
+    """
+    select b.user_key, b.unit_code
+    from fx_bridge_before b join fx_dim_user d on d.user_key = b.user_key and d.is_current
+      join fx_users_today s on s.user_id = d.user_id
+    where b.is_current
+      and coalesce(sha256(lower(d.email)), '00') <> coalesce(sha256(lower(s.email)), '00')""",
+)
+def stale_bridge(t: Tables) -> DataFrame:
+    """Memberships left open by people whose key changed in this load."""
+    return audit.stale_bridge_rows(t("fx_bridge_before"), scd2_users(t)).select(
+        "user_key", "unit_code"
+    )
