@@ -30,6 +30,16 @@ def any_differs(left: str, right: str, tracked: dict[str, Any]) -> Column:
     return reduce(lambda a, b: a | b, tests)
 
 
+def exact(column: Column) -> Column:
+    """Text keys as they are: case and trailing blanks count."""
+    return column
+
+
+def loose(column: Column) -> Column:
+    """Text keys without trailing blanks and in lower case."""
+    return F.lower(F.rtrim(column))
+
+
 def blank_to_null(column: Column) -> Column:
     """Strip surrounding white space; nothing left means NULL."""
     return F.nullif(F.regexp_replace(column, r"(?U)^\s+|\s+$", ""), F.lit(""))

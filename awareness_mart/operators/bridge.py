@@ -2,18 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import exact
+
 PAIR = ["user_key", "unit_key"]
 
 
-def membership_pairs(hr: DataFrame, users: DataFrame, units: DataFrame) -> DataFrame:
-    """(user_key, unit_key) of the HR rows, over the current users and units."""
+def membership_pairs(
+    hr: DataFrame,
+    users: DataFrame,
+    units: DataFrame,
+    normalize: Callable[[Column], Column] = exact,
+) -> DataFrame:
+    """(user_key, unit_key) of the HR rows, over the current users and units.
+
+    ``normalize`` says which unit names count as equal.
+    """
     current_users = users.filter("is_current").select("user_key", "ehash")
     current_units = units.filter("is_current").select("unit_key", "unit_code")
     return (
-        hr.join(current_units, F.col("unit") == F.col("unit_code"))
+        hr.join(current_units, normalize(F.col("unit")) == normalize(F.col("unit_code")))
         .join(current_users, "ehash")
         .select(*PAIR)
         .distinct()

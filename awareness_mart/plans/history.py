@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import add_years, first_of_month, last_of_previous_month, strict_mean
-from ..operators.changes import upsert
+from ..functions import add_years, exact, first_of_month, last_of_previous_month, strict_mean
+from ..operators.latest import latest_per_key
 from ..operators.prefix import prefix_join
 
 MEASURES = [
@@ -20,19 +21,26 @@ MEASURES = [
 ]
 
 
-def active_users(users: DataFrame, hr: DataFrame, units: DataFrame) -> DataFrame:
-    """Users the HR extract knows, in a listed unit.
+def active_users(
+    users: DataFrame,
+    hr: DataFrame,
+    units: DataFrame,
+    normalize: Callable[[Column], Column] = exact,
+) -> DataFrame:
+    """Users the HR extract knows, in a listed unit, with the unit as it is listed.
 
     ``users``: id, ehash, measures. ``hr``: ehash, groep. ``units``: unit.
+    ``normalize`` says which unit names count as equal.
     """
-    listed = hr.join(units.select(F.col("unit").alias("groep")), "groep")
+    same = normalize(F.col("groep")) == normalize(F.col("unit"))
+    listed = hr.join(units.select("unit"), same).select("ehash", "unit")
     return users.join(listed, "ehash")
 
 
 def _unit_sums(members: DataFrame) -> DataFrame:
     sums = [F.sum(F.col(m).cast("decimal(18,4)")).alias(f"{m}_sum") for m in MEASURES]
     present = [F.count(m).alias(f"{m}_n") for m in MEASURES]
-    return members.groupBy(F.col("groep").alias("unit")).agg(
+    return members.groupBy("unit").agg(
         F.count(F.lit(1)).alias("users"), *sums, *present
     )
 
@@ -69,16 +77,25 @@ def unit_rollup(users: DataFrame, hr: DataFrame, units: DataFrame) -> DataFrame:
     )
 
 
+def _write_month(
+    history: DataFrame, rows: DataFrame, keys: list[str], run_date: date
+) -> DataFrame:
+    """Insert or replace this month's rows; one aggregate, in which the newer row wins."""
+    new = rows.withColumns({"date": F.lit(first_of_month(run_date)), "_run": F.lit(1)})
+    both = history.withColumn("_run", F.lit(0)).unionByName(
+        new.select(*keys, *MEASURES, "_run")
+    )
+    return latest_per_key(both, keys, "_run").select(*history.columns)
+
+
 def merge_unit_history(history: DataFrame, rollup: DataFrame, run_date: date) -> DataFrame:
     """Write this month's unit averages into the history; other months stay."""
-    rows = rollup.filter("not is_total").withColumn("date", F.lit(first_of_month(run_date)))
-    return upsert(history, rows, keys=["date", "unit"], take_source=MEASURES)
+    return _write_month(history, rollup.filter("not is_total"), ["date", "unit"], run_date)
 
 
 def merge_total_history(history: DataFrame, rollup: DataFrame, run_date: date) -> DataFrame:
     """Write this month's total into the history; other months stay."""
-    rows = rollup.filter("is_total").withColumn("date", F.lit(first_of_month(run_date)))
-    return upsert(history, rows, keys=["date"], take_source=MEASURES)
+    return _write_month(history, rollup.filter("is_total"), ["date"], run_date)
 
 
 def active_phishing(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import blank_to_null, ntz, row_hash_delimited
+from .store import MartStore
 
 
 def _active_digit():
@@ -55,3 +56,9 @@ def edited_rows(rows: DataFrame) -> DataFrame:
         ]
     )
     return cleaned.dropna("all")
+
+
+def replace_master(store: MartStore, table: str, rows: DataFrame) -> None:
+    """Replace a master table by edited rows. Readers see the old rows until all are written."""
+    store.write(table, edited_rows(rows))
+    store.publish()

@@ -24,9 +24,10 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 _LOG = "seq BIGINT, name STRING, version STRING, keeps_history BOOLEAN"
+_VERSION, _SLICE = StructField("version", StringType()), StructField("slice", StringType())
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -113,7 +114,7 @@ class MartStore:
         versions = self.versions(table)
         if not versions:
             return self.spark.createDataFrame([], schema)
-        layout = StructType(schema.fields).add("version", StringType()).add("slice", StringType())
+        layout = StructType([*schema.fields, _VERSION, _SLICE])
         rows = (
             self.spark.read.schema(layout)
             .option("basePath", f"{self.root}/{table}")

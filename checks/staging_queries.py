@@ -248,10 +248,8 @@ def full_refresh(t: Tables) -> DataFrame:
 def replace_master(t: Tables) -> DataFrame:
     root = scratch_dir(t.spark)
     store = MartStore(t.spark, root, TABLES)
-    store.write("mst_units", masters.edited_rows(t("fx_mst_units")))
-    store.publish()
-    store.write("mst_units", masters.edited_rows(t("fx_edited")))
-    store.publish()
+    masters.replace_master(store, "mst_units", t("fx_mst_units"))
+    masters.replace_master(store, "mst_units", t("fx_edited"))
     return MartStore(t.spark, root, TABLES).read("mst_units")
 
 

@@ -1,0 +1,268 @@
+"""Feeds, HR, masters, the versioned store."""
+
+import hashlib
+import json
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from awareness_mart.functions import person_key
+from awareness_mart.plans.monitoring import (
+    calls_today,
+    load_audit,
+    readiness,
+    usage_band,
+)
+from awareness_mart.schemas import RECIPIENT_EVENTS, TABLES
+from awareness_mart.sources import feeds, masters
+from awareness_mart.sources.hr import active_hr_units
+from awareness_mart.sources.store import MartStore, scratch_dir, written
+
+RUN = datetime(2024, 3, 15, 2, 30)
+
+
+def page(folder, name, records, indent=None):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text(json.dumps(records, indent=indent))
+
+
+USERS = [
+    {"id": 1, "email": "Ann@X.test", "phish_prone_percentage": 12.5, "status": "active"},
+    {"id": 2, "email": "bob@x.test", "phish_prone_percentage": ""},
+    {"id": 3, "email": "eve@x.test", "phish_prone_percentage": "n/a", "extra": {"a": [1]}},
+    {"email": "noid@x.test", "phish_prone_percentage": "1"},
+    {"id": 5, "email": None, "phish_prone_percentage": "1"},
+    {"id": 6, "email": "old@x.test", "phish_prone_percentage": "1", "status": "archived"},
+]
+
+
+@pytest.mark.parametrize("indent", [None, 2])
+def test_pages_are_read_as_records(spark, rows, tmp_path, indent):
+    page(tmp_path / "users", "1.json", USERS[:3], indent)
+    page(tmp_path / "users", "2.json", USERS[3:], indent)
+    page(tmp_path / "users", "3.json", [], indent)  # the last, empty page
+    raw = feeds.read_feed(spark, str(tmp_path / "users"), "users", multi_line=indent is not None)
+    flat = feeds.flatten_users(feeds.only_active(raw), RUN)
+    kept = feeds.accepted(flat, "users")
+    assert rows(kept, "user_id", "phish_prone_pct") == [
+        (1, Decimal("12.50")),
+        (2, None),
+        (3, None),
+    ]
+    assert feeds.rejected(flat, "users").count() == 2
+    assert [f.dataType for f in kept.schema] == [f.dataType for f in TABLES["stg_users"]]
+    assert rows(load_audit({"users": flat})) == [("users", 3, 2)]
+
+
+def test_text_that_is_not_json_fails(spark, tmp_path):
+    (tmp_path / "users").mkdir()
+    (tmp_path / "users" / "1.json").write_text("<html>too many requests</html>")
+    with pytest.raises(Exception, match="Malformed records"):
+        feeds.read_feed(spark, str(tmp_path / "users"), "users").collect()
+
+
+def test_recipients(spark, rows, tmp_path):
+    full = {"pst_id": 7, "user": {"id": 1}, "template": {"id": 5, "name": "Parcel"}}
+    records = [
+        full | {"delivered_at": "2024-3-1", "qr_code_scanned": "2024-03-02T10:00:00Z"},
+        full | {"user": {"id": 2}, "delivered_at": "2024-02-30", "clicked_at": ""},
+        full | {"user": None},
+        {"pst_id": 7, "user": {"id": 3}},
+    ]
+    page(tmp_path / "r", "1.json", records)
+    flat = feeds.flatten_recipients(feeds.read_feed(spark, str(tmp_path / "r"), "recipients"), RUN)
+    kept = feeds.accepted(flat, "recipients")
+    assert rows(kept, "user_id", "template", "delivered_at", "qr_code_scanned_at", "load_ts") == [
+        (1, "Parcel", datetime(2024, 3, 1), datetime(2024, 3, 2), RUN),
+        (2, "Parcel", None, None, RUN),
+    ]
+    assert feeds.rejected(flat, "recipients").count() == 2
+    text = "7" + "1" + "2024-03-01 00:00:00" + "None" * 6 + "2024-03-02 00:00:00" + "None"
+    assert len(RECIPIENT_EVENTS) == 9
+    got = kept.filter("user_id = 1").head().hash_row
+    assert bytes(got) == hashlib.sha256(text.encode()).digest()
+
+
+def test_enrollments_take_the_campaign_from_their_directory(spark, rows, tmp_path):
+    for campaign in (40, 41):
+        page(
+            tmp_path / "e" / f"campaign_id={campaign}",
+            "1.json",
+            [{"enrollment_id": campaign * 10, "user": {"id": 1}, "enrollment_date": "2024-01-02"}],
+        )
+    raw = feeds.read_feed(spark, str(tmp_path / "e"), "enrollments")
+    kept = feeds.accepted(feeds.flatten_enrollments(raw, RUN), "enrollments")
+    assert rows(kept, "enrollment_id", "campaign_id") == [(400, 40), (410, 41)]
+
+
+def test_only_running_training_is_staged(spark, rows, tmp_path):
+    records = [
+        {"campaign_id": 1, "name": "a", "status": "In Progress", "start_date": "2024-01-02T09:00"},
+        {"campaign_id": 2, "name": "b", "status": "Closed", "start_date": "2024-01-02"},
+        {"name": "c", "status": "In Progress"},
+    ]
+    page(tmp_path / "t", "1.json", records)
+    flat = feeds.flatten_training(feeds.read_feed(spark, str(tmp_path / "t"), "training"), RUN)
+    assert rows(feeds.accepted(flat, "training"), "campaign_id", "start_date") == [
+        (1, date(2024, 1, 2))
+    ]
+
+
+def test_children_of(spark, rows):
+    child = spark.createDataFrame([(1, "a"), (2, "b"), (1, "c"), (None, "d")], "id long, v string")
+    parents = spark.createDataFrame([(1,), (1,), (3,)], "id long")
+    assert rows(feeds.children_of(child, parents, "id")) == [(1, "a"), (1, "c")]
+
+
+def test_hr_extract(spark, rows):
+    staff = spark.createDataFrame(
+        [
+            ("A@x", 1, date(2020, 1, 1), date(9999, 12, 31), "I"),
+            ("b@x", 2, date(2020, 1, 1), date(9999, 12, 31), "I"),
+            ("c@x", 3, date(2020, 1, 1), date(9999, 12, 31), "I"),
+            ("d@x", None, date(2024, 3, 1), date(2024, 3, 2), "I"),
+            ("starts-later@x", 1, date(2024, 3, 2), date(9999, 12, 31), "I"),
+            ("left@x", 1, date(2020, 1, 1), date(2024, 3, 1), "I"),
+            ("open@x", 1, date(2020, 1, 1), None, "I"),
+            ("external@x", 1, date(2020, 1, 1), date(9999, 12, 31), "E"),
+        ],
+        "email string, unit_code int, in_service date, out_service date, kind string",
+    )
+    units = spark.createDataFrame([(1, "Intern"), (2, "  "), (3, None)], "unit_id int, unit_name string")
+    hr = active_hr_units(staff, units, RUN)
+    by_mail = staff.select("email", person_key(F.col("email")).alias("ehash"))
+    assert rows(hr.join(by_mail, "ehash"), "email", "unit") == [
+        ("A@x", "Intern"),
+        ("b@x", "Onbekend"),
+        ("c@x", "Onbekend"),
+        ("d@x", "Onbekend"),
+    ]
+
+
+def test_edited_rows(spark, rows):
+    typed = spark.createDataFrame(
+        [(" a ", "x", None), ("", "  ", None), (None, None, None), ("b", " ", 3)],
+        "unit string, name string, n int",
+    )
+    assert rows(masters.edited_rows(typed)) == [("a", "x", None), ("b", None, 3)]
+
+
+# Store
+def store(spark, path):
+    return MartStore(spark, str(path), TABLES)
+
+
+def units(spark, *data):
+    return spark.createDataFrame(list(data), TABLES["mst_units"])
+
+
+def test_a_load_is_invisible_until_published(spark, rows, tmp_path):
+    writer = store(spark, tmp_path)
+    assert writer.read("mst_units").count() == 0
+    seen = writer.write("mst_units", units(spark, ("a", "1")))
+    assert rows(seen) == [("a", "1")]
+    assert store(spark, tmp_path).read("mst_units").count() == 0
+    writer.publish()
+    assert rows(store(spark, tmp_path).read("mst_units")) == [("a", "1")]
+
+
+def test_a_failed_load_leaves_no_trace(spark, rows, tmp_path):
+    writer = store(spark, tmp_path)
+    writer.write("mst_units", units(spark, ("a", "1")))
+    writer.publish()
+    failed = store(spark, tmp_path)
+    failed.write("mst_units", units(spark, ("b", "2")))  # never published
+    retry = store(spark, tmp_path)
+    assert rows(retry.read("mst_units")) == [("a", "1")]
+    retry.write("mst_units", units(spark, ("c", "3")))
+    retry.publish()
+    assert rows(store(spark, tmp_path).read("mst_units")) == [("c", "3")]
+
+
+def test_a_table_can_be_rewritten_from_itself(spark, rows, tmp_path):
+    writer = store(spark, tmp_path)
+    for _ in range(3):
+        old = writer.read("mst_units")
+        writer.write("mst_units", old.unionByName(units(spark, ("a", "1"))))
+        writer.publish()
+    assert store(spark, tmp_path).read("mst_units").count() == 3
+    with pytest.raises(ValueError, match="already written"):
+        writer.write("mst_units", units(spark))
+        writer.write("mst_units", units(spark))
+
+
+def test_history_is_kept_and_current_is_replaced(spark, rows, tmp_path):
+    for n in range(3):
+        writer = store(spark, tmp_path)
+        data = units(spark, (f"closed {n}", "h"), (f"open {n}", "c"))
+        writer.write("mst_units", data, history=F.col("name") == "h")
+        writer.publish()
+    table = store(spark, tmp_path)
+    assert [r[0] for r in rows(table.read("mst_units", "history"))] == [
+        "closed 0",
+        "closed 1",
+        "closed 2",
+    ]
+    assert rows(table.read("mst_units", "current")) == [("open 2", "c")]
+    assert table.read("mst_units").count() == 4
+
+
+def test_append_only_table(spark, rows, tmp_path):
+    for n in range(3):
+        writer = store(spark, tmp_path)
+        writer.write("mst_units", units(spark, (str(n), "x")), history=True)
+        writer.publish()
+    empty = store(spark, tmp_path)
+    empty.write("mst_units", units(spark), history=True)
+    empty.publish()
+    assert [r[0] for r in rows(store(spark, tmp_path).read("mst_units"))] == ["0", "1", "2"]
+
+
+def test_written_is_the_same_rows(spark, rows):
+    df = units(spark, ("a", None), ("b", "2"))
+    copy = written(df)
+    assert rows(copy) == rows(df)
+    assert copy.schema == df.schema
+
+
+def test_scratch_is_below_the_shared_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    first, second = scratch_dir(spark), scratch_dir(spark)
+    assert first != second
+    if shared:
+        assert first.startswith(shared)
+
+
+# Monitoring
+def test_readiness(spark, rows):
+    status = spark.createDataFrame(
+        [
+            (date(2024, 1, 1), "a", True),
+            (date(2024, 1, 1), "b", True),
+            (date(2024, 1, 2), "a", True),
+            (date(2024, 1, 2), "b", False),
+            (date(2024, 1, 3), "a", True),
+            (date(2024, 1, 4), "a", None),
+            (date(2024, 1, 4), "b", True),
+            (date(2024, 1, 5), "c", True),
+        ],
+        "day date, source string, finished boolean",
+    )
+    found = dict(rows(readiness(status, ["a", "b"])))
+    assert [found[date(2024, 1, d)] for d in range(1, 6)] == [True, False, False, False, False]
+
+
+def test_usage_band(spark, rows):
+    df = spark.createDataFrame([(n,) for n in (1500, 1501, 1800, 1801)], "used int")
+    band = usage_band(F.col("used"), F.lit(2000), F.lit(75), F.lit(90))
+    assert rows(df.select("used", band)) == [
+        (1500, "INFO"),
+        (1501, "WARN"),
+        (1800, "WARN"),
+        (1801, "ERR"),
+    ]
+    day = spark.createDataFrame([(date(2024, 1, 1), 7), (date(2024, 1, 2), 7)], "d date, n int")
+    used = calls_today(F.col("n"), F.col("d"), date(2024, 1, 2), F.lit(3))
+    assert rows(day.select("d", used)) == [(date(2024, 1, 1), 3), (date(2024, 1, 2), 10)]
