@@ -8,6 +8,11 @@ percentage without anything to divide by is NULL.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from decimal import Decimal
+from functools import reduce
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,48 +22,53 @@ GRAINS = {
     "month": {"Year": "year", "Month": "month"},
 }
 
-_COUNTS = [
-    "delivered",
-    "reported",
-    "training_enrolled",
-    "training_completed",
-    "policy_enrolled",
-    "policy_read",
-]
-_MEASURES = ["prone_sum", "prone_n", "risk_sum", "risk_n", *_COUNTS]
+# Percentages and scores are summed as whole ten-thousandths, their finest unit:
+# exact like decimals, but in machine integers.
+_UNIT = 10000
+
+
+def _units(column: str) -> Column:
+    return (F.col(column) * _UNIT).cast("long")
 
 
 def _count(condition: Column) -> Column:
     return F.when(condition, 1).otherwise(0).cast("long")
 
 
+class Measures(NamedTuple):
+    """The three facts as rows of user_key, date_key and their own measures."""
+
+    snapshots: DataFrame
+    recipients: DataFrame
+    enrollments: DataFrame
+
+
 def measures(
     snapshots: DataFrame, recipients: DataFrame, enrollments: DataFrame, completed: str
-) -> DataFrame:
-    """All three facts as (user_key, date_key, measures) rows under each other.
+) -> Measures:
+    """The measures of the three facts.
 
     ``enrollments`` carry their campaign type; ``completed`` is the status that
     counts as done. Rows without a date are left out: they belong to no period.
     """
-    person = ["user_key", "date_key"]
     done = F.col("status") == completed
     training, policy = F.col("campaign_type") == "training", F.col("campaign_type") == "policy"
-    parts = [
+    return Measures(
         snapshots.select(
             "user_key",
             F.col("snapshot_date_key").alias("date_key"),
-            F.col("phish_prone_pct").cast("decimal(18,4)").alias("prone_sum"),
+            _units("phish_prone_pct").alias("prone_sum"),
             _count(F.col("phish_prone_pct").isNotNull()).alias("prone_n"),
-            F.col("current_risk_score").cast("decimal(18,4)").alias("risk_sum"),
+            _units("current_risk_score").alias("risk_sum"),
             _count(F.col("current_risk_score").isNotNull()).alias("risk_n"),
         ),
-        recipients.select(
+        recipients.filter(F.col("started_date_key").isNotNull()).select(
             "user_key",
             F.col("started_date_key").alias("date_key"),
             F.col("delivered_count").cast("long").alias("delivered"),
             F.col("reported_count").cast("long").alias("reported"),
         ),
-        enrollments.select(
+        enrollments.filter(F.col("enrollment_date_key").isNotNull()).select(
             "user_key",
             F.col("enrollment_date_key").alias("date_key"),
             _count(training).alias("training_enrolled"),
@@ -66,15 +76,17 @@ def measures(
             _count(policy).alias("policy_enrolled"),
             _count(policy & done).alias("policy_read"),
         ),
-    ]
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part, allowMissingColumns=True)
-    return rows.filter(F.col("date_key").isNotNull()).select(*person, *_MEASURES)
+    )
+
 
+def _sum_by(rows: DataFrame, by: list[str]) -> DataFrame:
+    """Sum everything that is not a key, a period or a unit."""
+    keys = {"user_key", "date_key", *by}
+    return rows.groupBy(*by).agg(*[F.sum(c).alias(c) for c in rows.columns if c not in keys])
 
-def _sums() -> list[Column]:
-    return [F.sum(m).alias(m) for m in _MEASURES]
+
+def _stack(parts: Iterable[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def running_pct(part: str, whole: str, window) -> Column:
@@ -84,10 +96,10 @@ def running_pct(part: str, whole: str, window) -> Column:
 
 
 def _with_periods(daily: DataFrame, dates: DataFrame, grain: str, by: list[str]) -> DataFrame:
-    """Add up days to periods; ``daily`` has one row per day (and unit)."""
+    """Add up days to periods; ``daily`` has a row per fact and day (and unit)."""
     columns = GRAINS[grain]
     days = dates.select("date_key", *[F.col(c).alias(name) for name, c in columns.items()])
-    return daily.join(days, "date_key").groupBy(*by, *columns).agg(*_sums())
+    return _sum_by(daily.join(days, "date_key"), [*by, *columns])
 
 
 def _present(periods: DataFrame, grain: str, by: list[str]) -> DataFrame:
@@ -99,7 +111,8 @@ def _present(periods: DataFrame, grain: str, by: list[str]) -> DataFrame:
     )
 
     def mean(total: str, rows: str) -> Column:
-        return F.try_divide(F.col(total).cast("double"), F.col(rows).cast("double"))
+        exact = (F.col(total).cast("decimal(19,0)") * Decimal("0.0001")).cast("double")
+        return F.try_divide(exact, F.col(rows).cast("double"))
 
     return periods.select(
         *columns,
@@ -113,33 +126,42 @@ def _present(periods: DataFrame, grain: str, by: list[str]) -> DataFrame:
     ).orderBy(*columns)
 
 
-def dashboard(rows: DataFrame, dates: DataFrame, grain: str) -> DataFrame:
-    """The dashboard over everybody, from ``measures``.
+def dashboard(facts: Measures, dates: DataFrame, grain: str) -> DataFrame:
+    """The dashboard over everybody.
 
-    Rows are summed per day before anything else; the running window, which has
-    no partition, then sees one row per period of the calendar.
+    Every fact is summed per day before anything else; the running window, which
+    has no partition, then sees one row per period of the calendar.
     """
-    daily = rows.groupBy("date_key").agg(*_sums())
+    daily = _stack(_sum_by(rows, ["date_key"]) for rows in facts)
     return _present(_with_periods(daily, dates, grain, []), grain, [])
 
 
 def unit_dashboard(
-    rows: DataFrame, membership: DataFrame, dates: DataFrame, grain: str
+    facts: Measures, membership: DataFrame, dates: DataFrame, grain: str
 ) -> DataFrame:
     """The dashboard per unit. ``membership``: user_key, Unit_naam, start_date_key, end_date_key.
 
     A row counts for the units its user belongs to on that day, from the start
-    of the membership up to but not including its end. Rows are summed per user
-    and day before the join, so one busy user cannot fill a task.
+    of the membership up to but not including its end.
+
+    No user brings more than one row per day into a membership join: snapshots
+    have one by their key, the other facts are summed per user and day first. So
+    one busy user cannot fill a task.
     """
-    person_days = rows.groupBy("user_key", "date_key").agg(*_sums())
+    unit = "Unit_naam"
     valid = (F.col("start_date_key") <= F.col("date_key")) & (
         F.col("end_date_key").isNull() | (F.col("date_key") < F.col("end_date_key"))
     )
-    daily = (
-        person_days.join(membership, "user_key")
-        .filter(valid)
-        .groupBy("Unit_naam", "date_key")
-        .agg(*_sums())
-    )
-    return _present(_with_periods(daily, dates, grain, ["Unit_naam"]), grain, ["Unit_naam"])
+    spans = membership.select("user_key", unit, "start_date_key", "end_date_key")
+    person_days = [
+        facts.snapshots,
+        *[_sum_by(rows, ["user_key", "date_key"]) for rows in (facts.recipients, facts.enrollments)],
+    ]
+    daily = [
+        _sum_by(
+            rows.join(spans, "user_key").filter(valid).drop("start_date_key", "end_date_key"),
+            [unit, "date_key"],
+        )
+        for rows in person_days
+    ]
+    return _present(_with_periods(_stack(daily), dates, grain, [unit]), grain, [unit])

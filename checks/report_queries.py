@@ -85,7 +85,7 @@ def sorted_listing(t: Tables) -> DataFrame:
 
 
 # Dashboards
-def _rows(t: Tables) -> DataFrame:
+def _facts(t: Tables) -> dashboards.Measures:
     snapshots = t("fx_snapshots").select(
         F.col("user_id").alias("user_key"),
         date_key(F.col("snapshot_date")).alias("snapshot_date_key"),
@@ -184,11 +184,11 @@ def _register_dashboards() -> None:
 
         @query(f"dashboard_{grain}", _dashboard_sql(grain, unit=False))
         def overall(t: Tables, grain: str = grain) -> DataFrame:
-            return dashboards.dashboard(_rows(t), _dates(t), grain)
+            return dashboards.dashboard(_facts(t), _dates(t), grain)
 
         @query(f"unit_dashboard_{grain}", _dashboard_sql(grain, unit=True))
         def per_unit(t: Tables, grain: str = grain) -> DataFrame:
-            return dashboards.unit_dashboard(_rows(t), t("fx_bridge"), _dates(t), grain)
+            return dashboards.unit_dashboard(_facts(t), t("fx_bridge"), _dates(t), grain)
 
 
 _register_dashboards()
