@@ -1,4 +1,4 @@
-"""The nightly jobs: stage the feeds, then load the mart."""
+"""The nightly jobs: stage the feeds, stage HR, load the mart."""
 
 from __future__ import annotations
 
@@ -12,12 +12,20 @@ from ..operators.bridge import bridge_apply, membership_pairs
 from ..operators.calendar import FIRST_DAY, LAST_DAY, calendar, require_day
 from ..operators.changes import keyed_update, scd2_changes
 from ..operators.keys import assign_keys, fill_keys, highest_key
-from ..sources.feeds import FLATTEN, accepted, children_of, only_active, read_feed
+from ..sources.feeds import (
+    FLATTEN,
+    PARENTS,
+    accepted,
+    children_of,
+    only_active,
+    read_feed,
+)
 from ..sources.hr import active_hr_units
 from ..sources.masters import stage_phishing_campaigns, stage_training_names, stage_units
 from ..sources.store import MartStore, written
 from . import facts
 from .campaigns import campaign_source
+from .monitoring import all_ready
 from .templates import new_templates
 
 FEED_TABLES = {
@@ -29,12 +37,8 @@ FEED_TABLES = {
     "enrollments": "stg_enrollment",
 }
 
-# Child feeds are only kept for staged parents.
-PARENTS = {
-    "user_detail": ("users", "user_id"),
-    "recipients": ("tests", "pst_id"),
-    "enrollments": ("training", "campaign_id"),
-}
+# Names of the sources in the status table.
+VENDOR, HR, MASTER, MART = "Vendor", "HR", "Master", "DWH"
 
 # NULL and the value beside a column count as the same when versions are compared.
 USER_TRACKED = {"ehash": bytearray(b"\x00")}
@@ -51,8 +55,27 @@ def flatten_feeds(
     return {feed: FLATTEN[feed](rows, run_ts) for feed, rows in raw.items()}
 
 
-def stage_feeds(store: MartStore, flat: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Write the staging tables. Parents go first: children are matched against what was written."""
+def finish_sources(status: DataFrame, sources: Sequence[str], run_date: date) -> DataFrame:
+    """The status table with run date and finished flag set for the given sources."""
+    done = status.filter(F.col("source").isin(list(sources))).select(
+        "source", F.lit(run_date).alias("run_date"), F.lit(True).alias("finished")
+    )
+    return keyed_update(status, done, ["source"], ["run_date", "finished"])
+
+
+def _finish(store: MartStore, sources: Sequence[str], run_ts: datetime) -> DataFrame:
+    status = store.read("source_status")
+    return store.write("source_status", finish_sources(status, sources, run_ts.date()))
+
+
+def run_staging(
+    store: MartStore, landed: dict[str, str], run_ts: datetime, multi_line: bool = False
+) -> None:
+    """Replace the staging tables by the landed feeds.
+
+    Parents are written first; their children are matched against what was written.
+    """
+    flat = flatten_feeds(store.spark, landed, run_ts, multi_line)
     staged: dict[str, DataFrame] = {}
     for feed, table in FEED_TABLES.items():
         rows = accepted(flat[feed], feed)
@@ -60,15 +83,21 @@ def stage_feeds(store: MartStore, flat: dict[str, DataFrame]) -> dict[str, DataF
             parent, key = PARENTS[feed]
             rows = children_of(rows, staged[parent], key)
         staged[feed] = store.write(table, rows)
-    return staged
+    _finish(store, [VENDOR], run_ts)
+    store.publish()
 
 
-def finish_sources(status: DataFrame, sources: Sequence[str], run_date: date) -> DataFrame:
-    """The status table with run date and finished flag set for the given sources."""
-    done = status.filter(F.col("source").isin(list(sources))).select(
-        "source", F.lit(run_date).alias("run_date"), F.lit(True).alias("finished")
-    )
-    return keyed_update(status, done, ["source"], ["run_date", "finished"])
+def run_hr(
+    store: MartStore,
+    staff: DataFrame,
+    units: DataFrame,
+    run_ts: datetime,
+    charset: str = "UTF-8",
+) -> None:
+    """Replace the staged HR extract."""
+    store.write("stg_hr", active_hr_units(staff, units, run_ts, charset))
+    _finish(store, [HR], run_ts)
+    store.publish()
 
 
 def _load_dimension(
@@ -101,35 +130,34 @@ def _merge_fact(
     )
 
 
+def stage_masters(store: MartStore, run_ts: datetime) -> None:
+    """Replace the staged masters by the master tables."""
+    store.write("stg_md_units", stage_units(store.read("mst_units"), run_ts))
+    store.write("stg_md_training", stage_training_names(store.read("mst_training"), run_ts))
+    store.write("stg_md_phishing", stage_phishing_campaigns(store.read("mst_phishing"), run_ts))
+    _finish(store, [MASTER], run_ts)
+    store.publish()
+
+
 def run_load(
     store: MartStore,
-    landed: dict[str, str],
-    staff: DataFrame,
-    hr_units: DataFrame,
     run_ts: datetime,
+    required: Sequence[str] = (VENDOR, HR, MASTER),
     init_calendar: bool = False,
     first_day: date = FIRST_DAY,
     last_day: date = LAST_DAY,
-    multi_line: bool = False,
-    charset: str = "UTF-8",
 ) -> None:
-    """One whole load, published at the end.
+    """Load dimensions, bridge and facts from the staging tables, published at the end.
 
-    Every step writes its table and the next one reads what was written, so a
-    lost executor repeats one step at most. The master tables are expected in
-    the store.
+    Stops when a required source has not finished today. Every step writes its
+    table and the next one reads what was written, so a lost executor repeats
+    one step at most.
     """
     spark, today = store.spark, run_ts.date()
-
-    md_units = store.write("stg_md_units", stage_units(store.read("mst_units"), run_ts))
-    md_training = store.write(
-        "stg_md_training", stage_training_names(store.read("mst_training"), run_ts)
-    )
-    md_phishing = store.write(
-        "stg_md_phishing", stage_phishing_campaigns(store.read("mst_phishing"), run_ts)
-    )
-    staged = stage_feeds(store, flatten_feeds(spark, landed, run_ts, multi_line))
-    hr = store.write("stg_hr", active_hr_units(staff, hr_units, run_ts, charset))
+    stage_masters(store, run_ts)
+    if not all_ready(store.read("source_status"), required, today):
+        raise ValueError(f"not all of {', '.join(required)} have finished on {today}")
+    staged = {feed: store.read(table) for feed, table in FEED_TABLES.items()}
 
     if init_calendar:
         store.write("dim_date", calendar(spark, first_day, last_day))
@@ -142,13 +170,18 @@ def run_load(
     dim_unit = _load_dimension(
         store,
         "dim_unit",
-        md_units.withColumnRenamed("unit_name", "unit_naam"),
+        store.read("stg_md_units").withColumnRenamed("unit_name", "unit_naam"),
         ["unit_code"],
         UNIT_TRACKED,
         run_ts=run_ts,
     )
     source = campaign_source(
-        staged["tests"], md_phishing, staged["training"], md_training, dates, today
+        staged["tests"],
+        store.read("stg_md_phishing"),
+        staged["training"],
+        store.read("stg_md_training"),
+        dates,
+        today,
     )
     dim_campaign = _load_dimension(
         store,
@@ -171,7 +204,7 @@ def run_load(
         history=True,
     )
 
-    pairs = membership_pairs(hr, dim_user, dim_unit)
+    pairs = membership_pairs(store.read("stg_hr"), dim_user, dim_unit)
     bridge = bridge_apply(
         store.read("bridge_user_unit", "current"), pairs, dim_user.filter("is_current"), day_key
     )
@@ -194,6 +227,5 @@ def run_load(
         "fact_snapshot", assign_keys(rows, key, ["user_key"], highest_key(fact, key)), history=True
     )
 
-    status = store.read("source_status")
-    store.write("source_status", finish_sources(status, ["Master", "DWH"], today))
+    _finish(store, [MART], run_ts)
     store.publish()

@@ -25,6 +25,12 @@ def readiness(status: DataFrame, required: Sequence[str]) -> DataFrame:
     return status.groupBy("day").agg(reduce(lambda a, b: a & b, done).alias("ready"))
 
 
+def all_ready(status: DataFrame, required: Sequence[str], day: date) -> bool:
+    """Have the required sources of the status table finished on ``day``?"""
+    per_day = readiness(status.withColumnRenamed("run_date", "day"), required)
+    return bool(per_day.filter((F.col("day") == F.lit(day)) & F.col("ready")).head(1))
+
+
 def usage_band(
     used: Column, limit: Column, warning_percentage: Column, error_percentage: Column
 ) -> Column:
@@ -41,13 +47,20 @@ def calls_today(stored: Column, stored_day: Column, run_date: date, made: Column
     return F.when(stored_day < F.lit(run_date), 0).otherwise(stored) + made
 
 
-def load_audit(flat: dict[str, DataFrame]) -> DataFrame:
-    """Inserted and rejected rows per feed, from the flattened feeds."""
+def load_audit(flat: dict[str, DataFrame], staged: dict[str, DataFrame]) -> DataFrame:
+    """Rejected and staged rows per feed, from the flattened feeds and from what was staged."""
     counts = [
-        rows.agg(
-            F.count_if(complete(feed)).alias("inserted"),
-            F.count_if(~complete(feed)).alias("rejected"),
-        ).select(F.lit(feed).alias("feed"), "inserted", "rejected")
-        for feed, rows in flat.items()
+        flat[feed]
+        .agg(F.count_if(~complete(feed)).alias("rejected"))
+        .select(F.lit(feed).alias("feed"), F.lit(0).cast("long").alias("inserted"), "rejected")
+        .unionByName(
+            staged[feed]
+            .agg(F.count(F.lit(1)).alias("inserted"))
+            .select(F.lit(feed).alias("feed"), "inserted", F.lit(0).cast("long").alias("rejected"))
+        )
+        for feed in flat
     ]
-    return reduce(DataFrame.unionByName, counts)
+    both = reduce(DataFrame.unionByName, counts)
+    return both.groupBy("feed").agg(
+        F.sum("inserted").alias("inserted"), F.sum("rejected").alias("rejected")
+    )

@@ -16,6 +16,15 @@ from pyspark.sql import functions as F
 from ..functions import lenient_date, lenient_double, ntz, person_key, row_hash_plain
 from ..schemas import FEEDS, RECIPIENT_EVENTS
 
+# Child feeds are only kept for staged parents: child -> (parent, key).
+PARENTS = {
+    "user_detail": ("users", "user_id"),
+    "recipients": ("tests", "pst_id"),
+    "enrollments": ("training", "campaign_id"),
+}
+
+IN_PROGRESS = "In Progress"  # fixed value
+
 # Columns a staged row must have.
 REQUIRED: dict[str, list[str]] = {
     "users": ["user_id", "ehash"],
@@ -104,10 +113,9 @@ def flatten_recipients(raw: DataFrame, run_ts: datetime) -> DataFrame:
 
 
 def flatten_training(raw: DataFrame, run_ts: datetime) -> DataFrame:
-    """Training campaigns that are in progress; the others are not staged."""
     start = lenient_date(F.col("start_date"))
     hashed = [F.col("campaign_id"), F.col("name"), F.col("status"), start.cast("timestamp_ntz")]
-    return raw.filter(F.col("status") == "In Progress").select(
+    return raw.select(
         "campaign_id",
         "name",
         "status",
@@ -144,7 +152,9 @@ def complete(feed: str) -> Column:
 
 
 def accepted(flat: DataFrame, feed: str) -> DataFrame:
-    return flat.filter(complete(feed))
+    """Complete rows; of the training campaigns only those in progress."""
+    rows = flat.filter(complete(feed))
+    return rows.filter(F.col("status") == IN_PROGRESS) if feed == "training" else rows
 
 
 def rejected(flat: DataFrame, feed: str) -> DataFrame:
@@ -154,3 +164,14 @@ def rejected(flat: DataFrame, feed: str) -> DataFrame:
 def children_of(child: DataFrame, parents: DataFrame, key: str) -> DataFrame:
     """Child rows whose parent was staged."""
     return child.join(parents.select(key), key, "left_semi")
+
+
+def staged_rows(flat: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """What is staged of each flattened feed: accepted rows, children of staged parents only."""
+    staged: dict[str, DataFrame] = {}
+    for feed in FLATTEN:
+        staged[feed] = accepted(flat[feed], feed)
+        if feed in PARENTS:
+            parent, key = PARENTS[feed]
+            staged[feed] = children_of(staged[feed], staged[parent], key)
+    return staged

@@ -12,7 +12,7 @@ from awareness_mart.operators.calendar import calendar_over, with_date_key
 from awareness_mart.operators.latest import latest_per_key
 from awareness_mart.plans import facts, history
 from awareness_mart.plans.campaigns import typed_training
-from awareness_mart.plans.load import run_load
+from awareness_mart.plans.load import run_hr, run_load, run_staging
 from awareness_mart.schemas import RECIPIENT_FLAGS, TABLES
 from awareness_mart.sources.hr import active_hr_units
 from awareness_mart.sources.store import MartStore, scratch_dir
@@ -346,14 +346,17 @@ def _seed_masters(t: Tables, store: MartStore) -> None:
     store.write(
         "mst_phishing", t("fx_md_phishing").selectExpr("campaign_id", "'' as name", "active")
     )
-    status = t("events").select(F.initcap("event_type").alias("source")).distinct()
-    extra = t("events").select(F.lit("Master").alias("source")).distinct()
+    names = {"view": "Vendor", "click": "HR", "signup": "Master", "purchase": "DWH"}
+    source = F.col("event_type")
+    for event, name in names.items():
+        source = F.when(F.col("event_type") == event, name).otherwise(source)
     empty = {c: F.lit(None).cast("int") for c in TABLES["source_status"].names[2:6]}
     store.write(
         "source_status",
-        status.unionByName(extra).withColumns(
-            {"run_date": F.lit(None).cast("date"), **empty, "finished": F.lit(False)}
-        ),
+        t("events")
+        .select(source.alias("source"))
+        .distinct()
+        .withColumns({"run_date": F.lit(None).cast("date"), **empty, "finished": F.lit(False)}),
     )
     store.publish()
 
@@ -369,12 +372,13 @@ def load_twice(t: Tables) -> MartStore:
         "enrollments": landing.land(t, landing.enrollments(t), by="campaign_id"),
     }
     for second in (False, True):
+        when = datetime(2003, 9, 6 if second else 5, 1, 30)
+        store = MartStore(t.spark, root, TABLES)
+        run_staging(store, landed | {"users": landing.land(t, _load_users(t, second))}, when)
+        run_hr(store, t("fx_hr_staff"), t("fx_hr_units"), when)
         run_load(
-            MartStore(t.spark, root, TABLES),
-            landed | {"users": landing.land(t, _load_users(t, second))},
-            t("fx_hr_staff"),
-            t("fx_hr_units"),
-            datetime(2003, 9, 6 if second else 5, 1, 30),
+            store,
+            when,
             init_calendar=not second,
             first_day=date(1995, 1, 1),
             last_day=date(2005, 12, 31),
@@ -426,7 +430,7 @@ def load_twice(t: Tables) -> MartStore:
       count(phish_prone_pct) + count(case when not gone then phish_prone_pct end)
       from people join fx_users using (user_id)
     union all
-    select 'source_status', count(distinct event_type) + 1, 1 from events""",
+    select 'source_status', count(distinct event_type), 4 from events""",
 )
 def end_to_end_load(t: Tables) -> DataFrame:
     """Row counts of the mart after two loads.

@@ -54,17 +54,20 @@ def usage_band(t: Tables) -> DataFrame:
     select 'users' as feed, count(*) filter (balance between -500 and 9000) as inserted,
       count(*) filter (not (balance between -500 and 9000)) as rejected from fx_users
     union all
+    select 'user_detail', count(*) filter (user_id in (select user_id from fx_users
+      where balance between -500 and 9000)), 0 from fx_user_detail
+    union all
     select 'tests', count(*) filter (campaign_id <> 7), count(*) filter (campaign_id = 7)
     from fx_pst
     union all
-    select 'recipients', count(*) filter (qr_code_scanned_at is null), count(qr_code_scanned_at)
+    select 'recipients', count(*) filter (qr_code_scanned_at is null
+      and pst_id in (select pst_id from fx_pst where campaign_id <> 7)), count(qr_code_scanned_at)
     from fx_recipients
     union all
-    select 'training', count(*), 0 from fx_training where status = 'In Progress'
-    union all
-    select 'enrollments', count(*), 0 from fx_enrollments
+    select 'training', count(*) filter (status = 'In Progress'), 0 from fx_training
     union all
-    select 'user_detail', count(*), 0 from fx_user_detail""",
+    select 'enrollments', count(*) filter (campaign_id in (select campaign_id from fx_training
+      where status = 'In Progress')), 0 from fx_enrollments""",
 )
 def load_audit(t: Tables) -> DataFrame:
     raw = {
@@ -75,7 +78,8 @@ def load_audit(t: Tables) -> DataFrame:
         "training": landing.training(t),
         "enrollments": landing.enrollments(t),
     }
-    return monitoring.load_audit({f: feeds.FLATTEN[f](rows, RUN_TS) for f, rows in raw.items()})
+    flat = {f: feeds.FLATTEN[f](rows, RUN_TS) for f, rows in raw.items()}
+    return monitoring.load_audit(flat, feeds.staged_rows(flat))
 
 
 @query(

@@ -15,7 +15,6 @@ from awareness_mart.functions import (
     row_hash_plain,
     row_hash_strict,
 )
-from awareness_mart.plans.load import PARENTS
 from awareness_mart.schemas import TABLES
 from awareness_mart.sources import feeds, masters
 from awareness_mart.sources.hr import active_hr_units
@@ -96,7 +95,7 @@ def _staged(t: Tables, feed: str, raw: DataFrame, by: str | None = None) -> Data
 
 
 def _of_parents(rows: DataFrame, feed: str, parents: DataFrame) -> DataFrame:
-    parent, key = PARENTS[feed]
+    parent, key = feeds.PARENTS[feed]
     staged = feeds.accepted(feeds.FLATTEN[parent](parents, RUN_TS), parent)
     return feeds.children_of(rows, staged, key)
 

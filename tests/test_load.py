@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from awareness_mart.plans import views
 from awareness_mart.plans.audit import duplicates, orphans, scd2_shape
-from awareness_mart.plans.load import run_load
+from awareness_mart.plans.load import run_hr, run_load, run_staging
 from awareness_mart.schemas import TABLES
 from awareness_mart.sources.store import MartStore
 
@@ -76,8 +76,9 @@ class Mart:
         store.write("mst_phishing", spark.createDataFrame(
             [(500, "a", True), (501, "b", False)], TABLES["mst_phishing"]))
         store.write("source_status", spark.createDataFrame(
-            [("Vendor", None, 2000, 0, 75, 90, False), ("Master", None, None, None, None, None,
-             False), ("DWH", None, None, None, None, None, False)], TABLES["source_status"]))
+            [("Vendor", None, 2000, 0, 75, 90, False)]
+            + [(n, *[None] * 5, False) for n in ("HR", "Master", "DWH", "Other")],
+            TABLES["source_status"]))
         store.publish()
 
     def store(self):
@@ -106,10 +107,11 @@ class Mart:
             ],
             "email string, unit_code int, in_service date, out_service date, kind string",
         )
+        run_staging(self.store(), self.land(), when, multi_line=True)
+        run_hr(self.store(), staff, units, when)
         run_load(
-            self.store(), self.land(), staff, units, when, multi_line=True,
-            init_calendar=self.runs == 1, first_day=date(2024, 1, 1), last_day=date(2024, 12, 31),
-            **options,
+            self.store(), when, init_calendar=self.runs == 1, first_day=date(2024, 1, 1),
+            last_day=date(2024, 12, 31), **options,
         )
         return self.store()
 
@@ -152,8 +154,10 @@ def test_first_load_and_reports(mart, rows):
     assert store.read("stg_user_detail").count() == 3
     assert rows(store.read("source_status"), "source", "run_date", "finished") == [
         ("DWH", date(2024, 3, 10), True),
+        ("HR", date(2024, 3, 10), True),
         ("Master", date(2024, 3, 10), True),
-        ("Vendor", None, False),
+        ("Other", None, False),
+        ("Vendor", date(2024, 3, 10), True),
     ]
 
     templates = views.phishing_report(store, "templates")
@@ -288,3 +292,11 @@ def test_ambiguous_campaign_type_stops_the_load_and_publishes_nothing(mart, spar
 def test_a_day_outside_the_calendar_stops_the_load(mart):
     with pytest.raises(ValueError, match="no record for 2025-01-01"):
         mart.run(datetime(2025, 1, 1))
+
+
+def test_the_load_waits_for_its_sources(mart):
+    with pytest.raises(ValueError, match="not all of Vendor, HR, Master, Other have finished"):
+        mart.run(datetime(2024, 3, 10), required=["Vendor", "HR", "Master", "Other"])
+    assert mart.store().read("dim_user").count() == 0
+    with pytest.raises(ValueError, match="not all"):  # yesterday's flags do not count
+        run_load(mart.store(), datetime(2024, 3, 11))

@@ -53,7 +53,7 @@ def test_pages_are_read_as_records(spark, rows, tmp_path, indent):
     ]
     assert feeds.rejected(flat, "users").count() == 2
     assert [f.dataType for f in kept.schema] == [f.dataType for f in TABLES["stg_users"]]
-    assert rows(load_audit({"users": flat})) == [("users", 3, 2)]
+    assert rows(load_audit({"users": flat}, {"users": kept})) == [("users", 3, 2)]
 
 
 def test_text_that_is_not_json_fails(spark, tmp_path):
@@ -108,6 +108,7 @@ def test_only_running_training_is_staged(spark, rows, tmp_path):
     assert rows(feeds.accepted(flat, "training"), "campaign_id", "start_date") == [
         (1, date(2024, 1, 2))
     ]
+    assert feeds.rejected(flat, "training").count() == 1
 
 
 def test_children_of(spark, rows):
