@@ -1,0 +1,22 @@
+"""Joins of a large table with a lookup table."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A lookup row is a few fixed-width columns, at most about 100 bytes in the hash
+# table; this many rows stay near 200 MB per executor.
+SMALL_ROWS = 2_000_000
+
+
+def small_side(table: DataFrame, columns: list[str], limit: int = SMALL_ROWS) -> DataFrame:
+    """The lookup columns of a stored table, to be broadcast when they are few rows.
+
+    The rows are counted first, which on a stored table reads little more than
+    file footers. Beyond the limit nothing is hinted: the join then shuffles,
+    and adaptive execution splits hot keys. Pass fixed-width columns only, so
+    that the row count bounds the size.
+    """
+    rows = table.select(*columns)
+    return F.broadcast(rows) if rows.count() <= limit else rows

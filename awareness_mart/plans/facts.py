@@ -25,25 +25,15 @@ def presence_flags(recipients: DataFrame) -> DataFrame:
     )
 
 
-def recipient_rows(
-    recipients: DataFrame,
-    tests: DataFrame,
-    dim_user: DataFrame,
-    dim_campaign: DataFrame,
-    dim_template: DataFrame,
-    dates: DataFrame,
-) -> DataFrame:
-    """Recipients with their dimension keys.
+def describe_tests(tests: DataFrame, dim_campaign: DataFrame, dates: DataFrame) -> DataFrame:
+    """What the fact takes from a test: campaign key, start date key, duration.
 
-    Tests are joined to campaign and date first: those are small next to the
-    recipients, which then take part in three joins instead of five. Unknown
-    tests, people and campaigns drop the row; an unknown template or date leaves
-    its key NULL.
+    Tests of unknown campaigns are left out; an unknown date leaves its key NULL.
     """
     campaigns = dim_campaign.filter(
         F.col("is_current") & (F.col("campaign_type") == "phishing")
     ).select("campaign_id", "campaign_key")
-    described = with_date_key(
+    return with_date_key(
         tests.join(campaigns, "campaign_id"), "started_at", dates, "started_date_key"
     ).select(
         "pst_id",
@@ -51,6 +41,17 @@ def recipient_rows(
         "started_date_key",
         (F.col("duration_days").cast("long") * SECONDS_PER_DAY).alias("duration_seconds"),
     )
+
+
+def recipient_rows(
+    recipients: DataFrame, described: DataFrame, dim_user: DataFrame, dim_template: DataFrame
+) -> DataFrame:
+    """Recipients with their dimension keys, from the tests of ``describe_tests``.
+
+    The tests come with campaign and date: those are small next to the
+    recipients, which so take part in three joins instead of five. Unknown tests
+    and people drop the row; an unknown template leaves its key NULL.
+    """
     users = dim_user.filter("is_current").select("user_id", "user_key")
     templates = dim_template.filter("is_current").select("template_id", "template_key")
     flags = presence_flags(recipients).select(

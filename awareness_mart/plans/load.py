@@ -12,6 +12,7 @@ from ..operators.bridge import bridge_apply, membership_pairs
 from ..operators.calendar import FIRST_DAY, LAST_DAY, calendar, require_day
 from ..operators.changes import keyed_update, scd2_changes
 from ..operators.keys import assign_keys, fill_keys, highest_key
+from ..operators.lookup import small_side
 from ..sources.feeds import (
     FLATTEN,
     PARENTS,
@@ -81,7 +82,7 @@ def run_staging(
         rows = accepted(flat[feed], feed)
         if feed in PARENTS:
             parent, key = PARENTS[feed]
-            rows = children_of(rows, staged[parent], key)
+            rows = children_of(rows, small_side(staged[parent], [key]), key)
         staged[feed] = store.write(table, rows)
     _finish(store, [VENDOR], run_ts)
     store.publish()
@@ -192,14 +193,14 @@ def run_load(
         run_ts=run_ts,
         close_missing=F.col("campaign_type") == "phishing",
     )
-    templates = store.read("dim_template")
+    known = store.read("dim_template")
     dim_template = store.write(
         "dim_template",
         assign_keys(
-            new_templates(templates, staged["recipients"], run_ts),
+            new_templates(known, staged["recipients"], run_ts),
             "template_key",
             ["template_id"],
-            highest_key(templates, "template_key"),
+            highest_key(known, "template_key"),
         ),
         history=True,
     )
@@ -211,16 +212,25 @@ def run_load(
     settled = ~F.col("is_current") & (F.col("start_date_key") != day_key)
     store.write("bridge_user_unit", bridge, history=settled)
 
+    # Lookups of a few narrow columns; the fact rows are shuffled only for those
+    # that are not small. The campaign type is one of three words.
+    users = small_side(dim_user.filter("is_current"), ["user_id", "user_key", "is_current"])
+    campaigns = small_side(
+        dim_campaign.filter("is_current"),
+        ["campaign_id", "campaign_key", "campaign_type", "is_current"],
+    )
+    templates = small_side(dim_template, ["template_id", "template_key", "is_current"])
+    tests = written(facts.describe_tests(staged["tests"], campaigns, dates))
     rows = facts.recipient_rows(
-        staged["recipients"], staged["tests"], dim_user, dim_campaign, dim_template, dates
+        staged["recipients"], small_side(tests, tests.columns), users, templates
     )
     _merge_fact(store, "fact_recipient", rows, facts.merge_recipients, ["pst_id", "user_key"])
-    rows = facts.enrollment_rows(staged["enrollments"], dim_user, dim_campaign, dates)
+    rows = facts.enrollment_rows(staged["enrollments"], users, campaigns, dates)
     _merge_fact(store, "fact_enrollment", rows, facts.merge_enrollments, ["enrollment_id"])
 
     fact = store.read("fact_snapshot")
     rows = facts.snapshot_rows(
-        staged["users"], staged["user_detail"], dim_user, fact, day_key, run_ts
+        staged["users"], staged["user_detail"], users, fact, day_key, run_ts
     )
     key = "snapshot_key"
     store.write(

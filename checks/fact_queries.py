@@ -90,7 +90,8 @@ def _dimensions(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
 def _recipient_rows(t: Tables) -> DataFrame:
     users, campaigns, templates = _dimensions(t)
     recipients = t("fx_recipients").withColumn("load_ts", F.lit(str(RUN_TS)).cast("timestamp_ntz"))
-    return facts.recipient_rows(recipients, t("fx_pst"), users, campaigns, templates, dates(t))
+    tests = facts.describe_tests(t("fx_pst"), campaigns, dates(t))
+    return facts.recipient_rows(recipients, tests, users, templates)
 
 
 HELPERS["ox_recipient_rows"] = f"""

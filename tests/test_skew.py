@@ -78,7 +78,8 @@ def test_hot_tests_and_templates_are_split(spark, small_skew_threshold):
     dates = spark.createDataFrame([(20240101,)], "date_key int").withColumn(
         "date", F.lit("2024-01-01").cast("date")
     )
-    rows = facts.recipient_rows(recipients(spark), tests, users, campaigns, templates, dates)
+    described = facts.describe_tests(tests, campaigns, dates)
+    rows = facts.recipient_rows(recipients(spark), described, users, templates)
     assert rows.count() == ROWS
     plan = final_plan(rows)
     assert plan.count("skew=true") >= 2  # the test and the template join
