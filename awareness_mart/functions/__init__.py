@@ -3,7 +3,16 @@
 from .casts import lenient_date, lenient_double
 from .dates import add_years, date_key, first_of_month, iso_year, last_of_previous_month, ntz
 from .hashing import person_key, row_hash_delimited, row_hash_plain, row_hash_strict
-from .nulls import any_differs, blank_to_null, default_if_blank, differs, exact, flag, loose, strict_mean
+from .nulls import (
+    any_differs,
+    blank_to_null,
+    default_if_blank,
+    differs,
+    exact,
+    flag,
+    loose,
+    strict_mean,
+)
 
 __all__ = [
     "add_years",

@@ -20,7 +20,7 @@ def lenient_double(text: Column) -> Column:
 
     Single underscores between digits group thousands and are accepted.
     """
-    plain = F.regexp_replace(text, "_", "")
+    plain = F.replace(text, F.lit("_"), F.lit(""))
     return F.when(text.rlike(_NUMBER), plain.try_cast("double"))
 
 

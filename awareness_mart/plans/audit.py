@@ -26,7 +26,7 @@ def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> D
 def domain(
     table: DataFrame, allowed: dict[str, Sequence] | None = None, required: Sequence[str] = ()
 ) -> DataFrame:
-    """Per column: rows with a value outside the allowed ones, and rows that lack a required value."""
+    """Rows per problem: values outside the allowed ones, and missing required values."""
     checks = {
         f"{column} not allowed": F.coalesce(~F.col(column).isin(list(values)), F.lit(False))
         for column, values in (allowed or {}).items()
@@ -34,8 +34,11 @@ def domain(
     checks |= {f"{column} missing": F.col(column).isNull() for column in required}
     names = list(checks)
     counts = table.agg(*[F.count_if(checks[name]).alias(name) for name in names])
-    pairs = F.array(*[F.struct(F.lit(n).alias("problem"), F.col(f"`{n}`").alias("n_rows")) for n in names])
-    return counts.select(F.inline(pairs))
+    pairs = [
+        F.struct(F.lit(name).alias("problem"), F.col(f"`{name}`").alias("n_rows"))
+        for name in names
+    ]
+    return counts.select(F.inline(F.array(*pairs)))
 
 
 def scd2_shape(dim: DataFrame, key: list[str]) -> DataFrame:
@@ -98,7 +101,11 @@ def all_duplicates(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
     parts = [
         duplicates(rows, key)
         .agg(F.count(F.lit(1)).alias("repeated_keys"), F.sum("copies").alias("n_rows"))
-        .select(F.lit(name).alias("table"), "repeated_keys", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+        .select(
+            F.lit(name).alias("table"),
+            "repeated_keys",
+            F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
+        )
         for name, (rows, key) in tables.items()
     ]
     return reduce(DataFrame.unionByName, parts)

@@ -153,9 +153,11 @@ def unit_dashboard(
         F.col("end_date_key").isNull() | (F.col("date_key") < F.col("end_date_key"))
     )
     spans = membership.select("user_key", unit, "start_date_key", "end_date_key")
+    person = ["user_key", "date_key"]
     person_days = [
         facts.snapshots,
-        *[_sum_by(rows, ["user_key", "date_key"]) for rows in (facts.recipients, facts.enrollments)],
+        _sum_by(facts.recipients, person),
+        _sum_by(facts.enrollments, person),
     ]
     daily = [
         _sum_by(

@@ -117,7 +117,7 @@ def active_phishing(
 
 
 def active_training(training: DataFrame, masters: DataFrame, run_date: date) -> DataFrame:
-    """Campaigns in progress that began before the last day of last month, with each matching type."""
+    """Campaigns in progress, begun before the last day of last month, by matching type."""
     begun = training.filter(
         (F.col("status") == "In Progress")
         & (F.col("start_date") < F.lit(last_of_previous_month(run_date)))

@@ -126,9 +126,7 @@ def _merge_fact(
     fact = store.read(table)
     surrogate = store.schemas[table].names[0]
     merged = merge(fact, written(rows))
-    return store.write(
-        table, fill_keys(merged, surrogate, keys, highest_key(fact, surrogate))
-    )
+    return store.write(table, fill_keys(merged, surrogate, keys, highest_key(fact, surrogate)))
 
 
 def stage_masters(store: MartStore, run_ts: datetime) -> None:

@@ -51,7 +51,10 @@ def report_template_types(
     typed = sums.join(templates.select(key, type_of.alias("Template_type")), key)
     return (
         typed.groupBy("Template_type")
-        .agg(F.sum("Occurrences").alias("Occurrences"), F.sum(_total_all()).alias("Total_reactions"))
+        .agg(
+            F.sum("Occurrences").alias("Occurrences"),
+            F.sum(_total_all()).alias("Total_reactions"),
+        )
         .orderBy(F.desc("Total_reactions"), "Template_type")
     )
 

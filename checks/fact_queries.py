@@ -215,7 +215,8 @@ def latest(t: Tables) -> DataFrame:
 )
 def daily_snapshot(t: Tables) -> DataFrame:
     users = t("fx_users")
-    dim = users.select("user_id", F.col("user_id").alias("user_key"), F.lit(True).alias("is_current"))
+    key, current = F.col("user_id").alias("user_key"), F.lit(True).alias("is_current")
+    dim = users.select("user_id", key, current)
     return facts.snapshot_rows(
         users, t("fx_user_detail"), dim, t("fx_fact_snapshot"), 20240101, RUN_TS
     )

@@ -117,7 +117,10 @@ def test_a_busy_user_fills_no_task_of_the_unit_dashboard(spark):
         person, day.alias("started_date_key"), F.lit(1).alias("delivered_count"),
         (F.col("id") % 2).cast("int").alias("reported_count"),
     )
-    nobody = "user_key long, snapshot_date_key int, phish_prone_pct decimal(5,2), current_risk_score decimal(9,4)"
+    nobody = (
+        "user_key long, snapshot_date_key int, phish_prone_pct decimal(5,2), "
+        "current_risk_score decimal(9,4)"
+    )
     snapshots = spark.createDataFrame([], nobody)
     enrollments = spark.createDataFrame(
         [], "user_key long, enrollment_date_key int, campaign_type string, status string"

@@ -131,7 +131,9 @@ def test_hr_extract(spark, rows):
         ],
         "email string, unit_code int, in_service date, out_service date, kind string",
     )
-    units = spark.createDataFrame([(1, "Intern"), (2, "  "), (3, None)], "unit_id int, unit_name string")
+    units = spark.createDataFrame(
+        [(1, "Intern"), (2, "  "), (3, None)], "unit_id int, unit_name string"
+    )
     hr = active_hr_units(staff, units, RUN)
     by_mail = staff.select("email", person_key(F.col("email")).alias("ehash"))
     assert rows(hr.join(by_mail, "ehash"), "email", "unit") == [
