@@ -9,19 +9,23 @@ from __future__ import annotations
 from datetime import datetime
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import any_differs, ntz
 
 
 def unique_or_fail(df: DataFrame, keys: list[str]) -> DataFrame:
-    """The same rows; the job fails when a key occurs twice.
+    """The same rows; the job fails when a key occurs twice, and says how often.
 
-    The count runs on the partitioning and order that a merge join on the same
-    keys needs anyway, so a join right after it adds no shuffle and no sort.
+    As an aggregate with a partial step this meets many copies of one key as one
+    row per map task, so they fail the job instead of filling a task. It uses
+    the shuffle that a merge join on the same keys needs anyway.
     """
-    count = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    rest = [c for c in df.columns if c not in keys]
+    counted = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_copies"), *[F.any_value(c).alias(c) for c in rest]
+    )
     message = F.concat(
         F.lit("source key occurs "),
         F.col("_copies"),
@@ -29,7 +33,7 @@ def unique_or_fail(df: DataFrame, keys: list[str]) -> DataFrame:
         F.to_json(F.struct(*keys)),
     )
     single = F.when(F.col("_copies") == 1, True).otherwise(F.raise_error(message).cast("boolean"))
-    return df.withColumn("_copies", count).filter(single).drop("_copies")
+    return counted.filter(single).select(*df.columns)
 
 
 def _same_keys(left: str, right: str, keys: list[str]) -> list[Column]:

@@ -1,9 +1,10 @@
 """Hot keys: a third of all rows on one key."""
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from awareness_mart.operators.changes import missing_from
+from awareness_mart.operators.changes import missing_from, unique_or_fail
 from awareness_mart.operators.latest import latest_per_key
 from awareness_mart.plans import dashboards, facts
 from awareness_mart.schemas import RECIPIENT_FLAGS
@@ -146,3 +147,17 @@ def test_a_busy_user_fills_no_task_of_the_unit_dashboard(spark):
         pct = 100 * running.reported_count / running.delivered_count
         for key, value in pct.items():
             assert found[(unit, key - 20240100)] == pytest.approx(value)
+
+
+def test_many_copies_of_a_key_are_merged_before_the_shuffle(spark):
+    copies = spark.range(0, ROWS, 1, 4).select(
+        hot("id_"), F.lit("x").alias("v"), F.lit(1).alias("n")
+    )
+    checked = unique_or_fail(copies, ["id_"])
+    plan = checked._jdf.queryExecution().executedPlan().toString()
+    shuffle = plan.index("Exchange hashpartitioning")
+    assert "partial_any_value" in plan[shuffle:] or "partial_first" in plan[shuffle:]
+    with pytest.raises(PySparkException, match="source key occurs"):
+        checked.collect()
+    with pytest.raises(PySparkException, match=f"source key occurs {ROWS // 3} times"):
+        unique_or_fail(copies.filter("id_ = 1 and n = 1").limit(ROWS // 3), ["id_"]).collect()
