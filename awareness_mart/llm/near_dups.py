@@ -239,7 +239,7 @@ def links(docs: DataFrame, texts: DataFrame) -> DataFrame:
     near = written(_grouped(near).mapInArrow(_with_partner, member), "candidates")
     wanted = near.select("doc_id").distinct()
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary").alias("text"))
-    sets = rows.join(wanted, "doc_id", "left_semi").mapInArrow(
+    sets = rows.join(wanted.hint("merge"), "doc_id", "left_semi").mapInArrow(
         _sets, "doc_id bigint, shingle_set binary"
     )
     return _grouped(near.join(sets, "doc_id")).mapInArrow(_verified, "a bigint, b bigint")

@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import read
+from .decontaminate import contained_items
 from .near_dups import near_duplicates
+from .packing import packed
+from .quality import judged
+from .secret_scan import report
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,3 +61,62 @@ select doc_id, cast(n_shingles as bigint) as n_shingles, component_id, doc_id =
 )
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query("op1_best_fit_packing")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(read(spark, sf_dir, "documents"))
+
+
+@query("op6_markov_secrets")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(read(spark, sf_dir, "documents"))
+
+
+@query(
+    "op8_benchmark_containment",
+    f"""with words as (select doc_id, {_WORDS} as w from documents),
+items as (select item_id, {_WORDS} as w from benchmark),
+grams as (select doc_id, unnest(case when len(w) < 5 then [array_to_string(w, ' ')]
+  else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')) end) as g from words where len(w) > 0),
+wanted as (select distinct item_id, unnest(case when len(w) < 5 then [array_to_string(w, ' ')]
+  else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')) end) as g from items where len(w) > 0),
+size as (select item_id, count(*) as n_shingles from wanted group by item_id),
+found as (select doc_id, item_id, count(*) as n_found from (select distinct * from grams) join wanted using (g) group by all)
+select doc_id, item_id, n_shingles, n_found from found join size using (item_id) where 100 * n_found >= 75 * n_shingles""",
+)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contained_items(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    ).drop("row_hash")
+
+
+@query(
+    "op9_host_quality",
+    r"""with texts as (select doc_id, source as host, coalesce(text, '') as t, row_number() over () as r from documents),
+words as (select *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') as w,
+  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines from texts),
+windows as (select r, unnest(range(1, len(w) - 1)) as i, unnest(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i+2], ' '))) as g
+  from words where len(w) > 2),
+twice as (select r, i from (select r, i, count(*) over (partition by r, g) as c from windows) where c > 1),
+covered as (select r, count(distinct k) as n from (select r, unnest([i, i + 1, i + 2]) as k from twice) group by r),
+counted as (select doc_id, host, len(w) as n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) as word_chars,
+  length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as n_symbols,
+  len(lines) as n_lines, len(lines) - len(list_distinct(lines)) as n_dup_lines,
+  coalesce(n, 0) as n_repeat_words from words left join covered using (r)),
+ruled as (select *, n_words < 50 as few_words, 100 * n_repeat_words > 50 * n_words as repeated,
+  10 * n_symbols > n_words as symbols, 10 * n_dup_lines > 3 * n_lines as copied_lines,
+  not (word_chars between 2 * n_words and 15 * n_words) as odd_words from counted),
+failures as (select host, rule, avg(cast(failed as int)) as rate, sum(cast(failed as int)) as f, count(*) as n
+  from ruled unpivot (failed for rule in (few_words, repeated, symbols, copied_lines, odd_words))
+  where host is not null group by host, rule),
+prior as (select rule, avg(rate) as m, case when var_pop(rate) > 0
+  then greatest(1, avg(rate) * (1 - avg(rate)) / var_pop(rate) - 1) else 1 end as weight from failures group by rule),
+bad as (select distinct host from failures join prior using (rule) where (f + m * weight) / (n + weight) >= 0.7)
+select doc_id, ruled.host as host, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words,
+  few_words or repeated as base_failed, bad.host is not null as host_failed,
+  not (few_words or repeated) and bad.host is null as kept
+from ruled left join bad on ruled.host = bad.host""",
+)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(read(spark, sf_dir, "documents")).drop("row_hash")

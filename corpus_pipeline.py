@@ -5,9 +5,19 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from awareness_mart.llm.common import read, scratch_folder, without
+from awareness_mart.llm.decontaminate import contained_items
 from awareness_mart.llm.near_dups import near_duplicates
+from awareness_mart.llm.packing import packed
+from awareness_mart.llm.quality import judged
+from awareness_mart.llm.secret_scan import redacted
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return without(docs, judged(docs).where("not kept"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -16,8 +26,27 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(copies.distinct(), "doc_id", "left_anti").select(docs.columns)
 
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item go."""
+    return without(docs, contained_items(docs, read(spark, sf_dir, "benchmark")))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced in the text; n_chars follows."""
+    return redacted(docs).withColumn("n_chars", F.length("text").cast("bigint")).select(docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of 2048 tokens."""
+    return packed(docs)
+
+
 STAGES = [
+    ("quality", quality),
     ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("secrets", secrets),
+    ("packing", packing),
 ]
 
 # Tokenizers, likelihoods and a stage that trains a model are beyond SQL.
