@@ -29,7 +29,7 @@ KINDS = ("assign", "access", "hex", "markov")
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 CODES = 128
-PRIOR = 1.0  # pseudo-count of every pair of characters in either model
+PRIOR = 20.0  # pseudo-counts after each character, dealt by the shares of the characters
 MIN_MEAN = 1.0  # nats a pair of characters that a run must favour the random model by
 
 _SPANS = "array<struct<start: bigint, kind: int, end: bigint, value: string>>"
@@ -116,15 +116,22 @@ def train(docs: DataFrame) -> list[float]:
         for r in pairs.groupBy("label", "code").agg(F.count("*").alias("n")).collect()
     }
     codes = [ord(c) for c in ALPHABET]
+    shares = {}
+    for label in (1, 0):
+        row = [1 + sum(counts.get((label, a * CODES + b), 0) for a in codes) for b in codes]
+        shares[label] = [n / sum(row) for n in row]
     model = [0.0] * (CODES * CODES)
     for a in codes:
         logs = []
         for label in (1, 0):
-            row = [counts.get((label, a * CODES + b), 0) + PRIOR for b in codes]
+            row = [
+                counts.get((label, a * CODES + b), 0) + PRIOR * share
+                for b, share in zip(codes, shares[label], strict=True)
+            ]
             total = math.log(sum(row))
             logs.append([math.log(n) - total for n in row])
-        for b, random, ordinary_ in zip(codes, *logs, strict=True):
-            model[a * CODES + b] = random - ordinary_
+        for b, random, words in zip(codes, *logs, strict=True):
+            model[a * CODES + b] = random - words
     return model
 
 
