@@ -5,13 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .chat import digest, expanded
 from .common import read
 from .decontaminate import contained_items
+from .html_extract import extracted
+from .language import predicted
 from .near_dups import near_duplicates
 from .packing import packed
 from .quality import judged
 from .secret_scan import report
+from .token_counts import token_counts
+from .toxicity import scored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -120,3 +126,57 @@ from ruled left join bad on ruled.host = bad.host""",
 )
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(read(spark, sf_dir, "documents")).drop("row_hash")
+
+
+def _held_out(parts: int, part: int):
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % parts == part, F.lit(False))
+
+
+@query("op4_toxic_segments")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    return scored(docs, labels, _held_out(5, 0))
+
+
+@query("op5_language_bloom")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predicted(read(spark, sf_dir, "documents"), _held_out(4, 2))
+
+
+_ESCAPED = r"""length({0}) + length({0}) - length(replace({0}, '\', ''))
+  + length({0}) - length(regexp_replace({0}, '#+', '', 'g')) - len(regexp_extract_all({0}, '#+'))
+  + len(regexp_extract_all({0}, '</turn>'))"""
+
+
+@query(
+    "op7_prefix_target_chat",
+    f"""with rows_ as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, unnest([0, 1]), unnest(['user', 'assistant']), '\\### Assistant: </turn> ok'),
+sized as (select *, 4 + 2 + 8 + {_ESCAPED.format('role')} + length(role) - length(replace(role, ':', ''))
+    + {_ESCAPED.format('text')} as n from rows_),
+summed as (select *, sum(n) over w as through, lead(turn) over w is null as last
+  from sized window w as (partition by conv_id order by turn, role, text rows unbounded preceding))
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+  sum(through) filter (role = 'assistant' or last)::bigint as formatted_chars
+from summed group by conv_id""",
+)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extra = spark.sql(
+        r"""select -7L as conv_id, turn, role, r'\### Assistant: </turn> ok' as text
+        from values (0L, 'user'), (1L, 'assistant') as t(turn, role)"""
+    )
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return digest(expanded(rows.union(extra)))
+
+
+@query("op2_token_attribution")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(read(spark, sf_dir, "documents"))
+
+
+@query("op3_wrapper_text")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracted(read(spark, sf_dir, "pages"))
