@@ -17,7 +17,6 @@ from unicodedata import is_normalized
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -29,11 +28,12 @@ END = 0
 FULL = 0.995  # a bin this full is closed at once
 CHUNK = 40_000  # items that a task packs at a time
 WORTH = 0.95  # a round must leave fewer open bins than this share
-KNOWN_CHUNKS = 500_000
+KNOWN_CHUNKS = 400_000
+KNOWN_WORDS = 700_000
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
-_PLAIN = regex.compile(r"(\p{L}+)([^\s\p{L}\p{N}']*)")
+_MARKS = ".,!?;:|"  # a run of them at a word's end is one part to the tokenizer
 # str.split() cuts at these four too, the tokenizer does not.
 _ODD = "\x1c\x1d\x1e\x1f"
 
@@ -69,23 +69,25 @@ class TokenCache:
             self.words[word] = raw[begin:end]
             begin = end
 
-    def _learn(self, parts: list[str]) -> None:
-        if len(self.words) > KNOWN_CHUNKS:
+    def _learn(self, parts: set[str]) -> None:
+        if len(self.words) > KNOWN_WORDS:
             self.words.clear()
-        split, direct = {}, []
+        split, new = [], set()
         for part in parts:
-            match = _PLAIN.fullmatch(part) if is_normalized("NFC", part) else None
-            if match and "<|" not in part:
-                split[part] = [x for x in match.groups() if x]
+            word = part.rstrip(_MARKS)
+            if word.isalpha() and (word.isascii() or is_normalized("NFC", word)):
+                mark = part[len(word) :]
+                split.append((part, word, mark))
+                new.add(word)
+                new.add(mark)
             else:
-                direct.append(part)
-        new = list({x for xs in split.values() for x in xs if x not in self.words})
-        for i in range(0, len(new), 2000):
-            self._learn_words(new[i : i + 2000])
-        for part, xs in split.items():
-            self.parts[part] = b"".join([self.words[x] for x in xs])
-        for part in direct:
-            self.parts[part] = self._direct(part)
+                self.parts[part] = self._direct(part)
+        self.words[""] = b""
+        words = list(new.difference(self.words))
+        for i in range(0, len(words), 2000):
+            self._learn_words(words[i : i + 2000])
+        known = self.words
+        self.parts.update((part, known[word] + known[mark]) for part, word, mark in split)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         if len(self.parts) > KNOWN_CHUNKS:
@@ -94,8 +96,8 @@ class TokenCache:
         missing: set[str] = set()
         for parts in cut:
             if parts:
-                missing.update(p for p in parts if p not in self.parts)
-        self._learn(list(missing))
+                missing.update(set(parts).difference(self.parts))
+        self._learn(missing)
         find = self.parts.__getitem__
         return [
             b"".join(map(find, parts)) if parts is not None else self._direct(text or "")
