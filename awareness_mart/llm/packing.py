@@ -76,7 +76,9 @@ class TokenCache:
         split, new = [], set()
         for part in parts:
             word = part.rstrip(_MARKS)
-            if word.isalpha() and (word.isascii() or is_normalized("NFC", word)):
+            if word.isalpha() and (
+                word.isascii() or word.lower().isalpha() and is_normalized("NFC", word)
+            ):
                 mark = part[len(word) :]
                 split.append((part, word, mark))
                 new.add(word)
