@@ -7,6 +7,7 @@ the next version.
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -16,7 +17,7 @@ from ..functions import any_differs, ntz
 
 
 def unique_or_fail(df: DataFrame, keys: list[str]) -> DataFrame:
-    """The same rows; the job fails when a key occurs twice, and says how often.
+    """The same rows; the job fails when a key occurs twice or is NULL, and says how often.
 
     As an aggregate with a partial step this meets many copies of one key as one
     row per map task, so they fail the job instead of filling a task. It uses
@@ -26,13 +27,14 @@ def unique_or_fail(df: DataFrame, keys: list[str]) -> DataFrame:
     counted = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_copies"), *[F.any_value(c).alias(c) for c in rest]
     )
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     message = F.concat(
-        F.lit("source key occurs "),
+        F.when(whole, F.lit("source key occurs ")).otherwise(F.lit("source key is NULL ")),
         F.col("_copies"),
         F.lit(" times: "),
         F.to_json(F.struct(*keys)),
     )
-    single = F.when(F.col("_copies") == 1, True).otherwise(F.raise_error(message).cast("boolean"))
+    single = F.when((F.col("_copies") == 1) & whole, True).otherwise(F.raise_error(message).cast("boolean"))
     return counted.filter(single).select(*df.columns)
 
 
@@ -172,6 +174,28 @@ def upsert(
     return joined.select(*[value(c).alias(c) for c in target.columns])
 
 
+def update_matching(
+    target: DataFrame, src: DataFrame, keys: list[str], take_source: list[str]
+) -> DataFrame:
+    """The target's rows, with ``take_source`` columns of the source row of the same key.
+
+    One join that carries the wide rows; the target is its kept side, which adaptive
+    execution can split at a hot key. The source key must be unique and not NULL.
+    """
+    new = unique_or_fail(src.select(*keys, *take_source), keys)
+    new = new.withColumn("_seen", F.lit(True)).alias("s")
+    joined = target.alias("t").join(new, _same_keys("t", "s", keys), "left")
+    seen = F.col("s._seen").isNotNull()
+    return joined.select(
+        *[
+            F.when(seen, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
+            if c in take_source
+            else F.col(f"t.{c}")
+            for c in target.columns
+        ]
+    )
+
+
 def keyed_update(
     target: DataFrame, changes: DataFrame, keys: list[str], columns: list[str]
 ) -> DataFrame:

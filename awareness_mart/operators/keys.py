@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Slots are dealt to tasks by another hash; several a task even out what each gets.
+SLOTS_PER_TASK = 16
+
+
 def highest_key(table: DataFrame, surrogate: str) -> Column:
     """Largest key in use, 0 for an empty table, as a scalar subquery."""
     return table.select(F.coalesce(F.max(surrogate), F.lit(0)).cast("long")).scalar()
@@ -22,7 +26,7 @@ def assign_keys(
     a task repeated after a lost executor gives the same ones. Like an identity
     column the numbers may have gaps.
     """
-    slots = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slots = SLOTS_PER_TASK * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     start = F.lit(after).cast("long") if isinstance(after, int) else after
     slot = F.pmod(F.xxhash64(*natural_key), F.lit(slots).cast("long"))
     number = F.row_number().over(Window.partitionBy("_slot").orderBy(*natural_key)).cast("long")

@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 def latest_per_key(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
     """The row with the highest ``order_col`` of each key.
 
-    Keys and ``order_col`` together must be unique. As an aggregate this keeps
-    one row per key and map task before the shuffle and needs no sort, so a key
-    that holds a large part of the rows stays cheap.
+    Rows of a key with the same ``order_col`` are ranked by their other columns, so
+    the result is one of the rows and never depends on their order. As an aggregate
+    this keeps one row per key and map task before the shuffle, so a key that holds a
+    large part of the rows stays cheap.
     """
     rest = [c for c in df.columns if c not in keys and c != order_col]
-    return df.groupBy(*keys).agg(
-        F.max(order_col).alias(order_col), *[F.max_by(c, order_col).alias(c) for c in rest]
-    )
+    best = df.groupBy(*keys).agg(F.max(F.struct(order_col, *rest)).alias("_row"))
+    return best.select(*keys, *[F.col("_row")[c].alias(c) for c in (order_col, *rest)])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import flag, ntz
 from ..operators.calendar import with_date_key
-from ..operators.changes import upsert
+from ..operators.changes import missing_from, update_matching, upsert
 from ..operators.latest import latest_per_key
 from ..schemas import RECIPIENT_FLAGS
 
@@ -74,24 +74,51 @@ def recipient_rows(
     )
 
 
+# How rows merge into the two upserted facts: the match key, what an update takes. The
+# first load time of a row stays.
+RECIPIENT_KEYS = ["pst_id", "user_key"]
+RECIPIENT_UPDATES = [
+    "campaign_key",
+    "template_key",
+    *RECIPIENT_FLAGS,
+    "started_date_key",
+    "duration_seconds",
+]
+ENROLLMENT_KEYS = ["enrollment_id"]
+ENROLLMENT_UPDATES = ["user_key", "campaign_key", "status", "enrollment_date_key"]
+
+
 def merge_recipients(fact: DataFrame, rows: DataFrame) -> DataFrame:
     """The first load time of a row stays; the result status is never filled."""
     return upsert(
         fact,
         rows,
-        keys=["pst_id", "user_key"],
-        take_source=[
-            "campaign_key",
-            "template_key",
-            *RECIPIENT_FLAGS,
-            "started_date_key",
-            "duration_seconds",
-        ],
+        keys=RECIPIENT_KEYS,
+        take_source=RECIPIENT_UPDATES,
         keep_target=["load_ts"],
         insert_defaults={"result_status": F.lit(None).cast("string")},
     )
 
 
+def merged_parts(
+    fact: DataFrame, rows: DataFrame, keys: list[str], updates: list[str]
+) -> tuple[DataFrame, DataFrame]:
+    """Stored rows after their updates, and the rows to insert, which still lack a key.
+
+    The wide fact takes part in one join; the inserts are found by its match key alone.
+    Columns that the source lacks are NULL in new rows.
+    """
+    new = missing_from(rows, fact, keys)
+    kinds = dict(fact.dtypes)
+    inserts = new.select(
+        *[
+            F.col(c) if c in new.columns else F.lit(None).cast(kinds[c]).alias(c)
+            for c in fact.columns
+        ]
+    )
+    return update_matching(fact, rows, keys, updates), inserts
+
+
 def enrollment_rows(
     enrollments: DataFrame, dim_user: DataFrame, dim_campaign: DataFrame, dates: DataFrame
 ) -> DataFrame:
@@ -115,8 +142,8 @@ def merge_enrollments(fact: DataFrame, rows: DataFrame) -> DataFrame:
     return upsert(
         fact,
         rows,
-        keys=["enrollment_id"],
-        take_source=["user_key", "campaign_key", "status", "enrollment_date_key"],
+        keys=ENROLLMENT_KEYS,
+        take_source=ENROLLMENT_UPDATES,
         keep_target=["load_ts"],
         insert_defaults={"completion_date_key": F.lit(None).cast("int")},
     )

@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import exact
 from ..operators.bridge import bridge_apply, membership_pairs
 from ..operators.calendar import FIRST_DAY, LAST_DAY, calendar, require_day
 from ..operators.changes import keyed_update, scd2_changes
 from ..operators.keys import assign_keys, fill_keys, highest_key
-from ..operators.lookup import small_side
 from ..sources.feeds import (
     FLATTEN,
     PARENTS,
@@ -65,6 +65,7 @@ def finish_sources(status: DataFrame, sources: Sequence[str], run_date: date) ->
 
 
 def _finish(store: MartStore, sources: Sequence[str], run_ts: datetime) -> DataFrame:
+    store.reload()
     status = store.read("source_status")
     return store.write("source_status", finish_sources(status, sources, run_ts.date()))
 
@@ -82,7 +83,7 @@ def run_staging(
         rows = accepted(flat[feed], feed)
         if feed in PARENTS:
             parent, key = PARENTS[feed]
-            rows = children_of(rows, small_side(staged[parent], [key]), key)
+            rows = children_of(rows, staged[parent], key)
         staged[feed] = store.write(table, rows)
     _finish(store, [VENDOR], run_ts)
     store.publish()
@@ -119,14 +120,18 @@ def _merge_fact(
     store: MartStore,
     table: str,
     rows: DataFrame,
-    merge: Callable[[DataFrame, DataFrame], DataFrame],
     keys: list[str],
+    updates: list[str],
 ) -> DataFrame:
-    """Merge mapped rows into a fact. They are written first: updates and inserts both read them."""
+    """Merge mapped rows into a fact; only the inserted ones are given keys.
+
+    The rows are written first: updates and inserts both read them.
+    """
     fact = store.read(table)
     surrogate = store.schemas[table].names[0]
-    merged = merge(fact, written(rows))
-    return store.write(table, fill_keys(merged, surrogate, keys, highest_key(fact, surrogate)))
+    updated, inserts = facts.merged_parts(fact, written(rows), keys, updates)
+    fresh = assign_keys(inserts, surrogate, keys, highest_key(fact, surrogate))
+    return store.write(table, updated.unionByName(fresh))
 
 
 def stage_masters(store: MartStore, run_ts: datetime) -> None:
@@ -145,12 +150,13 @@ def run_load(
     init_calendar: bool = False,
     first_day: date = FIRST_DAY,
     last_day: date = LAST_DAY,
+    normalize: Callable[[Column], Column] = exact,
 ) -> None:
     """Load dimensions, bridge and facts from the staging tables, published at the end.
 
     Stops when a required source has not finished today. Every step writes its
     table and the next one reads what was written, so a lost executor repeats
-    one step at most.
+    one step at most. ``normalize`` says which unit names of HR and master are equal.
     """
     spark, today = store.spark, run_ts.date()
     stage_masters(store, run_ts)
@@ -203,28 +209,21 @@ def run_load(
         history=True,
     )
 
-    pairs = membership_pairs(store.read("stg_hr"), dim_user, dim_unit)
+    pairs = membership_pairs(store.read("stg_hr"), dim_user, dim_unit, normalize)
     bridge = bridge_apply(
-        store.read("bridge_user_unit", "current"), pairs, dim_user.filter("is_current"), day_key
+        store.read("bridge_user_unit", "current"), pairs, store.read("dim_user", "current"), day_key
     )
     settled = ~F.col("is_current") & (F.col("start_date_key") != day_key)
     store.write("bridge_user_unit", bridge, history=settled)
 
-    # Lookups of a few narrow columns; the fact rows are shuffled only for those
-    # that are not small. The campaign type is one of three words.
-    users = small_side(dim_user.filter("is_current"), ["user_id", "user_key", "is_current"])
-    campaigns = small_side(
-        dim_campaign.filter("is_current"),
-        ["campaign_id", "campaign_key", "campaign_type", "is_current"],
-    )
-    templates = small_side(dim_template, ["template_id", "template_key", "is_current"])
+    # Whether a lookup is broadcast is Spark's choice, by its size threshold.
+    users = store.read("dim_user", "current")
+    campaigns = store.read("dim_campaign", "current")
     tests = written(facts.describe_tests(staged["tests"], campaigns, dates))
-    rows = facts.recipient_rows(
-        staged["recipients"], small_side(tests, tests.columns), users, templates
-    )
-    _merge_fact(store, "fact_recipient", rows, facts.merge_recipients, ["pst_id", "user_key"])
+    rows = facts.recipient_rows(staged["recipients"], tests, users, dim_template)
+    _merge_fact(store, "fact_recipient", rows, facts.RECIPIENT_KEYS, facts.RECIPIENT_UPDATES)
     rows = facts.enrollment_rows(staged["enrollments"], users, campaigns, dates)
-    _merge_fact(store, "fact_enrollment", rows, facts.merge_enrollments, ["enrollment_id"])
+    _merge_fact(store, "fact_enrollment", rows, facts.ENROLLMENT_KEYS, facts.ENROLLMENT_UPDATES)
 
     fact = store.read("fact_snapshot")
     rows = facts.snapshot_rows(

@@ -22,6 +22,26 @@ ERRORS = {
 }
 
 
+def current_results(fact: DataFrame, dim_user: DataFrame, per: list[str]) -> DataFrame:
+    """Fact rows without those that a newer version of the same person repeats.
+
+    A changed e-mail gives a person a new key and their results a second row. Of each
+    person and ``per`` (a test, a day) the row of the newest version counts. Only people
+    with a closed version can have several, so all other rows pass one anti join.
+    """
+    closed = dim_user.filter(~F.col("is_current")).select("user_id").distinct()
+    versions = dim_user.join(closed, "user_id", "left_semi").select(
+        "user_key",
+        F.col("user_id").alias("_person"),
+        F.struct("effective_from", "user_key").alias("_version"),
+    )
+    touched = fact.join(versions, "user_key")
+    newest = touched.groupBy("_person", *per).agg(F.max("_version").alias("_version"))
+    kept = touched.join(newest, ["_person", *per, "_version"], "left_semi")
+    rest = fact.join(versions, "user_key", "left_anti")
+    return rest.unionByName(kept.select(*fact.columns))
+
+
 def _totals() -> list[Column]:
     return [F.sum(flag).cast("long").alias(total) for total, flag in ERRORS.items()]
 

@@ -36,7 +36,10 @@ def phishing_report(store: MartStore, name: str, type_of: Column | None = None)
 
     The mart stores no template type; ``type_of`` derives it from a template row.
     """
-    fact, templates = store.read("fact_recipient"), store.read("dim_template")
+    fact = reports.current_results(
+        store.read("fact_recipient"), store.read("dim_user"), ["pst_id"]
+    )
+    templates = store.read("dim_template")
     if name == "templates":
         return reports.report_templates(fact, templates)
     if name == "template_types":
@@ -59,8 +62,12 @@ def security_dashboard(
     """
     types = store.read("dim_campaign").select("campaign_key", "campaign_type")
     enrollments = store.read("fact_enrollment").join(types, "campaign_key")
+    people = store.read("dim_user")
     rows = dashboards.measures(
-        store.read("fact_snapshot"), store.read("fact_recipient"), enrollments, completed
+        reports.current_results(store.read("fact_snapshot"), people, ["snapshot_date_key"]),
+        reports.current_results(store.read("fact_recipient"), people, ["pst_id"]),
+        enrollments,
+        completed,
     )
     dates = store.read("dim_date")
     if not per_unit:

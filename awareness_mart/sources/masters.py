@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import blank_to_null, ntz, row_hash_delimited
+from ..operators.changes import unique_or_fail
 from .store import MartStore
 
 
@@ -47,6 +48,25 @@ def stage_phishing_campaigns(campaigns: DataFrame, run_ts: datetime) -> DataFram
     )
 
 
+# Key of each master, and what else must not be NULL. Fixed values.
+MASTER_KEYS = {
+    "mst_units": ("unit", []),
+    "mst_training": ("name", ["active"]),
+    "mst_phishing": ("campaign_id", ["active"]),
+    "mst_targets": ("kpi", ["active"]),
+}
+
+
+def checked_master(rows: DataFrame, table: str) -> DataFrame:
+    """The same rows; the job fails at a key that is NULL or repeated, or a required NULL."""
+    key, required = MASTER_KEYS[table]
+    rows = unique_or_fail(rows, [key])
+    for column in required:
+        missing = F.raise_error(F.lit(f"{table}.{column} is NULL")).cast("boolean")
+        rows = rows.filter(F.when(F.col(column).isNotNull(), True).otherwise(missing))
+    return rows
+
+
 def edited_rows(rows: DataFrame) -> DataFrame:
     """Rows as typed in: text stripped, blank to NULL, all-blank rows left out."""
     cleaned = rows.select(
@@ -59,6 +79,9 @@ def edited_rows(rows: DataFrame) -> DataFrame:
 
 
 def replace_master(store: MartStore, table: str, rows: DataFrame) -> None:
-    """Replace a master table by edited rows. Readers see the old rows until all are written."""
-    store.write(table, edited_rows(rows))
+    """Replace a master table by edited rows. Readers see the old rows until all are written.
+
+    A key that is NULL or occurs twice fails the write, and nothing is published.
+    """
+    store.write(table, checked_master(edited_rows(rows), table))
     store.publish()

@@ -83,6 +83,11 @@ class MartStore:
             self.published.setdefault(row.name, []).append((row.version, row.keeps_history))
             self.seq = row.seq
 
+    def reload(self) -> None:
+        """See what others have published since; what this load wrote stays pending."""
+        self.published = {}
+        self._read_log()
+
     def versions(self, table: str) -> list[str]:
         """Versions that hold rows of the table: the newest and those that kept history."""
         found = list(self.published.get(table, []))
@@ -126,7 +131,17 @@ class MartStore:
         return rows.filter(wanted).select(*schema.names)
 
     def publish(self) -> None:
-        """Make everything this load wrote visible, at once."""
+        """Make everything this load wrote visible, at once.
+
+        Fails, and publishes nothing, if another job has replaced one of the same tables
+        since this store last read the log: its changes would be lost. The log takes no
+        lock; jobs that publish the same table in the same instant must be kept apart.
+        """
+        seen = {t: self.published.get(t, []) for t in self.pending}
+        self.reload()
+        late = sorted(t for t, before in seen.items() if self.published.get(t, []) != before)
+        if late:
+            raise ValueError(f"{', '.join(late)} changed since this load read them")
         entries = [(self.seq + 1, t, self.run, keeps) for t, keeps in self.pending.items()]
         self.spark.createDataFrame(entries, _LOG).coalesce(1).write.mode("append").json(
             f"{self.root}/_published"

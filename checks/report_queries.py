@@ -57,6 +57,24 @@ def report_error_totals(t: Tables) -> DataFrame:
     return reports.report_error_totals(_results(t)[0])
 
 
+@query("report_after_rename", f"select {_COUNTS_SQL} from fx_recipients")
+def report_after_rename(t: Tables) -> DataFrame:
+    """Every third person has a closed version, and each of their results a row for both."""
+    fact = _results(t)[0].withColumn("user_key", 2 * F.col("user_id"))
+    renamed = F.col("user_id") % 3 == 0
+    again = fact.filter(renamed).withColumn("user_key", F.col("user_key") + 1)
+    people = fact.select("user_id", "user_key").distinct()
+    first = people.select("*", F.lit(1).alias("effective_from"), (~renamed).alias("is_current"))
+    second = people.filter(renamed).select(
+        "user_id",
+        (F.col("user_key") + 1).alias("user_key"),
+        F.lit(2).alias("effective_from"),
+        F.lit(True).alias("is_current"),
+    )
+    results = reports.current_results(fact.union(again), first.union(second), ["pst_id"])
+    return reports.report_error_totals(results)
+
+
 @query(
     "report_top10",
     " union all ".join(

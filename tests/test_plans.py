@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from awareness_mart.operators.lookup import small_side
 
 SF = "/root/testdata/sf0.001"
 
@@ -80,15 +79,3 @@ def test_one_shuffle_per_side_for_a_checked_merge(spark, no_broadcast):
     """The uniqueness check of the source shares the shuffle of the join."""
     text = plan(entry.queries()["scd2_user"](spark, SF))
     assert len(re.findall(r"Exchange hashpartitioning", text)) == 2
-
-
-def test_lookups_are_broadcast_by_their_counted_size(spark, no_broadcast):
-    """With Spark's own broadcasts off, the count alone decides."""
-    big = spark.range(100).withColumnRenamed("id", "user_id")
-    lookup = spark.range(10).selectExpr("id as user_id", "id as user_key", "'x' as name")
-    columns = ["user_id", "user_key"]
-    small = big.join(small_side(lookup, columns).filter("user_key > 1"), "user_id")
-    large = big.join(small_side(lookup, columns, limit=9).filter("user_key > 1"), "user_id")
-    assert "BroadcastHashJoin" in plan(small)
-    assert "SortMergeJoin" in plan(large)
-    assert small.count() == large.count() == 8
