@@ -20,7 +20,7 @@ from tokenizers import Tokenizer
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 RULES = ("start", "end", "most")
-KNOWN_PARTS = 500_000
+KNOWN_PARTS = 300_000
 _BATCH = 200  # texts that are encoded at a time
 
 # The tokenizer cuts a text into these parts and never joins tokens across them.
