@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import (
@@ -37,7 +37,7 @@ RATE = 20.0
 TOP = 255
 LINK_PERCENT = 75
 LOWEST = 0.6
-BLOCK = 600  # members of a bucket that are compared with each other in one group
+BLOCK = 600  # members of a bucket, about, that are compared with each other in one group
 
 _RANDOM = np.random.default_rng(20_211)
 _A = (_RANDOM.integers(0, 2**32, REGISTERS, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
@@ -119,8 +119,8 @@ def sketches(docs: DataFrame) -> DataFrame:
     )
 
 
-def _bucketed(texts: DataFrame) -> DataFrame:
-    """Members of buckets with two or more texts, in blocks: a row per pair of blocks."""
+def _members(texts: DataFrame) -> DataFrame:
+    """(doc_id, bucket, size) of the buckets with two or more texts."""
     key = F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
         lambda b: F.shiftleft(b.cast("bigint"), 32)
@@ -128,29 +128,65 @@ def _bucketed(texts: DataFrame) -> DataFrame:
     )
     bands = texts.select("doc_id", F.explode(key).alias("bucket"))
     sizes = bands.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    blocks = F.ceil(F.col("size") / BLOCK)
-    members = bands.join(sizes, "bucket").select(
-        "doc_id",
-        "bucket",
-        blocks.cast("int").alias("blocks"),
-        F.pmod(F.xxhash64("doc_id"), blocks).cast("int").alias("block"),
-    )
-    member = members.join(texts.select("doc_id", "n_shingles", "registers"), "doc_id")
-    return member.select(
+    return bands.join(sizes, "bucket").select("doc_id", "bucket", "size")
+
+
+def _dealt(members: DataFrame, classes: str = "doc_id") -> DataFrame:
+    """Members of each bucket (doc_id, bucket, size) in blocks that are compared in themselves."""
+    block = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("size") / BLOCK)).cast("int")
+    return members.select(
         "bucket",
-        "block",
+        block.alias("lo"),
+        block.alias("hi"),
+        block.alias("block"),
+        F.col(classes).alias("class"),
         "doc_id",
-        "n_shingles",
-        "registers",
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
+    )
+
+
+def _unlike(marked: DataFrame) -> DataFrame:
+    """Members (doc_id, bucket, class) in pairs of blocks that hold different classes.
+
+    A large class has blocks of its own, which are never paired with each other; the small
+    ones of a bucket share blocks. So a bucket of one class gives no row at all, and one of
+    a large class and a few others as many rows as it has members.
+    """
+    size = marked.groupBy("bucket", "class").agg(F.count("*").alias("n"))
+    own = F.when(F.col("n") > BLOCK, F.ceil(F.col("n") / BLOCK)).otherwise(0)
+    size = size.select("bucket", "class", own.alias("own"), F.when(own == 0, F.col("n")).alias("n"))
+    pool = size.groupBy("bucket").agg(
+        F.ceil(F.coalesce(F.sum("n"), F.lit(0)) / BLOCK).alias("pool"), F.sum("own").alias("others")
+    )
+    before = Window.partitionBy("bucket").orderBy("class").rowsBetween(Window.unboundedPreceding, -1)
+    large = (
+        size.where("own > 0")
+        .withColumn("before", F.coalesce(F.sum("own").over(before), F.lit(0)))
+        .select("bucket", "class", "own", "before")
+    )
+    rows = marked.join(pool, "bucket").join(large, ["bucket", "class"], "left")
+    start = F.col("pool") + F.col("before")
+    last = F.col("pool") + F.col("others") - 1
+    block = F.when(
+        F.col("own").isNotNull(), start + F.pmod(F.xxhash64("doc_id"), F.col("own"))
+    ).otherwise(F.pmod(F.xxhash64("class"), F.col("pool")))
+    none = F.array().cast("array<bigint>")
+
+    def numbers(first, through):
+        return F.when(through >= first, F.sequence(first, through)).otherwise(none)
+
+    zero = F.lit(0).cast("bigint")
+    elsewhere = F.when(
+        F.col("own").isNotNull(), F.concat(numbers(zero, start - 1), numbers(start + F.col("own"), last))
+    ).otherwise(numbers(zero, last))
+    return rows.select(
+        "bucket", "class", "doc_id", block.alias("block"), F.explode(elsewhere).alias("other")
     ).select(
         "bucket",
-        F.least("block", "other").alias("lo"),
-        F.greatest("block", "other").alias("hi"),
-        "block",
+        F.least("block", "other").cast("int").alias("lo"),
+        F.greatest("block", "other").cast("int").alias("hi"),
+        F.col("block").cast("int").alias("block"),
+        "class",
         "doc_id",
-        "n_shingles",
-        "registers",
     )
 
 
@@ -163,6 +199,7 @@ def _candidates(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     sketch = np.frombuffer(b"".join(table["registers"].to_pylist()), np.uint8).reshape(n, -1)
     size = table["n_shingles"].to_numpy()
     block = table["block"].to_numpy()
+    class_ = table["class"].to_numpy()
     band = table["bucket"].to_numpy() >> 32
     mixed_blocks = table["lo"].to_numpy() != table["hi"].to_numpy()
     starts = group_starts(table, _GROUP)
@@ -172,7 +209,8 @@ def _candidates(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         a = np.flatnonzero(group[lag:] == group[:-lag])
         b = a + lag
         small, large = np.minimum(size[a], size[b]), np.maximum(size[a], size[b])
-        fits = (100 * small >= LINK_PERCENT * large) & (~mixed_blocks[a] | (block[a] != block[b]))
+        fits = (100 * small >= LINK_PERCENT * large) & (class_[a] != class_[b])
+        fits &= ~mixed_blocks[a] | (block[a] != block[b])
         a, b = a[fits], b[fits]
         k, l = sketch[a], sketch[b]
         first = (k == l).reshape(len(a), BANDS, BAND).all(axis=2).argmax(axis=1)
@@ -232,11 +270,18 @@ def _grouped(df: DataFrame) -> DataFrame:
     return df.repartition(*_GROUP).sortWithinPartitions(*_GROUP, "doc_id")
 
 
-def links(docs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Verified links (a, b) between distinct texts that connect all that are similar enough."""
-    near = _bucketed(texts)
-    member = "bucket bigint, lo int, hi int, block int, doc_id bigint, n_shingles bigint, registers binary"
-    near = written(_grouped(near).mapInArrow(_with_partner, member), "candidates")
+_MEMBER = (
+    "bucket bigint, lo int, hi int, block int, class bigint, doc_id bigint, "
+    "n_shingles bigint, registers binary"
+)
+
+
+def _compared(docs: DataFrame, texts: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Verified links (a, b) that connect what is similar enough in each pair of blocks."""
+    member = blocks.join(texts.select("doc_id", "n_shingles", "registers"), "doc_id").select(
+        *[field.split()[0] for field in _MEMBER.split(", ")]
+    )
+    near = written(_grouped(member).mapInArrow(_with_partner, _MEMBER), "candidates")
     wanted = near.select("doc_id").distinct()
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary").alias("text"))
     sets = rows.join(wanted.hint("merge"), "doc_id", "left_semi").mapInArrow(
@@ -245,6 +290,44 @@ def links(docs: DataFrame, texts: DataFrame) -> DataFrame:
     return _grouped(near.join(sets, "doc_id")).mapInArrow(_verified, "a bigint, b bigint")
 
 
+def _joined(docs: DataFrame, texts: DataFrame, hot: DataFrame, found: DataFrame) -> DataFrame:
+    """found with links between the blocks of buckets that have several (doc_id, bucket).
+
+    One member for each class that links have made so far is dealt into new blocks, as long
+    as that halves the classes. What is then left in different classes is compared in full.
+    """
+    before = None
+    while True:
+        stars = components(found)
+        marked = written(
+            hot.join(stars.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
+                "doc_id", "bucket", F.coalesce("component", "doc_id").alias("class")
+            ),
+            "marked",
+        )
+        first = marked.groupBy("bucket", "class").agg(F.min("doc_id").alias("doc_id"))
+        sizes = first.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+        left = written(first.join(sizes, "bucket"), "classes")
+        open_ = left.count()
+        stars = stars.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        if not open_:
+            return stars
+        if before is not None and 2 * open_ > before:
+            several = left.select("bucket").distinct()
+            unlike = _unlike(marked.join(several, "bucket", "left_semi"))
+            return stars.union(_compared(docs, texts, unlike))
+        before = open_
+        found = stars.union(_compared(docs, texts, _dealt(left, "class")))
+
+
+def links(docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Verified links (a, b) between distinct texts that connect all that are similar enough."""
+    members = written(_members(texts), "members")
+    found = _compared(docs, texts, _dealt(members))
+    hot = members.where(F.col("size") > BLOCK).select("doc_id", "bucket")
+    return found if hot.isEmpty() else _joined(docs, texts, hot, found)
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) per row of docs (doc_id, text, ...).
 

@@ -84,3 +84,40 @@ def test_components_of_a_path(spark, n):
     links = [(k, k + 1) for k in range(n)] + [(100, 100), (None, 3), (200, 300)]
     found = components(spark.createDataFrame(links, "a bigint, b bigint")).collect()
     assert sorted(found) == sorted([(k, 0) for k in range(n + 1)] + [(200, 200), (300, 200)])
+
+
+def test_large_buckets_of_several_classes(spark, monkeypatch):
+    """Texts that share registers without being linked, beside a large class."""
+    from awareness_mart.llm import near_dups
+
+    monkeypatch.setattr(near_dups, "BLOCK", 5)
+    rng = random.Random(8)
+    rows = []
+    for group, share in ((0, 0.01), (1, 0.01), (2, 0.06)):
+        base = [f"w{k}" for k in range(100)] + [f"g{group}.{k}" for k in range(40)]
+        rows += [(1000 * group + k, " ".join(edited(base, share, rng))) for k in range(40)]
+    found = near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute(rows)
+
+
+def test_blocks_of_unlike_classes_meet_once(spark, monkeypatch):
+    from awareness_mart.llm import near_dups
+
+    monkeypatch.setattr(near_dups, "BLOCK", 3)
+    classes = {k: 0 if k < 20 else 20 if k < 28 else k for k in range(36)}
+    marked = spark.createDataFrame([(k, 7, c) for k, c in classes.items()], "doc_id long, bucket long, class long")
+    rows = near_dups._unlike(marked).collect()
+    groups = {}
+    for r in rows:
+        groups.setdefault((r.lo, r.hi), []).append(r)
+    met = [
+        (min(x.doc_id, y.doc_id), max(x.doc_id, y.doc_id))
+        for (lo, hi), held in groups.items()
+        for i, x in enumerate(held)
+        for y in held[:i]
+        if x["class"] != y["class"] and (lo == hi or x.block != y.block)
+    ]
+    wanted = {(a, b) for a in classes for b in classes if a < b and classes[a] != classes[b]}
+    assert len(met) == len(set(met)) and set(met) == wanted
+    alone = marked.where("class = 0")
+    assert near_dups._unlike(alone).count() == 0
