@@ -144,26 +144,16 @@ def unit_dashboard(
     A row counts for the units its user belongs to on that day, from the start
     of the membership up to but not including its end.
 
-    No user brings more than one row per day into a membership join: snapshots
-    have one by their key, the other facts are summed per user and day first. So
-    one busy user cannot fill a task.
+    The facts are stacked and summed per user and day before the one membership
+    join, so a user brings one row per day into it and one busy user cannot fill
+    a task.
     """
     unit = "Unit_naam"
     valid = (F.col("start_date_key") <= F.col("date_key")) & (
         F.col("end_date_key").isNull() | (F.col("date_key") < F.col("end_date_key"))
     )
     spans = membership.select("user_key", unit, "start_date_key", "end_date_key")
-    person = ["user_key", "date_key"]
-    person_days = [
-        facts.snapshots,
-        _sum_by(facts.recipients, person),
-        _sum_by(facts.enrollments, person),
-    ]
-    daily = [
-        _sum_by(
-            rows.join(spans, "user_key").filter(valid).drop("start_date_key", "end_date_key"),
-            [unit, "date_key"],
-        )
-        for rows in person_days
-    ]
-    return _present(_with_periods(_stack(daily), dates, grain, [unit]), grain, [unit])
+    person_days = _sum_by(_stack(facts), ["user_key", "date_key"])
+    members = person_days.join(spans, "user_key").filter(valid)
+    daily = _sum_by(members.drop("start_date_key", "end_date_key"), [unit, "date_key"])
+    return _present(_with_periods(daily, dates, grain, [unit]), grain, [unit])

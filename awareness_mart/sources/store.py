@@ -38,7 +38,8 @@ def scratch_dir(spark: SparkSession) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.gettempdir()
     return f"{shared.rstrip('/')}/awareness-{uuid.uuid4().hex}"

@@ -236,3 +236,22 @@ def test_top_10_breaks_ties_by_name_and_error(spark):
     errors = ["Total_clicked", "Total_qr_code_scanned", "Total_replied"]
     expected = [(f"T{n}", e, 1) for n in (1, 2, 3, 4) for e in errors][:10]
     assert top == expected
+
+
+def test_unit_dashboard_joins_the_membership_once(spark):
+    facts = dashboards.Measures(
+        spark.createDataFrame([], "user_key long, date_key int, prone_sum long, prone_n long, risk_sum long, risk_n long"),
+        spark.createDataFrame([], "user_key long, date_key int, delivered long, reported long"),
+        spark.createDataFrame(
+            [],
+            "user_key long, date_key int, training_enrolled long, training_completed long, "
+            "policy_enrolled long, policy_read long",
+        ),
+    )
+    membership = spark.createDataFrame(
+        [], "user_key long, Unit_naam string, start_date_key int, end_date_key int"
+    )
+    dates = spark.createDataFrame([], "date_key int, year int, month int, day int")
+    result = dashboards.unit_dashboard(facts, membership, dates, "day")
+    plan = result._jdf.queryExecution().analyzed().toString()
+    assert plan.count("Join Inner") == 2  # membership, calendar
