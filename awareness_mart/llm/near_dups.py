@@ -1,13 +1,15 @@
 """Near duplicates by SetSketch registers (Ertl, 2021): band, estimate jointly, verify.
 
-A text's set is its distinct five-word shingles. Each of 160 registers keeps the smallest
+A text's set is its distinct five-word shingles. Each of 240 registers keeps the smallest
 of the exponentially distributed hashes of the set, truncated to a power of BASE. Registers
-of parts merge by maximum. Texts that agree in one band of four registers are compared:
+of parts merge by maximum. Texts that agree in one band of five registers are compared:
 the joint likelihood of their registers, with both set sizes known, must favour a Jaccard
 similarity above LOWEST; then the full sets decide.
 
-A link of similarity 0.75 misses all 40 bands with a chance below 1e-6 and falls below
-LOWEST, more than four standard deviations away, with about 1e-5.
+A link of similarity 0.75 misses all 48 bands with a chance below 1e-6 and falls below
+LOWEST, five standard deviations away, with less. Two texts of one size that share nothing
+agree in a register with 1/42, so in a given band with 1/42^5, about 1 in 130 million:
+buckets hold next to no strangers up to billions of texts.
 """
 
 from __future__ import annotations
@@ -29,8 +31,8 @@ from .common import (
 )
 from .components import components
 
-REGISTERS = 160
-BAND = 4
+REGISTERS = 240
+BAND = 5
 BANDS = REGISTERS // BAND
 BASE = 1.1
 RATE = 20.0
@@ -123,7 +125,7 @@ def _members(texts: DataFrame) -> DataFrame:
     """(doc_id, bucket, size) of the buckets with two or more texts."""
     key = F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
-        lambda b: F.shiftleft(b.cast("bigint"), 32)
+        lambda b: F.shiftleft(b.cast("bigint"), 8 * BAND)
         + F.conv(F.hex(F.substring("registers", b * BAND + 1, F.lit(BAND))), 16, 10).cast("bigint"),
     )
     bands = texts.select("doc_id", F.explode(key).alias("bucket"))
@@ -200,7 +202,7 @@ def _candidates(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     size = table["n_shingles"].to_numpy()
     block = table["block"].to_numpy()
     class_ = table["class"].to_numpy()
-    band = table["bucket"].to_numpy() >> 32
+    band = table["bucket"].to_numpy() >> 8 * BAND
     mixed_blocks = table["lo"].to_numpy() != table["hi"].to_numpy()
     starts = group_starts(table, _GROUP)
     group = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, n)))
