@@ -126,6 +126,65 @@ def shingles(words: list[bytes]) -> np.ndarray:
     return mixed(total)
 
 
+# A byte's share in the hash of its word: random, 0 for blanks, equal for A-Z and a-z.
+_BYTE = np.random.default_rng(20_212).integers(0, 2**64, 256, dtype=np.uint64)
+_BYTE[65:91] = _BYTE[97:123]
+_BYTE[list(BLANKS.encode())] = 0
+_IS_BLANK = _BYTE == 0
+_INVERSE = np.uint64(pow(int(_P), -1, 2**64))
+PIECE = 1 << 20  # bytes of a text whose words are hashed at once, up to the next blank
+
+
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, base)]))
+
+
+_POWERS = [_powers(_P, PIECE), _powers(_INVERSE, PIECE)]
+
+
+def _piece_hashes(codes: np.ndarray) -> np.ndarray:
+    """Hashes of the words of some bytes: sums of byte share times power of place in the word."""
+    n = len(codes)
+    if n > PIECE:
+        power, inverse = _powers(_P, n), _powers(_INVERSE, n)
+    else:
+        power, inverse = _POWERS
+    edges = np.diff(np.concatenate([[True], _IS_BLANK[codes], [True]]).view(np.int8))
+    begin, end = np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
+    through = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[codes] * power[:n])])
+    return mixed((through[end] - through[begin]) * inverse[begin])
+
+
+def word_hashes(text: bytes | None) -> np.ndarray:
+    """64-bit hashes of the words of UTF-8 text, A-Z lowered, in order, without a list of them."""
+    codes = np.frombuffer(text or b"", np.uint8)
+    parts, start = [], 0
+    while len(codes) - start > PIECE:
+        stop = start + PIECE
+        while stop < len(codes) and not _IS_BLANK[codes[stop - 1]]:
+            blanks = np.flatnonzero(_IS_BLANK[codes[stop : stop + PIECE]])
+            stop = stop + int(blanks[0]) + 1 if len(blanks) else min(stop + PIECE, len(codes))
+        parts.append(_piece_hashes(codes[start:stop]))
+        start = stop
+    parts.append(_piece_hashes(codes[start:]))
+    return np.concatenate(parts)
+
+
+def shingle_set(h: np.ndarray) -> np.ndarray:
+    """Sorted distinct hashes of all runs of five words; of the whole text if it is shorter."""
+    if not len(h):
+        return h
+    width = min(SHINGLE_WORDS, len(h))
+    n = len(h) - width + 1
+    total = np.full(n, width, np.uint64)
+    for k in range(width):
+        total = total * _P + h[k : n + k]
+    total = np.sort(mixed(total))
+    new = np.ones(n, bool)
+    np.not_equal(total[1:], total[:-1], out=new[1:])
+    return total[new]
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Tables of whole groups from batches sorted by keys; holds back the last, open group."""
     held: list[pa.RecordBatch] = []

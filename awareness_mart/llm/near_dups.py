@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 
 from .common import (
     group_starts,
-    lower_words,
-    shingles,
+    shingle_set,
     whole_groups,
+    word_hashes,
     written,
 )
 from .components import components
@@ -44,7 +44,8 @@ BLOCK = 600  # members of a bucket, about, that are compared with each other in
 _RANDOM = np.random.default_rng(20_211)
 _A = (_RANDOM.integers(0, 2**32, REGISTERS, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
 _B = _RANDOM.integers(0, 2**32, REGISTERS, dtype=np.uint64).astype(np.uint32)
-_SLICE = 4096
+_SLICE = 512
+_ROOM = np.empty((REGISTERS, _SLICE), np.uint32)  # a task's own; no memory is asked for per text
 
 
 def registers(distinct: np.ndarray) -> np.ndarray:
@@ -52,8 +53,11 @@ def registers(distinct: np.ndarray) -> np.ndarray:
     x = (distinct >> np.uint64(32)).astype(np.uint32)
     least = np.full(REGISTERS, 0xFFFFFFFF, np.uint32)
     for i in range(0, len(x), _SLICE):
-        part = x[None, i : i + _SLICE] * _A[:, None] + _B[:, None]
-        np.minimum(least, part.min(axis=1), out=least)
+        part = x[None, i : i + _SLICE]
+        room = _ROOM[:, : part.shape[1]]
+        np.multiply(part, _A[:, None], out=room)
+        room += _B[:, None]
+        np.minimum(least, room.min(axis=1), out=least)
     exponential = -np.log1p(-(least.astype(np.float64) + 0.5) / 2.0**32) / RATE
     values = np.floor(1 - np.log(exponential) / np.log(BASE))
     return np.clip(values, 0, TOP).astype(np.uint8)
@@ -97,11 +101,11 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keys, sizes, sketches = [], [], []
         for text in batch["text"]:
-            words = lower_words(text.as_py())
-            distinct = np.unique(shingles(words))
+            words = word_hashes(text.as_py())
+            distinct = shingle_set(words)
             sizes.append(len(distinct))
-            keys.append(xxhash.xxh3_128_digest(b" ".join(words)) if words else None)
-            sketches.append(registers(distinct).tobytes() if words else None)
+            keys.append(xxhash.xxh3_128_digest(words) if len(words) else None)
+            sketches.append(registers(distinct).tobytes() if len(words) else None)
         yield pa.RecordBatch.from_arrays(
             [
                 batch["doc_id"],
@@ -262,7 +266,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [np.unique(shingles(lower_words(x.as_py()))).tobytes() for x in batch["text"]]
+        sets = [shingle_set(word_hashes(x.as_py())).tobytes() for x in batch["text"]]
         yield pa.RecordBatch.from_arrays(
             [batch["doc_id"], pa.array(sets, pa.binary())], names=["doc_id", "shingle_set"]
         )

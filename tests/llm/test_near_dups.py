@@ -5,7 +5,8 @@ import pytest
 
 from awareness_mart.llm.components import components
 from awareness_mart.llm.near_dups import merged, near_duplicates, registers
-from awareness_mart.llm.common import lower_words, shingles
+from awareness_mart.llm import common
+from awareness_mart.llm.common import lower_words, shingle_set, shingles, word_hashes
 
 SCHEMA = "doc_id bigint, text string"
 
@@ -73,6 +74,29 @@ def test_nulls_repeats_extra_columns_and_no_rows(spark):
     assert near_duplicates(docs.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("piece", [1, 7, 1 << 20])
+def test_words_have_one_hash_wherever_they_stand(monkeypatch, piece):
+    monkeypatch.setattr(common, "PIECE", piece)
+    rng = random.Random(11)
+    alphabet = "aAbZ\u00e9\u2003\x00\x1f \t\n\x0b\x0c\r"
+    hash_of = {}
+    for _ in range(300):
+        text = "".join(rng.choice(alphabet) for _ in range(rng.randrange(60))).encode()
+        words, found = lower_words(text), word_hashes(text).tolist()
+        assert len(words) == len(found)
+        for word, h in zip(words, found):
+            assert hash_of.setdefault(word, h) == h
+    assert len(set(hash_of.values())) == len(hash_of)
+    assert word_hashes(None).size == word_hashes(b" \n").size == shingle_set(word_hashes(b"")).size == 0
+
+
+def test_shingle_set_has_the_size_of_the_set_of_shingles():
+    rng = random.Random(12)
+    for n in (1, 4, 5, 6, 400):
+        text = " ".join(rng.choice("abcd") for _ in range(n)).encode()
+        assert len(shingle_set(word_hashes(text))) == len(np.unique(shingles(lower_words(text))))
+
+
 def test_registers_merge():
     a = shingles([b"w%d" % k for k in range(300)])
     b = shingles([b"v%d" % k for k in range(9000)])
