@@ -26,6 +26,7 @@ from ..sources.masters import stage_phishing_campaigns, stage_training_names, st
 from ..sources.store import MartStore, written
 from . import facts
 from .campaigns import campaign_source
+from .history import merge_total_history, merge_unit_history, unit_rollup
 from .monitoring import all_ready
 from .templates import new_templates
 
@@ -102,6 +103,24 @@ def run_hr(
     store.publish()
 
 
+def run_history(
+    store: MartStore,
+    users: DataFrame,
+    hr: DataFrame,
+    units: DataFrame,
+    run_ts: datetime,
+) -> None:
+    """Write this month's averages per unit and in total, from one rollup.
+
+    A second run in a month replaces that month's rows; other months stay.
+    """
+    month = written(unit_rollup(users, hr, units))
+    day = run_ts.date()
+    store.write("history_units", merge_unit_history(store.read("history_units"), month, day))
+    store.write("history_total", merge_total_history(store.read("history_total"), month, day))
+    store.publish()
+
+
 def _load_dimension(
     store: MartStore, table: str, source: DataFrame, keys: list[str], tracked: dict, **options
 ) -> DataFrame:

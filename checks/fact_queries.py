@@ -12,7 +12,7 @@ from awareness_mart.operators.calendar import calendar_over, with_date_key
 from awareness_mart.operators.latest import latest_per_key
 from awareness_mart.plans import facts, history
 from awareness_mart.plans.campaigns import typed_training
-from awareness_mart.plans.load import run_hr, run_load, run_staging
+from awareness_mart.plans.load import run_history, run_hr, run_load, run_staging
 from awareness_mart.schemas import RECIPIENT_FLAGS, TABLES
 from awareness_mart.sources.hr import active_hr_units
 from awareness_mart.sources.store import MartStore, scratch_dir
@@ -284,16 +284,16 @@ def unit_rollup(t: Tables) -> DataFrame:
     where is_total""",
 )
 def history_upsert(t: Tables) -> DataFrame:
-    """Both histories after this month's run, the total under the unit name TOTAL."""
+    """Both histories after this month's job, the total under the unit name TOTAL."""
     measures = [F.col("measure").cast("decimal(18,2)").alias(m) for m in history.MEASURES]
-    units_before = t("fx_history_units").select("date", "unit", *measures)
-    total_before = t("fx_history_units").select("date", "measure").distinct()
-    total_before = total_before.select("date", *measures)
-    rollup = history.unit_rollup(*_members(t))
-    units = history.merge_unit_history(units_before, rollup, RUN_TS.date())
-    total = history.merge_total_history(total_before, rollup, RUN_TS.date())
-    total = total.withColumn("unit", F.lit("TOTAL")).select(*units.columns)
-    return units.unionByName(total)
+    before = t("fx_history_units")
+    store = MartStore(t.spark, scratch_dir(t.spark), TABLES)
+    store.write("history_units", before.select("date", "unit", *measures))
+    store.write("history_total", before.select("date", "measure").distinct().select("date", *measures))
+    store.publish()
+    run_history(store, *_members(t), RUN_TS)
+    units, total = store.read("history_units"), store.read("history_total")
+    return units.unionByName(total.withColumn("unit", F.lit("TOTAL")))
 
 
 @query(

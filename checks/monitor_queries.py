@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from awareness_mart.plans import audit, monitoring
+from awareness_mart.plans.constraints import violations
 from awareness_mart.sources import feeds
 
 from . import landing
@@ -159,3 +160,75 @@ def stale_bridge(t: Tables) -> DataFrame:
     return audit.stale_bridge_rows(t("fx_bridge_before"), scd2_users(t)).select(
         "user_key", "unit_code"
     )
+
+
+_AUDITED = {
+    "dim_date": """
+        select distinct cast(year(o_orderdate) * 10000 + month(o_orderdate) * 100
+            + day(o_orderdate) as int) as date_key,
+          cast(o_orderdate as date) as date, year(o_orderdate) as year,
+          month(o_orderdate) as month, day(o_orderdate) as day
+        from orders where year(o_orderdate) <> 1995""",
+    "dim_user": """
+        select c_custkey as user_key, c_custkey - c_custkey % 2 as user_id,
+          c_nationkey as effective_from, case when c_custkey % 7 <> 0 then true end as is_current
+        from customer where c_nationkey <> 3""",
+    "dim_campaign": """
+        select p_partkey as campaign_key, p_partkey as campaign_id, 1 as effective_from,
+          case when p_size < 10 then 'policy' when p_size < 40 then 'phishing'
+               when p_size < 48 then 'other' end as campaign_type,
+          true as is_current, cast(null as int) as start_date_key
+        from part""",
+    "fact_enrollment": """
+        select o_orderkey as enrollment_key, o_orderkey as enrollment_id,
+          case when o_orderkey % 31 <> 0 then o_custkey end as user_key,
+          o_custkey + 40 as campaign_key, o_orderdate as load_ts,
+          cast(year(o_orderdate) * 10000 + month(o_orderdate) * 100
+            + day(o_orderdate) as int) as enrollment_date_key,
+          cast(null as int) as completion_date_key
+        from orders""",
+}
+
+
+@query(
+    "audit_mart",
+    "with "
+    + ", ".join(f"{name} as ({sql})" for name, sql in _AUDITED.items())
+    + """
+    select * from (
+      select 'dim_user' as table_name, 'user_id, effective_from repeated' as problem,
+        cast(coalesce(sum(n), 0) as bigint) as n_rows
+      from (select count(*) as n from dim_user group by user_id, effective_from having count(*) > 1)
+      union all
+      select 'dim_user', 'is_current missing', count(*) from dim_user where is_current is null
+      union all
+      select 'dim_campaign', 'campaign_type not allowed', count(*) from dim_campaign
+      where campaign_type not in ('training', 'phishing', 'policy')
+      union all
+      select 'dim_campaign', 'campaign_type missing', count(*) from dim_campaign
+      where campaign_type is null
+      union all
+      select 'fact_enrollment', 'user_key missing', count(*) from fact_enrollment
+      where user_key is null
+      union all
+      select 'fact_enrollment', 'user_key not in dim_user', count(*) from fact_enrollment
+      where user_key not in (select user_key from dim_user)
+      union all
+      select 'fact_enrollment', 'campaign_key not in dim_campaign', count(*) from fact_enrollment
+      where campaign_key not in (select campaign_key from dim_campaign)
+      union all
+      select 'fact_enrollment', 'enrollment_date_key not in dim_date', count(*)
+      from fact_enrollment where enrollment_date_key not in (select date_key from dim_date)
+    ) as found where n_rows > 0""",
+)
+def audit_mart(t: Tables) -> DataFrame:
+    """Violations planted in a few tables; all other constraints of these tables hold."""
+    given = {name: t(name) for name in ("orders", "customer", "part")}
+    return violations({name: t.spark.sql(_in_frames(sql), **given) for name, sql in _AUDITED.items()})
+
+
+def _in_frames(sql: str) -> str:
+    """The SQL with the given tables as parameters."""
+    for name in ("orders", "customer", "part"):
+        sql = sql.replace(f"from {name}", f"from {{{name}}}")
+    return sql

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from awareness_mart.plans import views
 from awareness_mart.plans.audit import duplicates, orphans, scd2_shape
-from awareness_mart.plans.load import run_hr, run_load, run_staging
+from awareness_mart.plans.constraints import KEYS, REFERENCES, REQUIRED, audit_mart
+from awareness_mart.plans.load import run_history, run_hr, run_load, run_staging
 from awareness_mart.schemas import TABLES
 from awareness_mart.sources.store import MartStore
 
@@ -192,6 +193,49 @@ def test_first_load_and_reports(mart, rows):
     for name in views.LISTINGS:
         views.listing(store, name).collect()
 
+    assert audit_mart(store).collect() == []
+    person = store.read("dim_user").filter("user_id = 2")
+    store.write("dim_user", person.unionByName(person).withColumn("is_current", F.lit(None)))
+    store.publish()
+    found = rows(audit_mart(store), "table_name", "problem", "n_rows")
+    assert found == [
+        ("bridge_user_unit", "user_key not in dim_user", 2),
+        ("dim_user", "is_current missing", 2),
+        ("dim_user", "user_id, effective_from repeated", 2),
+        ("dim_user", "user_key repeated", 2),
+        ("fact_enrollment", "user_key not in dim_user", 2),
+        ("fact_recipient", "user_key not in dim_user", 1),
+        ("fact_snapshot", "user_key not in dim_user", 2),
+    ]
+
+
+def test_constraints_name_columns_that_exist():
+    for table, keys in KEYS.items():
+        assert {c for key in keys for c in key} <= set(TABLES[table].names)
+        assert set(REQUIRED.get(table, [])) <= set(TABLES[table].names)
+    for table, references in REFERENCES.items():
+        assert set(references) <= set(TABLES[table].names)
+        assert all(column in TABLES[parent].names for parent, column in references.values())
+    assert set(KEYS) == set(TABLES)
+
+
+def test_a_month_of_history_is_replaced_not_repeated(spark, tmp_path):
+    store = MartStore(spark, str(tmp_path), TABLES)
+    measures = TABLES["history_total"].names[1:]
+    hr = spark.createDataFrame([("a", "Intern"), ("b", "Intern")], "ehash string, groep string")
+    units = spark.createDataFrame([("Intern",), ("Empty",)], "unit string")
+    for when, score in ((date(2024, 2, 3), 2.0), (date(2024, 3, 3), 4.0), (date(2024, 3, 9), 6.0)):
+        people = spark.createDataFrame(
+            [(1, "a", *[score] * 5), (2, "b", *[score + 1] * 5), (3, "c", *[99.0] * 5)],
+            f"id long, ehash string, {', '.join(f'{m} double' for m in measures)}",
+        )
+        run_history(store, people, hr, units, datetime.combine(when, datetime.min.time()))
+    for table, unit in (("history_units", ("Intern",)), ("history_total", ())):
+        found = sorted(map(tuple, MartStore(spark, str(tmp_path), TABLES).read(table).collect()))
+        assert [r[: 1 + len(unit)] for r in found] == [
+            (date(2024, 2, 1), *unit), (date(2024, 3, 1), *unit)]
+        assert [float(r[-1]) for r in found] == [2.5, 6.5]
+
 
 def test_the_same_load_again_changes_nothing(mart):
     mart.run(datetime(2024, 3, 10, 2))
