@@ -23,7 +23,7 @@ REFERENCES = 6  # pages of a host that its wrapper is induced from
 MOSTLY = 0.8  # share of a node's varying text that makes its child the content slot
 DEPTH = 200  # deeper elements pass their text on to the one at this depth
 ALIGNED = 40_000  # pairs of children; beyond, the n-th of a label is aligned with the n-th
-COPIES = 0.5  # pages that agree in more of their text than this are copies, not evidence
+REST = 0.02  # a page of whose text the template leaves less is an altered copy: its text stays
 
 # Fixed names: elements that hold no text of a page, that start a block, that may be the
 # content slot, and whose text is never part of the article; words of class, id and role.
@@ -230,7 +230,7 @@ def slot(root: Node, varying: dict[str, int]) -> str:
         if not options:
             break
         size, at, child = max(options, key=lambda o: (o[2].tag in ("article", "main"), o[0]))
-        if size < MOSTLY * total and child.tag not in ("article", "main"):
+        if child.tag not in ("article", "main") and (not size or size < MOSTLY * total):
             break
         path, node = at, child
     return path
@@ -240,7 +240,8 @@ def _varying(pairs: list[tuple[str, Node, Node]], template: dict[str, str]) -> d
     """Characters of text that is not template, per path and all paths above it."""
     out: dict[str, int] = {}
     for path, node, _ in pairs:
-        size = 0 if node.never or path in template else len(own_text([node]))
+        own = own_text([node])
+        size = 0 if node.never or template.get(path) == own else len(own)
         while size:
             out[path] = out.get(path, 0) + size
             if not path:
@@ -250,42 +251,50 @@ def _varying(pairs: list[tuple[str, Node, Node]], template: dict[str, str]) -> d
 
 
 def induce(pages: list[str]) -> dict:
-    """The wrapper of pages of one host: its content slot, and the text of template nodes."""
-    roots = [parse(p) for p in sorted(set(pages))]
-    template: dict[str, str] = {}
-    evidence = 0
+    """The wrapper of pages of one host: its content slot, and the text of template nodes.
+
+    Pages whose text outside the never-parts is equal are copies and count once; all others
+    are evidence, however much they share.
+    """
+    alike = {"\n".join(root.text()): root for root in map(parse, sorted(set(pages), reverse=True))}
+    roots = [alike[text] for text in sorted(alike)]
     counts: dict[tuple[str, str], int] = {}
     for other in roots[1:]:
         _, pairs = matching(roots[0], other)
-        same = [(p, t) for p, a, b in pairs if (t := own_text([a])) and t == own_text([b])]
-        total = sum(len(own_text([a])) for _, a, _ in pairs)
-        if sum(len(t) for _, t in same) > COPIES * total:
-            continue
-        evidence += 1
-        for key in same:
+        for key in [(p, t) for p, a, b in pairs if (t := own_text([a])) and t == own_text([b])]:
             counts[key] = counts.get(key, 0) + 1
-    for (path, text), n in counts.items():
-        if 2 * n > evidence:
-            template[path] = text
+    template = {path: text for (path, text), n in counts.items() if 2 * n > len(roots) - 1}
     slots: dict[str, int] = {}
     for root in roots:
-        alone = [(p, n, n) for p, n in nodes_of(root)]
-        at = slot(root, _varying(alone, template))
+        varying = _varying([(p, n, n) for p, n in nodes_of(root)], template)
+        if not varying and len(roots) > 1:
+            continue
+        at = slot(root, varying)
         slots[at] = slots.get(at, 0) + 1
     return {"slot": max(slots, key=lambda p: (slots[p], p)) if slots else "", "template": template}
 
 
 def extract(page: str | None, wrapper: dict | None) -> str:
-    """Blocks of the page's content slot, without template text, joined by an empty line."""
+    """Blocks of the page's content slot, without template text, joined by an empty line.
+
+    Where the template leaves next to nothing, the page differs from others in a line or
+    two only; what they share is no evidence of a template then, and stays.
+    """
     root = parse(page or "")
     template = (wrapper or {}).get("template", {})
     nodes = dict(nodes_of(root))
-    at = wrapper["slot"] if wrapper and wrapper["slot"] in nodes else None
-    if at is None:
-        at = slot(root, _varying([(p, n, n) for p, n in nodes.items()], template))
-    dropped = {t for p, t in template.items() if p.startswith(at)}
-    blocks = [b for b in nodes[at].text() if b not in dropped]
-    return "\n\n".join(blocks)
+    found = []
+    for known in (template, {}):
+        at = wrapper["slot"] if wrapper and wrapper["slot"] in nodes else None
+        if at is None:
+            at = slot(root, _varying([(p, n, n) for p, n in nodes.items()], known))
+        below = [t for p, t in known.items() if p == at or p.startswith(f"{at}/")]
+        dropped = {b for t in below for b in t.split("\n")}
+        blocks = nodes[at].text()
+        found.append([b for b in blocks if b not in dropped])
+        if sum(map(len, found[-1])) >= REST * sum(map(len, blocks)):
+            break
+    return "\n\n".join(found[-1])
 
 
 def _induce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

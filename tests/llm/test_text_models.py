@@ -72,6 +72,14 @@ def test_wrapper_drops_what_pages_share(spark):
     assert html_extract.extracted(pages.limit(0)).collect() == []
 
 
+def test_short_articles_under_long_shared_text():
+    page = "<body><div>%s</div><article><h1>Title %d</h1><p>Story %d.<div>%s</div></article></body>"
+    pages = [page % ("Read this first. " * 40, k, k, "All rights reserved. " * 20) for k in range(5)]
+    wrapper = html_extract.induce([*pages, *pages])
+    assert [html_extract.extract(p, wrapper) for p in pages] == [f"Title {k}\n\nStory {k}." for k in range(5)]
+    assert "All rights" in html_extract.extract(pages[0], html_extract.induce([pages[0], pages[0] + " "]))
+
+
 def test_tree_matching_aligns_the_largest_common_tree():
     a = html_extract.parse("<div><p>1</p></div><ul><li>x</ul><div class=z>2</div>")
     b = html_extract.parse("<ul><li>y</ul><div class=z>2</div><div><p>1</p></div>")
