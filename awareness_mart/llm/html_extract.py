@@ -49,10 +49,10 @@ ENDS = {"p": BLOCKS, "li": ["li"], "dt": ["dt", "dd"], "dd": ["dt", "dd"], "td":
 
 _BLANK = re.compile(r"\s+")
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(SILENT) + r")\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<[!?][^>]*(?:>|\Z)|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)",
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)",
     re.S | re.I,
 )
+_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in SILENT}
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _NAME = re.compile(r"[a-z]+")
 
@@ -102,11 +102,19 @@ def parse(page: str) -> Node:
             open_[-1].parts.append(text)
         pending.clear()
 
-    at = 0
-    for token in _TOKEN.finditer(page):
+    at, endless = 0, set()
+    while token := _TOKEN.search(page, at):
         pending.append(page[at : token.start()])
         at = token.end()
         tag = (token["tag"] or "").lower()
+        if tag in _END and not token["end"] and tag not in endless:
+            if tag in ("svg", "math") and token["attributes"].rstrip().endswith("/"):
+                continue
+            end = _END[tag].search(page, at)
+            if end or tag in ("script", "style"):
+                at = end.end() if end else len(page)
+            else:
+                endless.add(tag)
         if tag == "br":
             pending.append(" ")
         if tag not in _BLOCKS:

@@ -80,6 +80,15 @@ def test_short_articles_under_long_shared_text():
     assert "All rights" in html_extract.extract(pages[0], html_extract.induce([pages[0], pages[0] + " "]))
 
 
+def test_silent_elements_end_where_they_end():
+    read = lambda page: html_extract.extract(page, None)
+    assert read("<p>a<svg class='i'/><p>b<math /><p>c<svg><text>x</text></svg>d") == "a\n\nb\n\ncd"
+    assert read("<p>a<svg-icon name=x></svg-icon> b<template-x> c<object-y>") == "a b c"
+    assert read("<p>a<svg><p>b<noscript>c") == "a\n\nbc"
+    assert read("<p>a<script>b</scripts><p>c") == read("<p>a<style/>b") == "a"
+    assert read("<p>a<SCRIPT>if (x < y) '</p>'</script ><p>b") == "a\n\nb"
+
+
 def test_tree_matching_aligns_the_largest_common_tree():
     a = html_extract.parse("<div><p>1</p></div><ul><li>x</ul><div class=z>2</div>")
     b = html_extract.parse("<ul><li>y</ul><div class=z>2</div><div><p>1</p></div>")
