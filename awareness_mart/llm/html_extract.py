@@ -41,7 +41,8 @@ NEVER_WORDS = (
     "cookie cookies disqus footer form header masthead menu modal nav navbar navigation "
     "newsletter notice notification pagination pager popup promo promoted promotion related "
     "replies reply share sharing sidebar social sponsor sponsored subscribe toolbar widget "
-    "search contentinfo complementary banner-ad"
+    "search contentinfo complementary banner-ad site-header site-footer page-footer main-nav site-nav "
+    "nav-menu cookie-banner cookie-notice comment-list share-buttons related-posts social-links"
 ).split()
 # Block elements that end when another of the kind begins.
 ENDS = {"p": BLOCKS, "li": ["li"], "dt": ["dt", "dd"], "dd": ["dt", "dd"], "td": ["td", "th", "tr"],
@@ -54,19 +55,19 @@ _TOKEN = re.compile(
 )
 _END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in SILENT}
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_NAME = re.compile(r"[a-z]+")
 
 
 class Node:
     """A block element: its label, and blocks of text and child nodes in page order."""
 
-    __slots__ = ("label", "tag", "never", "parts", "hidden")
+    __slots__ = ("label", "tag", "never", "parts")
 
-    def __init__(self, tag: str, names: str = "") -> None:
+    def __init__(self, tag: str, names: str = "", in_article: bool = False) -> None:
         self.tag = tag
         self.label = f"{tag} {names}".strip()
-        words = set(_NAME.findall(names)) | set(names.split())
-        self.never = tag in NEVER or (tag not in ("html", "body") and bool(words & _NEVER))
+        self.never = tag in NEVER or (tag not in ("html", "body") and not _NEVER.isdisjoint(names.split()))
+        if tag == "header" and in_article:
+            self.never = False
         self.parts: list[Node | str] = []
 
     def children(self) -> list[Node]:
@@ -132,15 +133,73 @@ def parse(page: str) -> Node:
             continue
         found = _ATTRIBUTE.findall(token["attributes"])
         names = " ".join(v for _, *values in found for v in values if v).lower()
-        node = Node(tag, " ".join(names.split()))
+        in_article = tag == "header" and any(x.tag == "article" for x in open_)
+        node = Node(tag, " ".join(names.split()), in_article)
         open_[-1].parts.append(node)
         if tag not in VOID and len(open_) < DEPTH:
             open_.append(node)
     pending.append(page[at:])
     flush()
+    _keep_article(root)
     return root
 
 
+def _keep_article(root: Node) -> None:
+    """The article or main with most text, and what it lies in, are never excluded."""
+    sizes: dict[int, int] = {}
+    best, chain = 0, []
+    stack = [(root, iter(root.parts))]
+    sizes[id(root)] = 0
+    while stack:
+        node, parts = stack[-1]
+        for part in parts:
+            if isinstance(part, Node):
+                sizes[id(part)] = 0
+                stack.append((part, iter(part.parts)))
+                break
+            sizes[id(node)] += len(part)
+        else:
+            size = sizes[id(node)]
+            if node.tag in ("article", "main") and size > best:
+                best, chain = size, [n for n, _ in stack]
+            stack.pop()
+            if stack and (not node.never or node.tag in ("article", "main")):
+                sizes[id(stack[-1][0])] += size
+    for node in chain:
+        node.never = False
+
+
+def large(root: Node, template: dict[str, str]) -> list[str]:
+    """Paths of never-parts that hold most of the text that is not template, outermost first."""
+    nodes = list(nodes_of(root))
+    sizes = _varying([(p, n, n) for p, n in nodes], template, everything=True)
+    return [p for p, n in nodes if n.never and sizes.get(p, 0) > MOSTLY * sizes.get("", 0)]
+
+
+def content(root: Node) -> str:
+    """Text by which copies are known: that outside never-parts, or all if these hold most."""
+    if large(root, {}):
+        return "\n".join(own_text([n]) for _, n in nodes_of(root))
+    return "\n".join(root.text())
+
+
+def release(root: Node, paths: list[str]) -> None:
+    """Nodes at these paths are looked into from now on."""
+    wanted = set(paths)
+    stack = [("", [root])] if wanted else []
+    while stack:
+        path, items = stack.pop()
+        if path in wanted:
+            for node in items:
+                node.never = False
+        seen: dict[str, int] = {}
+        for label, below in folded(merged(items)):
+            n = seen[label] = seen.get(label, -1) + 1
+            at = f"{path}/{label}#{n}"
+            if any(p == at or p.startswith(f"{at}/") for p in wanted):
+                stack.append((at, below))
+
+
 _BLOCKS = frozenset(BLOCKS)
 
 
@@ -244,12 +303,17 @@ def slot(root: Node, varying: dict[str, int]) -> str:
     return path
 
 
-def _varying(pairs: list[tuple[str, Node, Node]], template: dict[str, str]) -> dict[str, int]:
-    """Characters of text that is not template, per path and all paths above it."""
+def _varying(
+    pairs: list[tuple[str, Node, Node]], template: dict[str, str], everything: bool = False
+) -> dict[str, int]:
+    """Characters of text that is not template, per path and all paths above it.
+
+    Never-parts' own text counts only if everything is asked for.
+    """
     out: dict[str, int] = {}
     for path, node, _ in pairs:
         own = own_text([node])
-        size = 0 if node.never or template.get(path) == own else len(own)
+        size = 0 if node.never and not everything or template.get(path) == own else len(own)
         while size:
             out[path] = out.get(path, 0) + size
             if not path:
@@ -264,7 +328,7 @@ def induce(pages: list[str]) -> dict:
     Pages whose text outside the never-parts is equal are copies and count once; all others
     are evidence, however much they share.
     """
-    alike = {"\n".join(root.text()): root for root in map(parse, sorted(set(pages), reverse=True))}
+    alike = {content(root): root for root in map(parse, sorted(set(pages), reverse=True))}
     roots = [alike[text] for text in sorted(alike)]
     counts: dict[tuple[str, str], int] = {}
     for other in roots[1:]:
@@ -272,14 +336,21 @@ def induce(pages: list[str]) -> dict:
         for key in [(p, t) for p, a, b in pairs if (t := own_text([a])) and t == own_text([b])]:
             counts[key] = counts.get(key, 0) + 1
     template = {path: text for (path, text), n in counts.items() if 2 * n > len(roots) - 1}
+    kept: dict[str, int] = {}
+    for root in roots:
+        for path in large(root, template):
+            kept[path] = kept.get(path, 0) + 1
+    kept = {path: n for path, n in kept.items() if 2 * n > len(roots)}
     slots: dict[str, int] = {}
     for root in roots:
+        release(root, list(kept))
         varying = _varying([(p, n, n) for p, n in nodes_of(root)], template)
         if not varying and len(roots) > 1:
             continue
         at = slot(root, varying)
         slots[at] = slots.get(at, 0) + 1
-    return {"slot": max(slots, key=lambda p: (slots[p], p)) if slots else "", "template": template}
+    at = max(slots, key=lambda p: (slots[p], p)) if slots else ""
+    return {"slot": at, "template": template, "kept": sorted(kept)}
 
 
 def extract(page: str | None, wrapper: dict | None) -> str:
@@ -290,6 +361,7 @@ def extract(page: str | None, wrapper: dict | None) -> str:
     """
     root = parse(page or "")
     template = (wrapper or {}).get("template", {})
+    release(root, wrapper["kept"] if wrapper else large(root, {}))
     nodes = dict(nodes_of(root))
     found = []
     for known in (template, {}):

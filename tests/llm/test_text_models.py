@@ -89,6 +89,22 @@ def test_silent_elements_end_where_they_end():
     assert read("<p>a<SCRIPT>if (x < y) '</p>'</script ><p>b") == "a\n\nb"
 
 
+def test_parts_that_hold_the_article_stay():
+    read = lambda page: html_extract.extract(page, None)
+    art = "<article%s><header><h1>Head</h1></header><p>Long text of it.</article>"
+    for open_ in ("<div class='content has-sidebar'>", "<div id='main-with-nav'>", "<div class='widget'>", "<form>"):
+        for own in ("", " class='post long-form'", " class='share-target'", " class='share'"):
+            page = "<body><header>Site</header>" + open_ + art % own + "</body>"
+            assert read(page) == "Head\n\nLong text of it."
+    page = art % "" + "<section class='comments'><article class='comment'>I say</article></section>"
+    assert read(page) == "Head\n\nLong text of it."
+    pages = [f"<body><nav>Home</nav><form id=all><p>Text {k}. {'word ' * 30}{k}</form><div>me</div>" for k in range(4)]
+    wrapper = html_extract.induce(pages)
+    for k, page in enumerate(pages):
+        assert html_extract.extract(page, wrapper) == f"Text {k}. {'word ' * 30}{k}"
+    assert "word" in read(pages[0]) and "Home" not in read(pages[0])
+
+
 def test_tree_matching_aligns_the_largest_common_tree():
     a = html_extract.parse("<div><p>1</p></div><ul><li>x</ul><div class=z>2</div>")
     b = html_extract.parse("<ul><li>y</ul><div class=z>2</div><div><p>1</p></div>")
