@@ -1,11 +1,14 @@
 """Main text of pages by wrapper induction: what pages of a host share is its template.
 
-Per host up to REFERENCES pages are kept, chosen by hash. Their DOM trees, with runs of
-equal siblings folded into one, are aligned by simple tree matching (Yang, 1991). Nodes
-whose text agrees are template; of the others the one below which the varying text lies is
-the content slot. Every page of the host is then cut at that slot, without template text
-and without the parts that never are an article: menus, headers, footers, sidebars,
-notices, adverts, forms, comments. A page whose host tells nothing is its own reference.
+Blocks are counted over all pages of a host by the labels above them, without numbers; a
+block on more than half of the distinct pages that have such a place is template. Pages
+whose containers are nested alike are of one layout. Per layout up to REFERENCES pages are
+kept, chosen by hash. Their DOM trees, with runs of equal siblings folded into one, are
+aligned by simple tree matching (Yang, 1991); the node below which the varying text of the
+aligned nodes lies is the content slot. Every page of the layout is then cut at that slot,
+without template text and without the parts that never are an article: menus, headers,
+footers, sidebars, notices, adverts, forms, comments. A page whose host tells nothing is
+its own reference.
 """
 
 from __future__ import annotations
@@ -14,15 +17,19 @@ import html as markup
 import json
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-REFERENCES = 6  # pages of a host that its wrapper is induced from
+from .common import written
+
+REFERENCES = 6  # pages of a layout of a host whose trees are aligned to find its slot
 MOSTLY = 0.8  # share of a node's varying text that makes its child the content slot
 DEPTH = 200  # deeper elements pass their text on to the one at this depth
-ALIGNED = 40_000  # pairs of children; beyond, the n-th of a label is aligned with the n-th
+LAYOUT = 4  # levels of containers that tell layouts apart
 REST = 0.02  # a page of whose text the template leaves less is an altered copy: its text stays
 
 # Fixed names: elements that hold no text of a page, that start a block, that may be the
@@ -49,6 +56,7 @@ ENDS = {"p": BLOCKS, "li": ["li"], "dt": ["dt", "dd"], "dd": ["dt", "dd"], "td":
         "th": ["td", "th", "tr"], "tr": ["tr"], "head": ["body"]}
 
 _BLANK = re.compile(r"\s+")
+_DIGITS = re.compile(r"\d+")
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)",
     re.S | re.I,
@@ -64,7 +72,7 @@ class Node:
 
     def __init__(self, tag: str, names: str = "", in_article: bool = False) -> None:
         self.tag = tag
-        self.label = f"{tag} {names}".strip()
+        self.label = f"{tag} {names.replace('/', '|')}".strip()
         self.never = tag in NEVER or (tag not in ("html", "body") and not _NEVER.isdisjoint(names.split()))
         if tag == "header" and in_article:
             self.never = False
@@ -73,16 +81,18 @@ class Node:
     def children(self) -> list[Node]:
         return [x for x in self.parts if isinstance(x, Node)]
 
-    def text(self) -> list[str]:
-        """Blocks of text here and below, without the parts that never are content."""
+    def text(self, silent: frozenset[int] | set[int] = frozenset()) -> list[str]:
+        """Blocks here and below, without parts that never are content and nodes (ids) without voice."""
         out: list[str] = []
-        stack = [iter(self.parts)]
+        stack = [(id(self) not in silent, iter(self.parts))]
         while stack:
-            for part in stack[-1]:
+            heard, parts = stack[-1]
+            for part in parts:
                 if isinstance(part, str):
-                    out.append(part)
+                    if heard:
+                        out.append(part)
                 elif not part.never:
-                    stack.append(iter(part.parts))
+                    stack.append((id(part) not in silent, iter(part.parts)))
                     break
             else:
                 stack.pop()
@@ -169,7 +179,7 @@ def _keep_article(root: Node) -> None:
         node.never = False
 
 
-def large(root: Node, template: dict[str, str]) -> list[str]:
+def large(root: Node, template: frozenset[int]) -> list[str]:
     """Paths of never-parts that hold most of the text that is not template, outermost first."""
     nodes = list(nodes_of(root))
     sizes = _varying([(p, n, n) for p, n in nodes], template, everything=True)
@@ -178,7 +188,7 @@ def large(root: Node, template: dict[str, str]) -> list[str]:
 
 def content(root: Node) -> str:
     """Text by which copies are known: that outside never-parts, or all if these hold most."""
-    if large(root, {}):
+    if large(root, frozenset()):
         return "\n".join(own_text([n]) for _, n in nodes_of(root))
     return "\n".join(root.text())
 
@@ -228,58 +238,169 @@ def merged(nodes: list[Node]) -> Node:
     return out
 
 
-def matching(a: Node, b: Node, path: str = "") -> tuple[int, list[tuple[str, Node, Node]]]:
-    """Simple tree matching: the size of the best alignment, and its nodes with their paths."""
-    xs, ys = folded(a), folded(b)
-    if len(xs) * len(ys) > ALIGNED:
-        return _in_turn(a, b, path)
-    below = {}
-    for i, (label, left) in enumerate(xs):
-        n = sum(other == label for other, _ in xs[:i])
-        for j, (other, right) in enumerate(ys):
-            if label == other:
-                below[i, j] = matching(merged(left), merged(right), f"{path}/{label}#{n}")
-    best = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
-    for i in range(1, len(xs) + 1):
-        for j in range(1, len(ys) + 1):
-            pair = below.get((i - 1, j - 1))
-            best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + pair[0] if pair else 0)
-    found, i, j = [(path, a, b)], len(xs), len(ys)
+class Shape:
+    """A folded node to align: its items' children in order, a number for its form, its size."""
+
+    __slots__ = ("label", "node", "children", "form", "size")
+
+    def __init__(self, label: str, node: Node, forms: dict[tuple, int]) -> None:
+        self.label, self.node = label, node
+        self.children = [Shape(below, merged(items), forms) for below, items in folded(node)]
+        self.form = forms.setdefault((label, *[c.form for c in self.children]), len(forms))
+        self.size = 1 + sum(c.size for c in self.children)
+
+
+def matching(a: Node, b: Node) -> tuple[int, list[tuple[str, Node, Node]]]:
+    """Simple tree matching: the size of the best alignment, and its nodes with their paths in a."""
+    forms: dict[tuple, int] = {}
+    known: dict[tuple[int, int], int] = {}
+    left, right = Shape(a.label, a, forms), Shape(b.label, b, forms)
+    found, stack = [], [("", left, right)]
+    while stack:
+        path, x, y = stack.pop()
+        found.append((path, x.node, y.node))
+        seen: dict[str, int] = {}
+        names = []
+        for child in x.children:
+            n = seen[child.label] = seen.get(child.label, -1) + 1
+            names.append(f"{path}/{child.label}#{n}")
+        for i, j in _aligned(x.children, y.children, known)[1]:
+            stack.append((names[i], x.children[i], y.children[j]))
+    return len(found), found
+
+
+def _size(x: Shape, y: Shape, known: dict[tuple[int, int], int]) -> int:
+    if x.form == y.form:
+        return x.size
+    key = (x.form, y.form)
+    if key not in known:
+        known[key] = 1 + _aligned(x.children, y.children, known)[0]
+    return known[key]
+
+
+def _aligned(
+    xs: list[Shape], ys: list[Shape], known: dict[tuple[int, int], int]
+) -> tuple[int, list[tuple[int, int]]]:
+    """The best alignment in order of children of equal labels: its size and pairs.
+
+    Only a band around the diagonal is searched. What leaves it skips more children of the
+    shorter side than the band is wide, and has at most the size of the others; the band is
+    doubled until that is no better than what was found inside.
+    """
+    if len(xs) > len(ys):
+        size, pairs = _aligned(ys, xs, known)
+        return size, [(i, j) for j, i in pairs]
+    both = {x.label for x in xs} & {y.label for y in ys}
+    left = [(i, x) for i, x in enumerate(xs) if x.label in both]
+    right = [(j, y) for j, y in enumerate(ys) if y.label in both]
+    turned = len(left) > len(right)
+    if turned:
+        left, right = right, left
+    n, m = len(left), len(right)
+    most: dict[str, int] = {}
+    for _, y in right:
+        most[y.label] = max(most.get(y.label, 0), y.size)
+    bounds = sorted(min(x.size, most[x.label]) for _, x in left)
+    total, band = sum(bounds), 16
+    while True:
+        last, moves = [0] * (m + 1), []
+        for i in range(1, n + 1):
+            x = left[i - 1][1]
+            from_, to = max(1, i - band), min(m, i + m - n + band)
+            row, move = last[:], bytearray(to - from_ + 1)
+            for j in range(from_, to + 1):
+                best, how = last[j], 0
+                if row[j - 1] > best:
+                    best, how = row[j - 1], 1
+                if right[j - 1][1].label == x.label:
+                    size = last[j - 1] + _size(x, right[j - 1][1], known)
+                    if size > best:
+                        best, how = size, 2
+                row[j], move[j - from_] = best, how
+            for j in range(to + 1, min(m, to + 1) + 1):
+                row[j] = row[to]
+            last = row
+            moves.append((from_, move))
+        if band >= n or last[m] >= total - sum(bounds[: band + 1]):
+            break
+        band *= 2
+    pairs, i, j = [], n, m
     while i and j:
-        pair = below.get((i - 1, j - 1))
-        if pair and best[i][j] == best[i - 1][j - 1] + pair[0]:
-            found += pair[1]
+        from_, move = moves[i - 1]
+        how = move[j - from_] if 0 <= j - from_ < len(move) else (1 if j >= from_ else 0)
+        if how == 2:
+            pairs.append((left[i - 1][0], right[j - 1][0]))
             i, j = i - 1, j - 1
-        elif best[i][j] == best[i - 1][j]:
-            i -= 1
-        else:
+        elif how == 1:
             j -= 1
-    return 1 + best[-1][-1], found
+        else:
+            i -= 1
+    return last[m], [(i, j) for j, i in pairs] if turned else pairs
 
 
-def _in_turn(a: Node, b: Node, path: str) -> tuple[int, list[tuple[str, Node, Node]]]:
-    """The n-th child of a label in a with the n-th in b."""
-    size, found, right = 1, [(path, a, b)], {}
-    for node, into in ((b, right), (a, None)):
+def items_of(root: Node) -> Iterator[tuple[str, Node, list[Node]]]:
+    """Every folded node of a tree: its path, itself, and the nodes that were folded."""
+    stack = [("", [root])]
+    while stack:
+        path, items = stack.pop()
+        node = merged(items)
+        yield path, node, items
         seen: dict[str, int] = {}
-        for label, items in folded(node):
+        below = []
+        for label, children in folded(node):
             n = seen[label] = seen.get(label, -1) + 1
-            key = f"{path}/{label}#{n}"
-            if into is not None:
-                into[key] = items
-            elif key in right:
-                more, pairs = matching(merged(items), merged(right[key]), key)
-                size, found = size + more, found + pairs
-    return size, found
+            below.append((f"{path}/{label}#{n}", children))
+        stack += reversed(below)
 
 
-def nodes_of(node: Node, path: str = "") -> Iterator[tuple[str, Node]]:
+def nodes_of(root: Node) -> Iterator[tuple[str, Node]]:
     """Every folded node of a tree with its path."""
-    yield path, node
-    seen: dict[str, int] = {}
-    for label, items in folded(node):
-        n = seen[label] = seen.get(label, -1) + 1
-        yield from nodes_of(merged(items), f"{path}/{label}#{n}")
+    for path, node, _ in items_of(root):
+        yield path, node
+
+
+@lru_cache(20_000)
+def place(path: str) -> str:
+    """The labels of a path, without the numbers that differ from page to page."""
+    out = []
+    for label in path.split("/")[1:]:
+        tag, blank, names = label.rpartition("#")[0].partition(" ")
+        out.append(tag + blank + _DIGITS.sub("0", names))
+    return "/".join(out)
+
+
+def number(text: str) -> int:
+    """Signed 64-bit hash that is never 0."""
+    return (xxhash.xxh64_intdigest(text.encode("utf-8", "replace")) or 1) - (1 << 63) or 1
+
+
+def block_key(path: str, own: str) -> int:
+    return number(f"{place(path)}\n{own}")
+
+
+def profile(root: Node) -> list[tuple[int, int]]:
+    """The page's places, and its own texts by place, as (place, 0) and (place, block key)."""
+    out = set()
+    for path, node in nodes_of(root):
+        own = own_text([node])
+        if own and not path.startswith("/head#"):
+            at = number(place(path))
+            out |= {(at, 0), (at, block_key(path, own))}
+    return sorted(out)
+
+
+def layout(root: Node) -> int:
+    """Which containers lie in which, down to an article or main: pages with the same are alike."""
+    found, stack = set(), [("", root, 0)]
+    while stack:
+        path, node, depth = stack.pop()
+        for label, items in folded(node) if depth < LAYOUT else ():
+            if items[0].tag in SLOTS and not items[0].never:
+                at = f"{path}/{label}#0"
+                found.add(place(at))
+                if items[0].tag not in ("article", "main"):
+                    stack.append((at, merged(items), depth + 1))
+    return number("\n".join(sorted(found)))
 
 
 def slot(root: Node, varying: dict[str, int]) -> str:
@@ -304,16 +425,21 @@ def slot(root: Node, varying: dict[str, int]) -> str:
 
 
 def _varying(
-    pairs: list[tuple[str, Node, Node]], template: dict[str, str], everything: bool = False
+    pairs: list[tuple[str, Node, Node]], template: frozenset[int] | set[int], everything: bool = False
 ) -> dict[str, int]:
-    """Characters of text that is not template, per path and all paths above it.
+    """Characters of the right nodes' text that is not template, per path and all paths above it.
 
-    Never-parts' own text counts only if everything is asked for.
+    Text in and below never-parts counts only if everything is asked for.
     """
     out: dict[str, int] = {}
-    for path, node, _ in pairs:
-        own = own_text([node])
-        size = 0 if node.never and not everything or template.get(path) == own else len(own)
+    closed: set[str] = set()
+    for path, node, other in pairs:
+        above = path.rpartition("/")[0]
+        if not everything and (node.never or (path and above in closed)):
+            closed.add(path)
+            continue
+        own = own_text([other])
+        size = len(own) if own and block_key(path, own) not in template else 0
         while size:
             out[path] = out.get(path, 0) + size
             if not path:
@@ -322,35 +448,37 @@ def _varying(
     return out
 
 
-def induce(pages: list[str]) -> dict:
-    """The wrapper of pages of one host: its content slot, and the text of template nodes.
+def induce(pages: list[str], blocks: list[int] | None = None) -> dict:
+    """The wrapper of pages of one layout: its content slot, template blocks and kept parts.
 
-    Pages whose text outside the never-parts is equal are copies and count once; all others
-    are evidence, however much they share.
+    blocks are the keys of the host's template blocks; if they aren't known, they are what
+    most of the pages share. Pages whose text outside the never-parts is equal are copies and
+    count once; all others are evidence, however much they share.
     """
     alike = {content(root): root for root in map(parse, sorted(set(pages), reverse=True))}
     roots = [alike[text] for text in sorted(alike)]
-    counts: dict[tuple[str, str], int] = {}
-    for other in roots[1:]:
-        _, pairs = matching(roots[0], other)
-        for key in [(p, t) for p, a, b in pairs if (t := own_text([a])) and t == own_text([b])]:
-            counts[key] = counts.get(key, 0) + 1
-    template = {path: text for (path, text), n in counts.items() if 2 * n > len(roots) - 1}
+    if not roots:
+        return {"slot": "", "blocks": [], "kept": []}
+    aligned = [matching(roots[0], other)[1] for other in roots[1:]]
+    if blocks is None:
+        counts: dict[tuple[str, str], int] = {}
+        for pairs in aligned:
+            for key in [(p, t) for p, a, b in pairs if (t := own_text([a])) and t == own_text([b])]:
+                counts[key] = counts.get(key, 0) + 1
+        blocks = [block_key(p, t) for (p, t), n in counts.items() if 2 * n > len(aligned)]
+    template = frozenset(blocks)
     kept: dict[str, int] = {}
     for root in roots:
         for path in large(root, template):
             kept[path] = kept.get(path, 0) + 1
-    kept = {path: n for path, n in kept.items() if 2 * n > len(roots)}
-    slots: dict[str, int] = {}
-    for root in roots:
-        release(root, list(kept))
-        varying = _varying([(p, n, n) for p, n in nodes_of(root)], template)
-        if not varying and len(roots) > 1:
-            continue
-        at = slot(root, varying)
-        slots[at] = slots.get(at, 0) + 1
-    at = max(slots, key=lambda p: (slots[p], p)) if slots else ""
-    return {"slot": at, "template": template, "kept": sorted(kept)}
+    always = sorted(path for path, n in kept.items() if 2 * n > len(roots))
+    release(roots[0], always)
+    pivot = dict(nodes_of(roots[0]))
+    varying: dict[str, int] = {}
+    for pairs in ([(p, n, n) for p, n in pivot.items()], *aligned):
+        for path, size in _varying([(p, pivot[p], b) for p, _, b in pairs], template).items():
+            varying[path] = varying.get(path, 0) + size
+    return {"slot": slot(roots[0], varying), "blocks": sorted(template), "kept": always}
 
 
 def extract(page: str | None, wrapper: dict | None) -> str:
@@ -360,28 +488,36 @@ def extract(page: str | None, wrapper: dict | None) -> str:
     two only; what they share is no evidence of a template then, and stays.
     """
     root = parse(page or "")
-    template = (wrapper or {}).get("template", {})
-    release(root, wrapper["kept"] if wrapper else large(root, {}))
-    nodes = dict(nodes_of(root))
-    found = []
-    for known in (template, {}):
+    template = frozenset(wrapper["blocks"]) if wrapper else frozenset()
+    release(root, wrapper["kept"] if wrapper else large(root, template))
+    nodes = {path: (node, items) for path, node, items in items_of(root)}
+    found: list[str] = []
+    for known in (template, frozenset()):
         at = wrapper["slot"] if wrapper and wrapper["slot"] in nodes else None
         if at is None:
-            at = slot(root, _varying([(p, n, n) for p, n in nodes.items()], known))
-        below = [t for p, t in known.items() if p == at or p.startswith(f"{at}/")]
-        dropped = {b for t in below for b in t.split("\n")}
-        blocks = nodes[at].text()
-        found.append([b for b in blocks if b not in dropped])
-        if sum(map(len, found[-1])) >= REST * sum(map(len, blocks)):
+            at = slot(root, _varying([(p, n, n) for p, (n, _) in nodes.items()], known))
+        silent = {
+            id(x)
+            for path, (node, items) in nodes.items()
+            if known and (own := own_text([node])) and block_key(path, own) in known
+            for x in (node, *items)
+        }
+        blocks = nodes[at][0].text()
+        found = nodes[at][0].text(silent)
+        if sum(map(len, found)) >= REST * sum(map(len, blocks)):
             break
-    return "\n\n".join(found[-1])
+    return "\n\n".join(found)
 
 
 def _induce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        wrappers = [json.dumps(induce(pages)) for pages in batch["pages"].to_pylist()]
+        wrappers = [
+            json.dumps(induce(pages, blocks or []))
+            for pages, blocks in zip(batch["pages"].to_pylist(), batch["blocks"].to_pylist(), strict=True)
+        ]
         yield pa.RecordBatch.from_arrays(
-            [batch["host"], pa.array(wrappers, pa.string())], names=["host", "wrapper"]
+            [batch["host"], batch["layout"], pa.array(wrappers, pa.string())],
+            names=["host", "layout", "wrapper"],
         )
 
 
@@ -393,7 +529,8 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if raw not in known:
                 if len(known) > 1000:
                     known = {None: None}
-                known[raw] = json.loads(raw)
+                wrapper = known[raw] = json.loads(raw)
+                wrapper["blocks"] = frozenset(wrapper["blocks"])
             texts.append(extract(page.as_py(), known[raw]))
         yield pa.RecordBatch.from_arrays(
             [batch["page_id"], batch["url"], pa.array(texts, pa.string())],
@@ -401,25 +538,77 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _lay_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        layouts = [
+            layout(parse(page)) if page is not None and host is not None else None
+            for page, host in zip(batch["html"].to_pylist(), batch["host"].to_pylist(), strict=True)
+        ]
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(layouts, pa.int64())], names=[*batch.schema.names, "layout"]
+        )
+
+
+def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts, places, blocks = [], [], []
+        for page in batch["html"].to_pylist():
+            root = parse(page)
+            texts.append(number(content(root)))
+            found = profile(root)
+            places.append([at for at, _ in found])
+            blocks.append([block for _, block in found])
+        numbers = pa.list_(pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [batch["host"], pa.array(texts, pa.int64()), pa.array(places, numbers), pa.array(blocks, numbers)],
+            names=["host", "content", "places", "blocks"],
+        )
+
+
 def host_of(url: str = "url"):
     """Host of a URL in lower case, without user and port; null if it has none."""
     host = F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
     return F.when(host != "", host)
 
 
+def template_blocks(pages: DataFrame) -> DataFrame:
+    """(host, blocks): keys of blocks on more than half of a host's distinct pages with their place.
+
+    Counted over all pages; pages of equal content count once. Places and blocks are summed
+    per task first, and a host has at most two template blocks a place of a page.
+    """
+    profiles = pages.where("host is not null and html is not null").select("host", "html").mapInArrow(
+        _profile, "host string, content bigint, places array<bigint>, blocks array<bigint>"
+    )
+    single = profiles.groupBy("host", "content").agg(F.min(F.struct("places", "blocks")).alias("p"))
+    pairs = single.select("host", F.explode(F.arrays_zip("p.places", "p.blocks")).alias("x")).select(
+        "host", F.col("x.places").alias("place"), F.col("x.blocks").alias("block")
+    )
+    counts = written(
+        pairs.groupBy("host", "place", "block").agg(F.count("*").alias("k")).where("k > 1"), "blocks"
+    )
+    places = counts.where("block = 0").select("host", "place", F.col("k").alias("n"))
+    often = counts.where("block <> 0").join(places, ["host", "place"]).where("2 * k > n")
+    return often.groupBy("host").agg(F.sort_array(F.collect_set("block")).alias("blocks"))
+
+
 def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, wrapper) from at most REFERENCES pages a host: per slot that with the least hash.
+    """(host, layout, wrapper) from pages (host, layout, html).
 
-    Slots are summed per task first, so that a host with a third of all pages is no burden.
+    Template blocks come from all pages of the host, the slot from at most REFERENCES pages
+    of the layout: per remainder that with the least hash, summed per task first, so that a
+    host with a third of all pages is no burden.
     """
     keyed = pages.where("host is not null and html is not null").select(
-        "host", "html", F.xxhash64("html").alias("h")
+        "host", "layout", "html", F.xxhash64("html").alias("h")
     )
-    best = keyed.groupBy("host", F.pmod("h", F.lit(REFERENCES)).alias("k")).agg(
+    best = keyed.groupBy("host", "layout", F.pmod("h", F.lit(REFERENCES)).alias("k")).agg(
         F.min_by("html", "h").alias("html")
     )
-    hosts = best.groupBy("host").agg(F.collect_list("html").alias("pages"))
-    return hosts.mapInArrow(_induce, "host string, wrapper string")
+    layouts = best.groupBy("host", "layout").agg(F.collect_list("html").alias("pages"))
+    return layouts.join(template_blocks(pages), "host", "left").select(
+        "host", "layout", "pages", "blocks"
+    ).mapInArrow(_induce, "host string, layout bigint, wrapper string")
 
 
 def extracted(pages: DataFrame) -> DataFrame:
@@ -429,9 +618,12 @@ def extracted(pages: DataFrame) -> DataFrame:
     one page or copies of one, are read by the page's own structure. Rows that repeat are
     read each time; ids may be null; other columns are not read.
     """
-    rows = pages.select("page_id", "url", "html", host_of().alias("host"))
-    joined = rows.join(wrappers(rows), "host", "left")
+    id_ = f"page_id {dict(pages.dtypes)['page_id']}"
+    rows = pages.select("page_id", "url", "html", host_of().alias("host")).mapInArrow(
+        _lay_out, f"{id_}, url string, html string, host string, layout bigint"
+    )
+    joined = rows.join(wrappers(rows), ["host", "layout"], "left")
     texts = joined.select("page_id", "url", "html", "wrapper").mapInArrow(
-        _extract, f"page_id {dict(pages.dtypes)['page_id']}, url string, text string"
+        _extract, f"{id_}, url string, text string"
     )
     return texts.withColumn("n_chars", F.length("text").cast("bigint"))

@@ -105,6 +105,46 @@ def test_parts_that_hold_the_article_stay():
     assert "word" in read(pages[0]) and "Home" not in read(pages[0])
 
 
+def test_all_pages_of_a_host_are_counted_by_layout(spark):
+    body = lambda k: f"<article><h1>T{k}</h1><p>Story {k} {'x' * (k % 5)}.%s</article>"
+    rare = "<div class=alert-%d>Minority notice.</div>"
+    rows = []
+    for k in range(60):
+        if k % 10 == 0:
+            page = f"<body><table><tr><td>Old layout.<tr><td><div id=text{k}><h2>T{k}</h2>Story {k}.</div></table>"
+        else:
+            page = "<body><div>Shared.</div>" + body(k) % (rare % k if k % 10 == 1 else "")
+        rows += [(k, "http://a.example/", page)] * (30 if k == 7 else 1)
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    for r in html_extract.extracted(pages).collect():
+        assert r.text.split("\n\n")[0] == f"T{r.page_id}", r
+        assert "notice" not in r.text and "Shared" not in r.text and "Old" not in r.text and f"Story {r.page_id}" in r.text
+
+
+def plain_matching(a, b):
+    xs, ys = html_extract.folded(a), html_extract.folded(b)
+    best = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
+    for i, (label, left) in enumerate(xs):
+        for j, (other, right) in enumerate(ys):
+            pair = plain_matching(html_extract.merged(left), html_extract.merged(right)) if label == other else 0
+            best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + pair)
+    return 1 + best[-1][-1]
+
+
+def test_trees_of_every_size_are_aligned_in_full():
+    rng = random.Random(4)
+    inner = ["", "<p>x", "<p>x<h2>y</h2>", "<ul><li>z</ul><p>x"]
+    for n in (3, 20, 90):
+        for _ in range(12):
+            tree = lambda: "".join(f"<div class={rng.choice('abc')}>{rng.choice(inner)}</div>" for _ in range(rng.randrange(n)))
+            a, b = html_extract.parse(tree()), html_extract.parse(tree())
+            assert html_extract.matching(a, b)[0] == plain_matching(a, b)
+    parts = [f"<p>{k}</p><h2>{k}</h2>" for k in range(400)]
+    a, b = html_extract.parse("".join(parts)), html_extract.parse("<h2>new</h2>" + "".join(parts))
+    pairs = html_extract.matching(a, b)[1]
+    assert len(pairs) == 801 and all(x.parts == y.parts for _, x, y in pairs[1:])
+
+
 def test_tree_matching_aligns_the_largest_common_tree():
     a = html_extract.parse("<div><p>1</p></div><ul><li>x</ul><div class=z>2</div>")
     b = html_extract.parse("<ul><li>y</ul><div class=z>2</div><div><p>1</p></div>")
