@@ -2,7 +2,8 @@
 
 Every rule's failure rate of a host is shrunk by a beta prior fitted to the rates of all
 hosts (moments). A host whose shrunk rate of any rule reaches HOST_LIMIT is rejected with
-all its documents.
+all its documents. A host whose rate of a rule is significantly above the other hosts' can
+lose the documents that fail this rule (outlying_hosts); its clean ones stay.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from .common import BLANKS, materialised, row_hash, words_of, written
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 HOST_LIMIT = 0.7
+OUTLYING = 3.0  # standard deviations that a host's rate is above the other hosts' on either side
 SYMBOLS = "#*$%&|<>"
 
 # Failures that count against a host.
@@ -80,12 +82,17 @@ def measures(docs: DataFrame, host_col: str = "source") -> DataFrame:
     return rows.withColumn("n_repeat_words", _covered(F.col("starts")).cast("bigint")).drop("starts")
 
 
-def rejected_hosts(measured: DataFrame) -> DataFrame:
-    """(host, <rule>_rate ...) of hosts whose shrunk failure rate of some rule is too high."""
-    hosts = measured.where("host is not null").groupBy("host").agg(
+def _failures(measured: DataFrame) -> DataFrame:
+    """(host, n, failures by rule ...)."""
+    return measured.where("host is not null").groupBy("host").agg(
         F.count("*").alias("n"),
         *[F.sum(F.expr(failed).cast("bigint")).alias(rule) for rule, failed in RULES.items()],
     )
+
+
+def rejected_hosts(measured: DataFrame) -> DataFrame:
+    """(host, <rule>_rate ...) of hosts whose shrunk failure rate of some rule is too high."""
+    hosts = _failures(measured)
     rates = {rule: F.col(rule) / F.col("n") for rule in RULES}
     prior = hosts.agg(
         *[F.avg(rate).alias(f"{rule}_m") for rule, rate in rates.items()],
@@ -101,9 +108,48 @@ def rejected_hosts(measured: DataFrame) -> DataFrame:
     )
 
 
-def judged(docs: DataFrame, host_col: str = "source") -> DataFrame:
+def outlying_hosts(measured: DataFrame) -> DataFrame:
+    """(host, <rule>_high ...) of hosts whose failure rate of some rule is significantly high.
+
+    A beta prior is fitted to the rates of the other hosts (moments). The host's posterior
+    rate less OUTLYING deviations has to lie above their mean plus OUTLYING deviations; these
+    are at least what chance makes in hosts of their sizes. A host without others is judged
+    by none.
+    """
+    hosts = _failures(measured)
+    rate = {rule: F.col(rule) / F.col("n") for rule in RULES}
+    noise = {rule: r * (1 - r) / F.col("n") for rule, r in rate.items()}
+    sums = hosts.agg(
+        F.count("*").alias("hosts"),
+        *[F.sum(r).alias(f"{rule}_1") for rule, r in rate.items()],
+        *[F.sum(r * r).alias(f"{rule}_2") for rule, r in rate.items()],
+        *[F.sum(x).alias(f"{rule}_x") for rule, x in noise.items()],
+    ).first()
+    others = float(max(sums["hosts"] - 1, 1))
+    high = {}
+    for rule in RULES:
+        first, second, chance = (F.lit(float(sums[f"{rule}_{k}"] or 0.0)) for k in "12x")
+        mean = F.greatest((first - rate[rule]) / others, F.lit(0.0))
+        spread = F.greatest(
+            (second - rate[rule] * rate[rule]) / others - mean * mean, (chance - noise[rule]) / others, F.lit(1e-12)
+        )
+        weight = F.greatest(F.lit(1.0), mean * (1 - mean) / spread - 1)
+        size = F.col("n") + weight
+        posterior = (F.col(rule) + mean * weight) / size
+        deviation = F.sqrt(posterior * (1 - posterior) / (size + 1))
+        above = posterior - OUTLYING * deviation > mean + OUTLYING * F.sqrt(spread)
+        high[rule] = above & F.lit(sums["hosts"] > 1)
+    return hosts.select("host", *[c.alias(f"{rule}_high") for rule, c in high.items()]).where(
+        " or ".join(f"{rule}_high" for rule in RULES)
+    )
+
+
+def judged(docs: DataFrame, host_col: str = "source", by_rule: bool = False) -> DataFrame:
     """measures() with base_failed, host_failed and kept per row of docs.
 
+    With by_rule also rule_failed: the document fails a rule that its host fails significantly
+    more often than the other hosts; such documents aren't kept.
+
     A document fails the base rules with fewer than 50 words or with more than half of its
     words in repeated windows; it is kept if it passes them and its host is not rejected.
     A row without host belongs to none and is judged by its text alone; rows that repeat
@@ -112,9 +158,18 @@ def judged(docs: DataFrame, host_col: str = "source") -> DataFrame:
     measured = written(measures(docs, host_col), "measures")
     bad = rejected_hosts(measured).select("host", F.lit(True).alias("bad"))
     base = F.expr(RULES["few_words"]) | F.expr(RULES["repeated"])
-    return measured.join(bad, "host", "left").select(
+    found = measured.join(bad, "host", "left").select(
         *measured.columns,
         base.alias("base_failed"),
         F.coalesce("bad", F.lit(False)).alias("host_failed"),
         (~base & F.col("bad").isNull()).alias("kept"),
     )
+    if not by_rule:
+        return found
+    failed = " or ".join(f"({rule}_high and {failed})" for rule, failed in RULES.items())
+    rule_failed = F.coalesce(F.expr(failed), F.lit(False))
+    return found.join(outlying_hosts(measured), "host", "left").select(
+        *[c for c in found.columns if c != "kept"],
+        rule_failed.alias("rule_failed"),
+        (F.col("kept") & ~rule_failed).alias("kept"),
+    )

@@ -17,7 +17,7 @@ from awareness_mart.llm.secret_scan import redacted
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
-    return without(docs, judged(docs).where("not kept"))
+    return without(docs, judged(docs, by_rule=True).where("not kept"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import random
 
+import corpus_pipeline
 from awareness_mart.llm.common import lower_words, without
 from awareness_mart.llm.decontaminate import contained_items
 from awareness_mart.llm.quality import judged, rejected_hosts, measures
@@ -45,6 +46,20 @@ def test_a_bad_host_takes_its_documents_along(spark):
     assert judged(docs.limit(0)).collect() == []
 
 
+def test_an_outlying_host_loses_the_documents_that_fail(spark):
+    good = " ".join(f"word{k}" for k in range(60))
+    rows = [(k, good + " #" * 30 if k % 5 < 3 else good, "junk") for k in range(200)]
+    rows += [(1000 + k, good + " #" * 30 if k % 12 == 0 else good, f"h{k % 19}") for k in range(1900)]
+    docs = spark.createDataFrame([*rows, (5000, good + " #" * 30, None)], DOCS)
+    found = {r.doc_id: r for r in judged(docs, by_rule=True).collect()}
+    assert len(found) == len(rows) + 1
+    assert {k for k, r in found.items() if not r.kept} == {k for k in range(200) if k % 5 < 3}
+    assert all(r.rule_failed != r.kept and not r.host_failed for r in found.values())
+    assert {k for k, r in found.items() if r.kept} == {r.doc_id for r in corpus_pipeline.quality(spark, docs, "").collect()}
+    alone = judged(docs.where("source = 'junk'"), by_rule=True)
+    assert alone.where("not kept").count() == 0 and judged(docs.limit(0), by_rule=True).collect() == []
+
+
 def test_rows_without_id_are_dropped_by_their_text(spark):
     docs = spark.createDataFrame([(None, "x", "s"), (None, None, "s"), (1, "y", "s")], DOCS)
     bad = judged(docs).where("not kept and n_words = 1")
