@@ -26,7 +26,7 @@ PRIOR = 0.1  # weight of the Dirichlet prior, as a share of all counts
 STEMS = (4, 6)  # beginnings of words that are counted like words
 LEAST_Z = 4.0
 LEAST_COUNT = 5
-LEXICON = 200_000  # most words that the model holds, the most significant ones
+LEXICON = 200_000  # more significant words than this are joined to the texts' words, not broadcast
 DRIFT = 0.05
 SIGNIFICANT = 0.01  # expected number of such segments in a text that isn't toxic
 FIT_ROWS = 100_000  # labelled rows, at most twice as many, that the logistic curve is fitted to
@@ -81,8 +81,18 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out()
 
 
-def log_odds(labelled: DataFrame) -> tuple[dict[str, float], float]:
-    """Weights of significant words, and lambda, from all rows (text, toxic)."""
+class Found(dict):
+    """word -> its weight, of the words of a text that have one."""
+
+    def __missing__(self, word: str) -> None:
+        return None
+
+
+def log_odds(labelled: DataFrame) -> tuple[dict[str, float] | DataFrame, float]:
+    """Weights of all significant words, and lambda, from all rows (text, toxic).
+
+    The weights are a dictionary, or a table (word, w) of more than LEXICON words.
+    """
     rows = labelled.where("toxic is not null").select("text", F.col("toxic").cast("int"))
     words = written(
         rows.mapInArrow(_counts, "word string, n_toxic bigint, n_other bigint")
@@ -99,16 +109,18 @@ def log_odds(labelled: DataFrame) -> tuple[dict[str, float], float]:
         (F.col("b") + prior) / (m + all_prior - F.col("b") - prior)
     )
     deviation = F.sqrt(1 / (F.col("a") + prior) + 1 / (F.col("b") + prior))
-    strong = (
+    strong = written(
         words.select("word", "b", odds.alias("w"), (odds / deviation).alias("z"))
         .where((F.abs("z") >= LEAST_Z) & (F.col("a") + F.col("b") >= LEAST_COUNT))
-        .orderBy(F.abs("z").desc(), "word")
-        .limit(LEXICON)
-        .collect()
+        .select("word", "b", "w"),
+        "lexicon",
     )
-    weights = {r["word"]: r["w"] for r in strong}
-    scores = np.array([r["w"] - DRIFT for r in strong] + [-DRIFT])
-    shares = np.array([r["b"] / m for r in strong])
+    if strong.count() > LEXICON:
+        return strong.select("word", "w"), _table_lambda(strong, m)
+    rows = sorted(strong.collect())
+    weights = {r["word"]: r["w"] for r in rows}
+    scores = np.array([r["w"] - DRIFT for r in rows] + [-DRIFT])
+    shares = np.array([r["b"] / m for r in rows])
     return weights, _lambda(scores, np.append(shares, 1 - shares.sum()))
 
 
@@ -125,6 +137,27 @@ def _lambda(scores: np.ndarray, shares: np.ndarray) -> float:
     return high
 
 
+def _table_lambda(strong: DataFrame, total: float) -> float:
+    """_lambda of a table (word, b, w), by passes over it that try some values each."""
+    score, share = F.col("w") - DRIFT, F.col("b") / total
+    best, mean, known = strong.agg(F.max(score), F.sum(score * share), F.sum(share)).first()
+    rest = 1 - known
+    if best <= 0 or mean - DRIFT * rest >= 0:
+        return 1.0
+
+    def sums(values: list[float]) -> list[float]:
+        found = strong.agg(*[F.sum(share * F.exp(score * v)).alias(f"v{k}") for k, v in enumerate(values)]).first()
+        return [x + rest * math.exp(-DRIFT * v) for x, v in zip(found, values, strict=True)]
+
+    tried = [0.0] + [2.0**k for k in range(7)]
+    for _ in range(13):
+        enough = [x >= 1 for x in sums(tried[1:-1])] + [True]
+        k = enough.index(True)
+        low, high = tried[k], tried[k + 1]
+        tried = [low + (high - low) * k / 32 for k in range(33)]
+    return high
+
+
 def segments(scores: list[tuple[int, int, float]]) -> list[tuple[int, int, float]]:
     """All maximal scoring (begin, end, score) of runs (begin, end, score), in linear time."""
     # begin, end, sum before, sum through, and the last one before with a smaller sum before
@@ -164,12 +197,17 @@ FEATURES = "best double, passages double, share double"
 
 
 def _features(model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Features of texts by a broadcast (weights, lambda); weights of None are in the rows."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, rate = Weights(model.value[0]), model.value[1]
+        weights, rate = model.value
+        weights = None if weights is None else Weights(weights)
         for batch in batches:
+            own = batch["found"].to_pylist() if weights is None else [None] * batch.num_rows
             rows = []
-            for text in batch["text"]:
-                scored, n = runs(text.as_py(), weights)
+            for text, found in zip(batch["text"], own, strict=True):
+                known = Found((x["word"], x["w"]) for x in found or []) if weights is None else weights
+                scored, n = runs(text.as_py(), known)
                 size = math.log(n + 1)
                 found = [rate * s - size for _, _, s in segments(scored)]
                 positive = sum(s > 0 for _, _, s in scored)
@@ -184,6 +222,41 @@ def _features(model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
     return run
 
 
+def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for a, b, text in zip(*[batch[c].to_pylist() for c in ("a", "b", "text")], strict=True):
+            words = sorted(set(_WORD.findall(text.lower())))
+            n = len(words)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([a] * n, pa.int64()), pa.array([b] * n, pa.int64()), pa.array(words, pa.string())],
+                names=["a", "b", "word"],
+            )
+
+
+def _with_weights(rows: DataFrame, strong: DataFrame) -> DataFrame:
+    """rows with found: (word, w) of the words of their text that strong (word, w) knows.
+
+    What Weights does, by joins: a word has its weight or that of a stem, whichever is larger.
+    Texts are known by 128 bits of hash.
+    """
+    keyed = rows.withColumn("a", F.xxhash64("text")).withColumn("b", F.xxhash64(F.lit(1), "text"))
+    pairs = keyed.where("text is not null").select("a", "b", "text").mapInArrow(
+        _distinct_words, "a bigint, b bigint, word string"
+    )
+    forms = [F.struct(F.lit(0).alias("turn"), F.col("word").alias("form"))]
+    for k, n in enumerate(STEMS):
+        stem = F.struct(F.lit(-1 - k).alias("turn"), F.concat(F.substring("word", 1, n), F.lit("*")).alias("form"))
+        forms.append(F.when(F.length("word") > n, stem))
+    looked_up = pairs.select("word").distinct().select(
+        "word", F.explode(F.array_compact(F.array(*forms))).alias("x")
+    ).select("word", "x.turn", "x.form")
+    known = looked_up.join(strong.withColumnRenamed("word", "form"), "form").groupBy("word").agg(
+        F.max(F.struct(F.abs("w").alias("size"), "turn", "w"))["w"].alias("w")
+    )
+    found = pairs.join(known, "word").groupBy("a", "b").agg(F.collect_set(F.struct("word", "w")).alias("found"))
+    return keyed.join(found, ["a", "b"], "left").select("doc_id", "held_out", "text", "found")
+
+
 def fit(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Logistic weights (last: intercept), means and deviations by Newton's method."""
     data = np.array(rows, float)
@@ -215,8 +288,10 @@ def scored(docs: DataFrame, labels: DataFrame, held_out: Column) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("bigint"), held_out.alias("held_out"), "text")
     labels = labels.where("toxic is not null").select("doc_id", F.col("toxic").cast("int"))
     # One plan at every size: labels grow with the texts and are no lookup.
-    model = log_odds(rows.where("not held_out").join(labels.hint("merge"), "doc_id"))
-    shared = spark.sparkContext.broadcast(model)
+    weights, rate = log_odds(rows.where("not held_out").join(labels.hint("merge"), "doc_id"))
+    if isinstance(weights, DataFrame):
+        rows, weights = _with_weights(rows, weights), None
+    shared = spark.sparkContext.broadcast((weights, rate))
     features = written(
         rows.mapInArrow(_features(shared), f"doc_id bigint, held_out boolean, {FEATURES}"), "features"
     )

@@ -200,6 +200,26 @@ def test_toxicity_learns_words_and_scores_odd_rows(spark):
     assert {round(r.score, 3) for r in alone} == {0.0} and len(alone) == len(rows)
 
 
+def test_toxicity_with_more_words_than_are_broadcast(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = []
+    for k in range(300):
+        words = rng.choices([f"w{n}" for n in range(100)], k=40)
+        if k % 3 == 0:
+            words += rng.choices(["vile", "rotten", "Rottenness", "nastily", "nastiest", "éééébc"], k=3)
+        rows.append((k, " ".join(words)))
+    rows += [(7, rows[0][1]), (None, "rottenly vile"), (400, None), (401, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(300)], "doc_id bigint, toxic int")
+    score = lambda: sorted(
+        (r.doc_id or -1, round(r.score, 9), round(r.best, 9), r.passages, round(r.share, 9))
+        for r in toxicity.scored(docs, labels, F.coalesce(F.col("doc_id") >= 200, F.lit(False))).collect()
+    )
+    whole = score()
+    monkeypatch.setattr(toxicity, "LEXICON", 2)
+    assert score() == whole and len({x[1] for x in whole}) > 5
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet").toPandas().set_index("doc_id")
