@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import encoded, token_digest
 from .chat import digest, expanded
 from .common import read
 from .decontaminate import contained_items
@@ -180,3 +181,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_wrapper_text")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extracted(read(spark, sf_dir, "pages"))
+
+
+@query("op13_bpe_merge_rounds")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digest(encoded(read(spark, sf_dir, "documents")))
