@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from .bpe import encoded, token_digest
 from .chat import digest, expanded
+from .codes import ENTRIES, POSITIONS, ROUNDS, vector_codes
 from .common import read
 from .decontaminate import contained_items
 from .html_extract import extracted
 from .language import predicted
 from .near_dups import near_duplicates
+from .negatives import hard_negatives
 from .packing import packed
 from .quality import judged
 from .secret_scan import report
@@ -186,3 +188,64 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_bpe_merge_rounds")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digest(encoded(read(spark, sf_dir, "documents")))
+
+
+_WHOLE = """embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"""
+
+
+def _lloyd_sql() -> str:
+    """The rounds written out; distances and entry in one number, so that the least is the nearest."""
+    near = f"""select r, p, min(a) % {ENTRIES} as e, min(a) // {ENTRIES} as d from (
+    select parts.r, parts.p, {ENTRIES} * cast(list_inner_product(x, x) - 2 * list_inner_product(x, c)
+      + list_inner_product(c, c) as bigint) + books.e as a
+    from parts join {{books}} as books on books.p = parts.p) group by r, p"""
+    steps = [
+        f"""kept as materialized (select row_number() over (order by vec_id) - 1 as r, vec_id, label,
+    list_transform(embedding, lambda x: floor(1024 * cast(x as double))) as v from embeddings where {_WHOLE}),
+  parts as materialized (select r, p, v[p * (len(v) // {POSITIONS}) + 1 : (p + 1) * (len(v) // {POSITIONS})] as x
+    from kept, range({POSITIONS}) as t(p)),
+  books0 as materialized (select p, r as e, x as c from parts where r < {ENTRIES})"""
+    ]
+    for k in range(ROUNDS):
+        steps.append(f"""near{k} as materialized ({near.format(books=f"books{k}")}),
+  mean{k} as (select p, e, list(m order by i) as c from (
+    select p, e, i, floor(sum(x) / count(*)) as m from (
+      select near{k}.p, near{k}.e, unnest(x) as x, generate_subscripts(x, 1) as i
+      from near{k} join parts using (r, p)) group by p, e, i) group by p, e),
+  books{k + 1} as materialized (select p, e, coalesce(mean{k}.c, books{k}.c) as c
+    from books{k} left join mean{k} using (p, e))""")
+    return f"""with {", ".join(steps)},
+  last_ as ({near.format(books=f"books{ROUNDS}")}),
+  codes as (select r, string_agg(printf('%02x', e), '' order by p) as code, cast(sum(d) as bigint) as error
+    from last_ group by r),
+  said as (select sha256(string_agg(cast(cast(x as bigint) as varchar), ',' order by p, e, i)) as s from (
+    select p, e, unnest(c) as x, generate_subscripts(c, 1) as i from books{ROUNDS}))
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error,
+  s as codebooks_sha256 from kept join codes using (r), said"""
+
+
+@query("op11_resident_lloyd", _lloyd_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(read(spark, sf_dir, "embeddings"))
+
+
+@query(
+    "op12_windowed_negatives",
+    f"""with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+  list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+  from embeddings where label is not null and {_WHOLE}),
+scores as (select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as same,
+  cast(list_inner_product(a.v, b.v) as bigint) as score
+  from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+positive as (select anchor_id, id as positive_id, score as positive_score from scores where same
+  qualify row_number() over (partition by anchor_id order by score desc, id) <= 5)
+select anchor_id, positive_id, cast(row_number() over w as int) as rank, id as negative_id,
+  positive_score, score as negative_score
+from positive join scores using (anchor_id)
+where not same and 80 * positive_score <= 100 * score and score <= positive_score
+window w as (partition by anchor_id, positive_id order by score desc, id) qualify row_number() over w <= 5""",
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
