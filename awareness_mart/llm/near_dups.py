@@ -14,7 +14,7 @@ buckets hold next to no strangers up to billions of texts.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -138,13 +138,18 @@ def _members(texts: DataFrame) -> DataFrame:
 
 
 def _dealt(members: DataFrame, classes: str = "doc_id") -> DataFrame:
-    """Members of each bucket (doc_id, bucket, size) in blocks that are compared in themselves."""
-    block = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("size") / BLOCK)).cast("int")
+    """Members of each bucket (doc_id, bucket, size) in blocks that are compared in themselves.
+
+    Every bucket deals its members anew, so that what two blocks of one bucket keep apart
+    can meet in another bucket.
+    """
+    block = F.pmod(F.xxhash64("doc_id", "bucket"), F.ceil(F.col("size") / BLOCK)).cast("int")
     return members.select(
         "bucket",
         block.alias("lo"),
         block.alias("hi"),
         block.alias("block"),
+        (F.col("size") > BLOCK).alias("several"),
         F.col(classes).alias("class"),
         "doc_id",
     )
@@ -191,6 +196,7 @@ def _unlike(marked: DataFrame) -> DataFrame:
         F.least("block", "other").cast("int").alias("lo"),
         F.greatest("block", "other").cast("int").alias("hi"),
         F.col("block").cast("int").alias("block"),
+        F.lit(False).alias("several"),
         "class",
         "doc_id",
     )
@@ -199,65 +205,66 @@ def _unlike(marked: DataFrame) -> DataFrame:
 _GROUP = ["bucket", "lo", "hi"]
 
 
-def _candidates(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Row pairs of each group that are likely links, each pair in its first common band only."""
+def _likely(
+    table: pa.Table, open_: Callable[[np.ndarray, np.ndarray], np.ndarray]
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row pairs of each group that are likely links, as long as open_ says they are wanted.
+
+    A pair counts in its first common band only, unless that bucket has several blocks.
+    """
     n = table.num_rows
     sketch = np.frombuffer(b"".join(table["registers"].to_pylist()), np.uint8).reshape(n, -1)
     size = table["n_shingles"].to_numpy()
     block = table["block"].to_numpy()
     class_ = table["class"].to_numpy()
+    several = table["several"].to_numpy()
     band = table["bucket"].to_numpy() >> 8 * BAND
     mixed_blocks = table["lo"].to_numpy() != table["hi"].to_numpy()
     starts = group_starts(table, _GROUP)
     group = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, n)))
-    left, right = [], []
     for lag in range(1, int(np.diff(np.append(starts, n)).max())):
         a = np.flatnonzero(group[lag:] == group[:-lag])
         b = a + lag
         small, large = np.minimum(size[a], size[b]), np.maximum(size[a], size[b])
-        fits = (100 * small >= LINK_PERCENT * large) & (class_[a] != class_[b])
+        fits = (100 * small >= LINK_PERCENT * large) & (class_[a] != class_[b]) & open_(a, b)
         fits &= ~mixed_blocks[a] | (block[a] != block[b])
         a, b = a[fits], b[fits]
+        if not len(a):
+            continue
         k, l = sketch[a], sketch[b]
         first = (k == l).reshape(len(a), BANDS, BAND).all(axis=2).argmax(axis=1)
-        fits = (first == band[a]) & more_similar(k, l, size[a], size[b])
-        left.append(a[fits])
-        right.append(b[fits])
-    if not left:
-        return np.zeros(0, int), np.zeros(0, int)
-    return np.concatenate(left), np.concatenate(right)
+        fits = (first == band[a]) | several[a]
+        fits &= more_similar(k, l, size[a], size[b])
+        yield a[fits], b[fits]
 
 
 def _with_partner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for table in whole_groups(batches, _GROUP):
-        a, b = _candidates(table)
-        yield from table.take(np.unique(np.concatenate([a, b]))).to_batches()
+        wanted = np.zeros(table.num_rows, bool)
+        for a, b in _likely(table, lambda a, b, wanted=wanted: ~(wanted[a] & wanted[b])):
+            wanted[a] = wanted[b] = True
+        yield from table.filter(pa.array(wanted)).to_batches()
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links whose full sets are similar enough; a spanning forest of them per group."""
+    """Links of classes whose full sets are similar enough; a spanning forest per group."""
     for table in whole_groups(batches, _GROUP):
-        a, b = _candidates(table)
         sets = [np.frombuffer(x, np.uint64) for x in table["shingle_set"].to_pylist()]
-        ids = table["doc_id"].to_numpy()
-        parent = list(range(table.num_rows))
-
-        def root(x: int, parent=parent) -> int:
-            while parent[x] != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
-
+        class_ = table["class"].to_numpy()
+        starts = np.append(group_starts(table, _GROUP), table.num_rows)
+        part = np.arange(table.num_rows)
         found = []
-        for i, j in zip(a.tolist(), b.tolist(), strict=True):
-            p, q = root(i), root(j)
-            if p == q:
-                continue
-            total = len(sets[i]) + len(sets[j])
-            union = np.union1d(sets[i], sets[j]).size
-            if 100 * (total - union) >= LINK_PERCENT * union:
-                parent[p] = q
-                found.append((ids[i], ids[j]))
+        for a, b in _likely(table, lambda a, b, part=part: part[a] != part[b]):
+            for i, j in zip(a.tolist(), b.tolist(), strict=True):
+                if part[i] == part[j]:
+                    continue
+                total = len(sets[i]) + len(sets[j])
+                union = np.union1d(sets[i], sets[j]).size
+                if 100 * (total - union) >= LINK_PERCENT * union:
+                    found.append((class_[i], class_[j]))
+                    g = np.searchsorted(starts, i, "right")
+                    mine = part[starts[g - 1] : starts[g]]
+                    mine[mine == part[i]] = part[j]
         ends = np.array(found, np.int64).reshape(-1, 2)
         yield pa.RecordBatch.from_arrays(
             [pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"]
@@ -277,13 +284,13 @@ def _grouped(df: DataFrame) -> DataFrame:
 
 
 _MEMBER = (
-    "bucket bigint, lo int, hi int, block int, class bigint, doc_id bigint, "
+    "bucket bigint, lo int, hi int, block int, several boolean, class bigint, doc_id bigint, "
     "n_shingles bigint, registers binary"
 )
 
 
 def _compared(docs: DataFrame, texts: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Verified links (a, b) that connect what is similar enough in each pair of blocks."""
+    """Verified links (a, b) of classes that connect what is similar enough in each pair of blocks."""
     member = blocks.join(texts.select("doc_id", "n_shingles", "registers"), "doc_id").select(
         *[field.split()[0] for field in _MEMBER.split(", ")]
     )
@@ -296,17 +303,26 @@ def _compared(docs: DataFrame, texts: DataFrame, blocks: DataFrame) -> DataFrame
     return _grouped(near.join(sets, "doc_id")).mapInArrow(_verified, "a bigint, b bigint")
 
 
-def _joined(docs: DataFrame, texts: DataFrame, hot: DataFrame, found: DataFrame) -> DataFrame:
-    """found with links between the blocks of buckets that have several (doc_id, bucket).
+def _contracted(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """labels (node, component) after links (a, b) between components or unlabelled nodes."""
+    new = components(links)
+    renamed = new.select(F.col("node").alias("component"), F.col("component").alias("now"))
+    old = labels.join(renamed, "component", "left").select(
+        "node", F.coalesce("now", "component").alias("component")
+    )
+    return written(old.union(new.join(labels, "node", "left_anti")), "labels")
+
+
+def _joined(docs: DataFrame, texts: DataFrame, hot: DataFrame, labels: DataFrame) -> DataFrame:
+    """labels after links between the blocks of buckets that have several (doc_id, bucket).
 
     One member for each class that links have made so far is dealt into new blocks, as long
     as that halves the classes. What is then left in different classes is compared in full.
     """
     before = None
     while True:
-        stars = components(found)
         marked = written(
-            hot.join(stars.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
+            hot.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
                 "doc_id", "bucket", F.coalesce("component", "doc_id").alias("class")
             ),
             "marked",
@@ -315,23 +331,25 @@ def _joined(docs: DataFrame, texts: DataFrame, hot: DataFrame, found: DataFrame)
         sizes = first.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
         left = written(first.join(sizes, "bucket"), "classes")
         open_ = left.count()
-        stars = stars.select(F.col("node").alias("a"), F.col("component").alias("b"))
         if not open_:
-            return stars
+            return labels
         if before is not None and 2 * open_ > before:
             several = left.select("bucket").distinct()
             unlike = _unlike(marked.join(several, "bucket", "left_semi"))
-            return stars.union(_compared(docs, texts, unlike))
+            return _contracted(labels, _compared(docs, texts, unlike))
         before = open_
-        found = stars.union(_compared(docs, texts, _dealt(left, "class")))
+        labels = _contracted(labels, _compared(docs, texts, _dealt(left, "class")))
 
 
-def links(docs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Verified links (a, b) between distinct texts that connect all that are similar enough."""
+def linked(docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, component) of the distinct texts that are linked; others have no row."""
     members = written(_members(texts), "members")
-    found = _compared(docs, texts, _dealt(members))
+    labels = components(_compared(docs, texts, _dealt(members)))
+    largest = members.agg(F.max("size")).first()[0] or 0
+    if largest <= BLOCK:
+        return labels
     hot = members.where(F.col("size") > BLOCK).select("doc_id", "bucket")
-    return found if hot.isEmpty() else _joined(docs, texts, hot, found)
+    return _joined(docs, texts, hot, written(labels, "labels"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -353,7 +371,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         ),
         "texts",
     )
-    found = components(links(docs, texts))
+    found = linked(docs, texts)
     classes = (
         texts.select("text_key", F.col("doc_id").alias("class_id"))
         .join(found.withColumnRenamed("node", "class_id"), "class_id", "left")
