@@ -22,6 +22,7 @@ from tokenizers import Tokenizer
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 KNOWN_PARTS = 400_000  # most parts between blanks that a Python worker remembers
+TOGETHER = 5_000  # parts that are cut by one call and merged in the same rounds
 SLICE = 1 << 22  # bytes of text, about, that are encoded at a time
 
 _NONE = np.iinfo(np.int64).max
@@ -61,10 +62,13 @@ class MergeTable:
         ranks = np.where(same & (self.keys[at] == key), self.ranks[at], _NONE)
         return at, np.append(ranks, _NONE)
 
-    def encode(self, words: list[str]) -> list[np.ndarray]:
-        """Ids per word of byte-level letters. Rounds grow with the distinct pairs of a word."""
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of byte-level letters, end to end, and where each word's ids end.
+
+        Rounds grow with the distinct pairs of a word.
+        """
         if not words:
-            return []
+            return np.zeros(0, "<u4"), np.zeros(0, np.int64)
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
         ends = np.cumsum(sizes) - 1
@@ -94,8 +98,7 @@ class MergeTable:
             symbols, word = symbols[live], word[live]
         symbols, word = np.concatenate(done_symbols), np.concatenate(done_words)
         order = np.argsort(word, kind="stable")
-        cuts = np.cumsum(np.bincount(word, minlength=len(words)))[:-1]
-        return np.split(symbols[order].astype("<u4"), cuts)
+        return symbols[order].astype("<u4"), np.cumsum(np.bincount(word, minlength=len(words)))
 
 
 class BatchEncoder:
@@ -127,13 +130,42 @@ class BatchEncoder:
                 found.extend(word for word, _ in self.cut(self.normalise(piece)))
         return found
 
-    def _learn(self, parts: set[bytes]) -> None:
-        pieces = [(part, self._pieces(part.decode("utf-8", "replace"))) for part in parts]
-        words = list({p for _, found in pieces for p in found if isinstance(p, str)})
-        ids = {w: x.tobytes() for w, x in zip(words, self.merges.encode(words), strict=True)}
-        for part, found in pieces:
+    def _cut_together(self, parts: list[str]) -> tuple[list[str], np.ndarray] | None:
+        """Words of several parts, and how many words each part and those before it have."""
+        joined = self.normalise(" ".join(parts))
+        blanks = np.flatnonzero(np.frombuffer(joined.encode("utf-32-le"), np.uint32) == 32)
+        if len(blanks) != len(parts) - 1:
+            return None
+        cut = self.cut(joined)
+        begins = np.fromiter((place[0] for _, place in cut), np.int64, len(cut))
+        return [word for word, _ in cut], np.append(np.searchsorted(begins, blanks), len(cut))
+
+    def _learn(self, parts: list[bytes]) -> None:
+        """Remember the ids of parts between blanks; printable ones are cut by one call."""
+        plain: list[tuple[bytes, str]] = []
+        odd: list[tuple[bytes, str]] = []
+        for part in parts:
+            text = part.decode("utf-8", "replace")
+            fits = text.isprintable() and not any(mark in text for mark in self.special)
+            (plain if fits else odd).append((part, text))
+        together = self._cut_together([text for _, text in plain]) if plain else None
+        if together:
+            words, n_words = together
+            ids, ends = self.merges.encode(words)
+            raw, ends = ids.tobytes(), np.append(0, ends)[n_words] * 4
+            begin = 0
+            for (part, _), end in zip(plain, ends.tolist(), strict=True):
+                self.known[part] = raw[begin:end]
+                begin = end
+        else:
+            odd += plain
+        for part, text in odd:
+            pieces = self._pieces(text)
+            ids, ends = self.merges.encode([p for p in pieces if isinstance(p, str)])
+            cuts = iter(np.split(ids, ends[:-1]))
             self.known[part] = b"".join(
-                ids[p] if isinstance(p, str) else p.to_bytes(4, "little") for p in found
+                next(cuts).tobytes() if isinstance(p, str) else p.to_bytes(4, "little")
+                for p in pieces
             )
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
@@ -141,7 +173,9 @@ class BatchEncoder:
         cut = [text.split() for text in texts]
         if len(self.known) > KNOWN_PARTS:
             self.known.clear()
-        self._learn({part for parts in cut for part in parts if part not in self.known})
+        new = list({part for parts in cut for part in parts if part not in self.known})
+        for i in range(0, len(new), TOGETHER):
+            self._learn(new[i : i + TOGETHER])
         return [b"".join(map(self.known.__getitem__, parts)) for parts in cut]
 
     def decode(self, ids: list[int]) -> str:
