@@ -27,7 +27,8 @@ SCALE = 1024
 POSITIONS = 4
 ENTRIES = 256
 ROUNDS = 4
-OWNED = 512  # members of an entry that share an owner, about
+OWNED = 65_536  # members of an entry that share an owner, about, but
+OWNERS = 1024  # no more of them than one in so many of all that are placed
 
 _MEMBER = "position int, entry int, spread int, part binary"
 
@@ -95,7 +96,8 @@ def _first_members(whole: DataFrame, books: Codebooks) -> DataFrame:
 def _owned(members: DataFrame, counts: list) -> DataFrame:
     """Members at their owners: files by (position, entry, salt), salts by the counts."""
     spark = members.sparkSession
-    rows = [(r["position"], r["entry"], -(-r["count"] // OWNED)) for r in counts]
+    share = max(1, min(OWNED, sum(r["count"] for r in counts) // OWNERS))
+    rows = [(r["position"], r["entry"], -(-r["count"] // share)) for r in counts]
     salts = F.broadcast(spark.createDataFrame(rows, "position int, entry int, salts bigint"))
     placed = members.join(salts, ["position", "entry"]).select(
         "position", "entry", "spread", F.expr("cast(spread % salts as int)").alias("salt"), "part"
