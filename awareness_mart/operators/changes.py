@@ -175,10 +175,16 @@ def upsert(
 
 
 def update_matching(
-    target: DataFrame, src: DataFrame, keys: list[str], take_source: list[str]
+    target: DataFrame,
+    src: DataFrame,
+    keys: list[str],
+    take_source: list[str],
+    changed: str | None = None,
 ) -> DataFrame:
     """The target's rows, with ``take_source`` columns of the source row of the same key.
 
+    ``changed`` names a column that says whether a row differs from what it was.
+
     One join that carries the wide rows; the target is its kept side, which adaptive
     execution can split at a hot key. The source key must be unique and not NULL.
     """
@@ -186,13 +192,16 @@ def update_matching(
     new = new.withColumn("_seen", F.lit(True)).alias("s")
     joined = target.alias("t").join(new, _same_keys("t", "s", keys), "left")
     seen = F.col("s._seen").isNotNull()
+    differs = [~F.col(f"t.{c}").eqNullSafe(F.col(f"s.{c}")) for c in take_source]
+    flags = [(seen & reduce(lambda a, b: a | b, differs)).alias(changed)] if changed else []
     return joined.select(
         *[
             F.when(seen, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
             if c in take_source
             else F.col(f"t.{c}")
             for c in target.columns
-        ]
+        ],
+        *flags,
     )
 
 

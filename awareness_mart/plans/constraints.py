@@ -37,6 +37,9 @@ KEYS: dict[str, list[list[str]]] = {
     "mst_targets": [["kpi"]],
     "log": [["timestamp"]],
     "source_status": [["source"]],
+    "status_events": [],
+    "usage_events": [],
+    "load_counts": [["run_ts", "feed"]],
     "history_units": [["date", "unit"]],
     "history_total": [["date"]],
 }
@@ -65,6 +68,8 @@ REQUIRED: dict[str, list[str]] = {
     "mst_phishing": ["active"],
     "mst_targets": ["active"],
     "source_status": ["finished"],
+    "status_events": ["source", "run_date", "finished", "at"],
+    "usage_events": ["source", "run_date", "calls", "at"],
 }
 
 # Foreign keys, column to (table, column).

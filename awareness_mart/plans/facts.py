@@ -101,12 +101,17 @@ def merge_recipients(fact: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def merged_parts(
-    fact: DataFrame, rows: DataFrame, keys: list[str], updates: list[str]
+    fact: DataFrame,
+    rows: DataFrame,
+    keys: list[str],
+    updates: list[str],
+    changed: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Stored rows after their updates, and the rows to insert, which still lack a key.
 
     The wide fact takes part in one join; the inserts are found by its match key alone.
-    Columns that the source lacks are NULL in new rows.
+    Columns that the source lacks are NULL in new rows. ``changed`` names a column of the
+    stored rows that says whether they differ from what they were.
     """
     new = missing_from(rows, fact, keys)
     kinds = dict(fact.dtypes)
@@ -116,7 +121,7 @@ def merged_parts(
             for c in fact.columns
         ]
     )
-    return update_matching(fact, rows, keys, updates), inserts
+    return update_matching(fact, rows, keys, updates, changed), inserts
 
 
 def enrollment_rows(

@@ -11,15 +11,18 @@ from pyspark.sql import functions as F
 from ..functions import exact
 from ..operators.bridge import bridge_apply, membership_pairs
 from ..operators.calendar import FIRST_DAY, LAST_DAY, calendar, require_day
-from ..operators.changes import keyed_update, scd2_changes
+from ..operators.changes import scd2_changes
 from ..operators.keys import assign_keys, fill_keys, highest_key
+from ..schemas import FACT_BUCKETS, TABLES
 from ..sources.feeds import (
     FLATTEN,
+    IN_PROGRESS,
     PARENTS,
-    accepted,
-    children_of,
+    once_per_key,
     only_active,
-    read_feed,
+    read_records,
+    record_text,
+    reject_reason,
 )
 from ..sources.hr import active_hr_units
 from ..sources.masters import stage_phishing_campaigns, stage_training_names, stage_units
@@ -27,7 +30,7 @@ from ..sources.store import MartStore, written
 from . import facts
 from .campaigns import campaign_source
 from .history import merge_total_history, merge_unit_history, unit_rollup
-from .monitoring import all_ready
+from .monitoring import all_ready, load_status, quota_line
 from .templates import new_templates
 
 FEED_TABLES = {
@@ -48,45 +51,58 @@ UNIT_TRACKED = {"unit_naam": ""}
 CAMPAIGN_TRACKED = {"name": "", "status": "", "start_date_key": -1}
 
 
-def flatten_feeds(
-    spark: SparkSession, landed: dict[str, str], run_ts: datetime, multi_line: bool = False
-) -> dict[str, DataFrame]:
-    """Read and flatten every landed feed; rejected rows are still among them."""
-    raw = {feed: read_feed(spark, path, feed, multi_line) for feed, path in landed.items()}
-    raw["users"] = only_active(raw["users"])
-    return {feed: FLATTEN[feed](rows, run_ts) for feed, rows in raw.items()}
+def _finish(store: MartStore, source: str, run_ts: datetime) -> None:
+    """Report that a source has finished its run of the day."""
+    event = [(source, run_ts.date(), True, run_ts)]
+    store.append("status_events", store.spark.createDataFrame(event, TABLES["status_events"]))
 
 
-def finish_sources(status: DataFrame, sources: Sequence[str], run_date: date) -> DataFrame:
-    """The status table with run date and finished flag set for the given sources."""
-    done = status.filter(F.col("source").isin(list(sources))).select(
-        "source", F.lit(run_date).alias("run_date"), F.lit(True).alias("finished")
-    )
-    return keyed_update(status, done, ["source"], ["run_date", "finished"])
-
-
-def _finish(store: MartStore, sources: Sequence[str], run_ts: datetime) -> DataFrame:
-    store.reload()
-    status = store.read("source_status")
-    return store.write("source_status", finish_sources(status, sources, run_ts.date()))
+def _stage(store: MartStore, feed: str, rows: DataFrame, parents: dict[str, DataFrame]) -> DataFrame:
+    """Write one flattened feed: what is staged, and beside it what is rejected, in one pass."""
+    rows = rows.withColumn("_reason", reject_reason(feed))
+    bad = F.col("_reason").isNotNull()
+    rows = rows.withColumn("_record", F.when(bad, record_text())).drop("_raw")
+    if feed == "training":
+        rows = rows.filter(bad | (F.col("status") == IN_PROGRESS))
+    if feed in PARENTS:
+        parent, key = PARENTS[feed]
+        known = parents[parent].select(key, F.lit(True).alias("_known")).distinct()
+        rows = rows.join(known, key, "left").filter(bad | F.col("_known")).drop("_known")
+    copies = F.lit(1).cast("long")
+    if feed == "user_detail":
+        rows, copies = once_per_key(rows, ["user_id", "load_ts"], bad), F.col("_copies")
+    return store.write_checked(FEED_TABLES[feed], rows, F.col("_reason"), F.col("_record"), copies)
 
 
 def run_staging(
-    store: MartStore, landed: dict[str, str], run_ts: datetime, multi_line: bool = False
+    store: MartStore,
+    landed: dict[str, str],
+    run_ts: datetime,
+    multi_line: bool = False,
+    calls: int = 0,
 ) -> None:
     """Replace the staging tables by the landed feeds.
 
-    Parents are written first; their children are matched against what was written.
+    Parents are written first; their children are matched against what was written. Every
+    feed is read once: records that lack a required value or are no JSON are kept with a
+    reason (``store.rejected``), repeated risk scores are staged once, and what was stored,
+    rejected and left out is added to ``load_counts``. ``calls`` is the number of requests
+    that fetching took; it is added to the day's use, and ``log`` gets the band that it is in.
     """
-    flat = flatten_feeds(store.spark, landed, run_ts, multi_line)
+    store.reload()
     staged: dict[str, DataFrame] = {}
+    counts = []
     for feed, table in FEED_TABLES.items():
-        rows = accepted(flat[feed], feed)
-        if feed in PARENTS:
-            parent, key = PARENTS[feed]
-            rows = children_of(rows, staged[parent], key)
-        staged[feed] = store.write(table, rows)
-    _finish(store, [VENDOR], run_ts)
+        raw = read_records(store.spark, landed[feed], feed, multi_line)
+        rows = FLATTEN[feed](only_active(raw) if feed == "users" else raw, run_ts)
+        staged[feed] = _stage(store, feed, rows, staged)
+        counts.append((run_ts, feed, *store.checked(table)))
+    spark = store.spark
+    store.append("load_counts", spark.createDataFrame(counts, TABLES["load_counts"]))
+    used = [(VENDOR, run_ts.date(), calls, run_ts)]
+    store.append("usage_events", spark.createDataFrame(used, TABLES["usage_events"]))
+    store.append("log", written(quota_line(load_status(store), VENDOR, run_ts)))
+    _finish(store, VENDOR, run_ts)
     store.publish()
 
 
@@ -98,8 +114,9 @@ def run_hr(
     charset: str = "UTF-8",
 ) -> None:
     """Replace the staged HR extract."""
+    store.reload()
     store.write("stg_hr", active_hr_units(staff, units, run_ts, charset))
-    _finish(store, [HR], run_ts)
+    _finish(store, HR, run_ts)
     store.publish()
 
 
@@ -141,24 +158,39 @@ def _merge_fact(
     rows: DataFrame,
     keys: list[str],
     updates: list[str],
-) -> DataFrame:
-    """Merge mapped rows into a fact; only the inserted ones are given keys.
+) -> None:
+    """Merge mapped rows into the buckets of a fact that they belong to.
 
-    The rows are written first: updates and inserts both read them.
+    Only those buckets are read, and of them only the ones with a new or changed row are
+    replaced; only inserted rows are given keys. The rows are written first: updates and
+    inserts both read them.
     """
-    fact = store.read(table)
     surrogate = store.schemas[table].names[0]
-    updated, inserts = facts.merged_parts(fact, written(rows), keys, updates)
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(FACT_BUCKETS)).cast("int").alias("bucket")
+    staged = written(rows.select("*", bucket))
+    fact = store.parts(table)
+    mine = F.col("bucket").isin(_buckets(staged))
+    updated, inserts = facts.merged_parts(
+        fact.filter(mine), staged, keys, updates, changed="_changed"
+    )
     fresh = assign_keys(inserts, surrogate, keys, highest_key(fact, surrogate))
-    return store.write(table, updated.unionByName(fresh))
+    merged = written(updated.unionByName(fresh.withColumn("_changed", F.lit(True))))
+    changed = F.col("bucket").isin(_buckets(merged.filter("_changed")))
+    store.replace_parts(table, merged.filter(changed).drop("_changed"))
+
+
+def _buckets(rows: DataFrame) -> list[int]:
+    """The buckets that rows lie in, at most FACT_BUCKETS."""
+    return [r[0] for r in rows.select("bucket").distinct().collect()]
 
 
 def stage_masters(store: MartStore, run_ts: datetime) -> None:
     """Replace the staged masters by the master tables."""
+    store.reload()
     store.write("stg_md_units", stage_units(store.read("mst_units"), run_ts))
     store.write("stg_md_training", stage_training_names(store.read("mst_training"), run_ts))
     store.write("stg_md_phishing", stage_phishing_campaigns(store.read("mst_phishing"), run_ts))
-    _finish(store, [MASTER], run_ts)
+    _finish(store, MASTER, run_ts)
     store.publish()
 
 
@@ -179,7 +211,7 @@ def run_load(
     """
     spark, today = store.spark, run_ts.date()
     stage_masters(store, run_ts)
-    if not all_ready(store.read("source_status"), required, today):
+    if not all_ready(load_status(store), required, today):
         raise ValueError(f"not all of {', '.join(required)} have finished on {today}")
     staged = {feed: store.read(table) for feed, table in FEED_TABLES.items()}
 
@@ -244,14 +276,15 @@ def run_load(
     rows = facts.enrollment_rows(staged["enrollments"], users, campaigns, dates)
     _merge_fact(store, "fact_enrollment", rows, facts.ENROLLMENT_KEYS, facts.ENROLLMENT_UPDATES)
 
+    # Of the stored snapshots only today's are read, and only they are replaced.
     fact = store.read("fact_snapshot")
+    today_ = fact.filter(F.col("snapshot_date_key") == day_key)
     rows = facts.snapshot_rows(
-        staged["users"], staged["user_detail"], users, fact, day_key, run_ts
+        staged["users"], staged["user_detail"], users, today_, day_key, run_ts
     )
     key = "snapshot_key"
-    store.write(
-        "fact_snapshot", assign_keys(rows, key, ["user_key"], highest_key(fact, key)), history=True
-    )
+    fresh = assign_keys(rows, key, ["user_key"], highest_key(fact, key))
+    store.replace_parts("fact_snapshot", today_.unionByName(fresh.select(today_.columns)))
 
-    _finish(store, [MART], run_ts)
+    _finish(store, MART, run_ts)
     store.publish()

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import ntz
+from ..operators.latest import latest_per_key
 from ..sources.feeds import complete
+from ..sources.store import MartStore
 
 
 def readiness(status: DataFrame, required: Sequence[str]) -> DataFrame:
@@ -31,6 +34,31 @@ def all_ready(status: DataFrame, required: Sequence[str], day: date) -> bool:
     return bool(per_day.filter((F.col("day") == F.lit(day)) & F.col("ready")).head(1))
 
 
+def load_status(store: MartStore) -> DataFrame:
+    """The status table as the events say: the newest run per source, its calls of that day.
+
+    Jobs only add events, so none can undo what another has reported; the table itself
+    holds the sources and their limits.
+    """
+    newest = latest_per_key(store.read("status_events"), ["source"], "at").select(
+        "source", F.col("run_date").alias("_date"), F.col("finished").alias("_finished")
+    )
+    used = store.read("usage_events").groupBy("source", "run_date").agg(F.sum("calls").alias("_calls"))
+    used = latest_per_key(used, ["source"], "run_date").select(
+        "source", F.col("run_date").alias("_day"), F.col("_calls").cast("int").alias("_calls")
+    )
+    table = store.read("source_status")
+    run_date = F.greatest("run_date", "_date")
+    fetched = F.when(F.col("_day") >= F.coalesce("run_date", "_day"), F.col("_calls"))
+    news = {
+        "finished": F.coalesce(F.when(F.col("_date") == run_date, F.col("_finished")), "finished"),
+        "fetched_today": F.coalesce(fetched, "fetched_today"),
+        "run_date": run_date,
+    }
+    joined = table.join(newest, "source", "left").join(used, "source", "left")
+    return joined.select(*[news[c].alias(c) if c in news else F.col(c) for c in table.columns])
+
+
 def usage_band(
     used: Column, limit: Column, warning_percentage: Column, error_percentage: Column
 ) -> Column:
@@ -42,6 +70,20 @@ def usage_band(
     )
 
 
+def quota_line(status: DataFrame, source: str, run_ts: datetime) -> DataFrame:
+    """A line of the log: the calls of a source today, and the band of its limit they are in."""
+    band = usage_band(
+        F.col("fetched_today"),
+        F.col("max_fetches"),
+        F.col("warning_percentage"),
+        F.col("error_percentage"),
+    )
+    used = F.concat_ws("", F.col("fetched_today"), F.lit(" of "), F.col("max_fetches"), F.lit(" calls"))
+    return status.filter((F.col("source") == source) & F.col("max_fetches").isNotNull()).select(
+        ntz(run_ts).alias("timestamp"), "source", band.alias("severity"), used.alias("line")
+    )
+
+
 def calls_today(stored: Column, stored_day: Column, run_date: date, made: Column) -> Column:
     """Calls made by this run on top of the stored count; an older count starts from 0."""
     return F.when(stored_day < F.lit(run_date), 0).otherwise(stored) + made

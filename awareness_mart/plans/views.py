@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 
 from ..sources.store import MartStore
 from . import dashboards, reports
+from .monitoring import load_status
 
 # Listings: table, columns, sort keys as (column, descending). Fixed values.
 LISTINGS = {
@@ -28,7 +29,8 @@ LISTINGS = {
 
 def listing(store: MartStore, name: str) -> DataFrame:
     table, columns, order_by = LISTINGS[name]
-    return reports.sorted_listing(store.read(table), columns, order_by)
+    rows = load_status(store) if table == "source_status" else store.read(table)
+    return reports.sorted_listing(rows, columns, order_by)
 
 
 def phishing_report(store: MartStore, name: str, type_of: Column | None = None) -> DataFrame:

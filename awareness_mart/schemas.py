@@ -203,7 +203,22 @@ TABLES: dict[str, StructType] = {
         error_percentage=INT,
         finished=BOOL,
     ),
+    # What the jobs report, added to and never changed
+    "status_events": _schema(source=TEXT, run_date=DATE, finished=BOOL, at=TIME),
+    "usage_events": _schema(source=TEXT, run_date=DATE, calls=LONG, at=TIME),
+    "load_counts": _schema(
+        run_ts=TIME, feed=TEXT, inserted=LONG, rejected=LONG, repeated=LONG
+    ),
     # Monthly history
     "history_units": _schema(date=DATE, unit=TEXT, **_MEANS),
     "history_total": _schema(date=DATE, **_MEANS),
 }
+
+# Tables that a load replaces in parts, and the column whose values are the parts. A bucket
+# is a hash of the match key; another number of buckets needs the facts written anew.
+PARTITIONED = {
+    "fact_recipient": "bucket",
+    "fact_enrollment": "bucket",
+    "fact_snapshot": "snapshot_date_key",
+}
+FACT_BUCKETS = 64

@@ -1,7 +1,8 @@
 """Read the landed JSON feeds and flatten them to staging rows.
 
 Every ``flatten_*`` returns one row per delivered record, with NULL keys where a
-record lacks them; ``accepted`` and ``rejected`` split those rows.
+record lacks them; ``accepted`` and ``rejected`` split those rows. A column ``_raw`` of
+the delivered rows, the whole record, is handed on.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import lenient_date, lenient_double, ntz, person_key, row_hash_plain
 from ..schemas import FEEDS, RECIPIENT_EVENTS
@@ -36,6 +38,28 @@ REQUIRED: dict[str, list[str]] = {
 }
 
 
+_DAMAGED = "_corrupt_record"
+
+
+def read_records(
+    spark: SparkSession, path: str, feed: str, multi_line: bool = False
+) -> DataFrame:
+    """Like ``read_feed``, but text that is not JSON is a record of its own, and ``_raw`` holds
+    every record as delivered, to tell later what was rejected.
+
+    A damaged line spoils that line only; with ``multi_line`` it spoils its file.
+    """
+    fields = StructType([*FEEDS[feed].fields, StructField(_DAMAGED, StringType())])
+    rows = (
+        spark.read.schema(fields)
+        .option("multiLine", multi_line)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", _DAMAGED)
+        .json(path)
+    )
+    return rows.withColumn("_raw", F.struct(*rows.columns)).drop(_DAMAGED)
+
+
 def read_feed(spark: SparkSession, path: str, feed: str, multi_line: bool = False) -> DataFrame:
     """Read one feed. A JSON array, the form of a delivered page, gives a row per element.
 
@@ -57,6 +81,10 @@ def only_active(raw: DataFrame) -> DataFrame:
     return raw.filter(F.coalesce(F.col("status"), F.lit("active")) == "active")
 
 
+def _raw(delivered: DataFrame) -> list[str]:
+    return [c for c in delivered.columns if c == "_raw"]
+
+
 def _midnight(text: Column) -> Column:
     return lenient_date(text).cast("timestamp_ntz")
 
@@ -75,6 +103,7 @@ def flatten_users(raw: DataFrame, run_ts: datetime) -> DataFrame:
         pct.cast("decimal(5,2)").alias("phish_prone_pct"),
         ntz(run_ts).alias("load_ts"),
         row_hash_plain(F.col("id"), email, pct).alias("hash_row"),
+        *_raw(raw),
     )
 
 
@@ -85,6 +114,7 @@ def flatten_user_detail(raw: DataFrame, run_ts: datetime) -> DataFrame:
         score.cast("decimal(9,4)").alias("current_risk_score"),
         ntz(run_ts).alias("load_ts"),
         row_hash_plain(F.col("id"), score).alias("hash_row"),
+        *_raw(raw),
     )
 
 
@@ -96,6 +126,7 @@ def flatten_tests(raw: DataFrame, run_ts: datetime) -> DataFrame:
         "name",
         _midnight(F.col("started_at")).alias("started_at"),
         F.col("duration").alias("duration_days"),
+        *_raw(raw),
     )
     return _stamped(flat, run_ts, ["campaign_id", "pst_id", "name", "started_at", "duration_days"])
 
@@ -108,6 +139,7 @@ def flatten_recipients(raw: DataFrame, run_ts: datetime) -> DataFrame:
         F.col("template.id").alias("template_id"),
         F.col("template.name").alias("template"),
         *[_midnight(F.col(landed[c])).alias(c) for c in RECIPIENT_EVENTS],
+        *_raw(raw),
     )
     return _stamped(flat, run_ts, ["pst_id", "user_id", *RECIPIENT_EVENTS])
 
@@ -122,6 +154,7 @@ def flatten_training(raw: DataFrame, run_ts: datetime) -> DataFrame:
         start.alias("start_date"),
         ntz(run_ts).alias("load_ts"),
         row_hash_plain(*hashed).alias("hash_row"),
+        *_raw(raw),
     )
 
 
@@ -132,6 +165,7 @@ def flatten_enrollments(raw: DataFrame, run_ts: datetime) -> DataFrame:
         F.col("user.id").alias("user_id"),
         _midnight(F.col("enrollment_date")).alias("enrollment_date"),
         "status",
+        *_raw(raw),
     )
     return _stamped(flat, run_ts, ["enrollment_id", "user_id", "enrollment_date", "status"])
 
@@ -161,6 +195,35 @@ def rejected(flat: DataFrame, feed: str) -> DataFrame:
     return flat.filter(~complete(feed))
 
 
+def reject_reason(feed: str) -> Column:
+    """Why a flattened row with ``_raw`` is not staged: damaged text or a missing value; else NULL."""
+    lacks = F.concat_ws(", ", *[F.when(F.col(c).isNull(), F.lit(c)) for c in REQUIRED[feed]])
+    return (
+        F.when(F.col("_raw")[_DAMAGED].isNotNull(), F.lit("damaged"))
+        .when(~complete(feed), F.concat(F.lit("lacks "), lacks))
+        .otherwise(F.lit(None).cast("string"))
+    )
+
+
+def record_text() -> Column:
+    """The delivered record of a flattened row with ``_raw``: its text if damaged, else JSON."""
+    return F.coalesce(F.col("_raw")[_DAMAGED], F.to_json(F.col("_raw").dropFields(_DAMAGED)))
+
+
+def once_per_key(rows: DataFrame, keys: list[str], extra: Column) -> DataFrame:
+    """One row per key with the number of its ``_copies``; rows that ``extra`` marks all stay.
+
+    Of rows that differ beyond their key the one with the largest values stays. As an
+    aggregate with a partial step, copies of one key cost one row per task.
+    """
+    rest = [c for c in rows.columns if c not in keys]
+    own = F.when(extra, F.monotonically_increasing_id()).alias("_own")
+    kept = rows.groupBy(*keys, own).agg(
+        F.max(F.struct(*rest)).alias("_row"), F.count(F.lit(1)).alias("_copies")
+    )
+    return kept.select(*keys, "_row.*", "_copies")
+
+
 def children_of(child: DataFrame, parents: DataFrame, key: str) -> DataFrame:
     """Child rows whose parent was staged."""
     return child.join(parents.select(key), key, "left_semi")

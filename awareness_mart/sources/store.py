@@ -14,6 +14,13 @@ copy years of closed versions.
 A load writes all its versions first and publishes them with one append to the
 publication log, so readers see either the whole load or none of it. Files being
 read are never overwritten.
+
+The tables of ``schemas.PARTITIONED`` are plain partitioned tables without versions: a
+load replaces the parts that it changed by Spark's dynamic partition overwrite and leaves
+the files of all others alone. Their new parts are written aside while the load runs and
+put in place when it is published, after the dimensions they refer to and before the load
+is reported as finished; a publication that is cut off in between is repaired by running
+the load again.
 """
 
 from __future__ import annotations
@@ -24,7 +31,9 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+
+from ..schemas import PARTITIONED
 
 _LOG = "seq BIGINT, name STRING, version STRING, keeps_history BOOLEAN"
 _VERSION, _SLICE = StructField("version", StringType()), StructField("slice", StringType())
@@ -65,6 +74,9 @@ class MartStore:
         self.schemas = schemas
         self.published: dict[str, list[tuple[str, bool]]] = {}
         self.pending: dict[str, bool] = {}
+        self.appended: set[str] = set()
+        self.parts_pending: dict[str, DataFrame] = {}
+        self.seen: dict[str, list[tuple[str, bool]]] = {}
         self.seq = 0
         self._read_log()
         self._next_run()
@@ -85,7 +97,10 @@ class MartStore:
             self.seq = row.seq
 
     def reload(self) -> None:
-        """See what others have published since; what this load wrote stays pending."""
+        """See what others have published since; what this load wrote stays pending.
+
+        What was read before stays the state that ``publish`` compares with.
+        """
         self.published = {}
         self._read_log()
 
@@ -105,6 +120,7 @@ class MartStore:
         if table in self.pending:
             raise ValueError(f"{table} was already written in this load")
         rows = rows.select(*self.schemas[table].names)
+        self._remember(table)
         path = f"{self.root}/{table}/version={self.run}"
         if isinstance(history, bool):
             rows.write.parquet(f"{path}/slice={'history' if history else 'current'}")
@@ -112,10 +128,97 @@ class MartStore:
             part = F.when(history, F.lit("history")).otherwise(F.lit("current"))
             rows.withColumn("slice", part).write.partitionBy("slice").parquet(path)
         self.pending[table] = history is not False
-        return self.read(table)
+        return self._rows(table)
+
+    def write_checked(
+        self, table: str, rows: DataFrame, reason: Column, record: Column, copies: Column
+    ) -> DataFrame:
+        """Replace a table by the rows without a reason, and keep the others as rejected records.
+
+        Both go to one write; ``checked`` counts what it wrote.
+        """
+        if table in self.pending:
+            raise ValueError(f"{table} was already written in this load")
+        self._remember(table)
+        bad = reason.isNotNull()
+        part = F.when(bad, F.lit("rejected")).otherwise(F.lit("current"))
+        rows.select(
+            *[F.when(~bad, F.col(c)).alias(c) for c in self.schemas[table].names],
+            reason.alias("reason"),
+            F.when(bad, record).alias("record"),
+            copies.alias("copies"),
+            part.alias("slice"),
+        ).write.partitionBy("slice").parquet(f"{self.root}/{table}/version={self.run}")
+        self.pending[table] = False
+        return self._rows(table)
+
+    def _newest(self, table: str, fields: str) -> DataFrame:
+        """Columns of the newest version of a table of ``write_checked``, with their slice."""
+        versions = self.versions(table)
+        if not versions:
+            return self.spark.createDataFrame([], f"{fields}, slice string")
+        path = f"{self.root}/{table}/version={versions[-1]}"
+        return self.spark.read.schema(f"{fields}, slice string").parquet(path)
+
+    def rejected(self, table: str) -> DataFrame:
+        """(reason, record) of the records that the newest ``write_checked`` kept out."""
+        rows = self._newest(table, "reason string, record string")
+        return rows.filter("slice = 'rejected'").select("reason", "record")
+
+    def checked(self, table: str) -> tuple[int, int, int]:
+        """Rows that the newest ``write_checked`` stored, rejected, and left out as repeated."""
+        counts = self._newest(table, "copies bigint").agg(
+            F.count_if(F.col("slice") == "current"),
+            F.count_if(F.col("slice") == "rejected"),
+            F.sum(F.when(F.col("slice") == "current", F.col("copies") - 1)),
+        )
+        return tuple(int(n or 0) for n in counts.first())
+
+    def append(self, table: str, rows: DataFrame) -> None:
+        """Add rows to an append-only table; jobs that append do not get in each other's way."""
+        self.write(table, rows, history=True)
+        self.appended.add(table)
+
+    def replace_parts(self, table: str, rows: DataFrame) -> None:
+        """Replace the parts of a partitioned table that rows has; put in place by ``publish``."""
+        column = PARTITIONED[table]
+        names = [c for c in self.schemas[table].names if c != column]
+        path = scratch_dir(self.spark)
+        self._remember(table)
+        dealt = rows.select(*names, column).hint("rebalance", column)
+        dealt.write.partitionBy(column).parquet(path)
+        layout = self._layout(table)
+        self.parts_pending[table] = self.spark.read.schema(layout).parquet(path)
+
+    def _layout(self, table: str) -> StructType:
+        schema, column = self.schemas[table], PARTITIONED[table]
+        if column in schema.names:
+            return schema
+        return StructType([*schema.fields, StructField(column, IntegerType())])
+
+    def parts(self, table: str) -> DataFrame:
+        """The published rows of a partitioned table, with the column that names their part."""
+        self._remember(table)
+        layout = self._layout(table)
+        try:
+            return self.spark.read.schema(layout).parquet(f"{self.root}/{table}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], layout)
+
+    def _remember(self, table: str) -> None:
+        """Keep the state of a table that this load has seen first since it last published it."""
+        self.seen.setdefault(table, list(self.published.get(table, [])))
 
     def read(self, table: str, slice_: str | None = None) -> DataFrame:
         """The table, or only its ``current`` or ``history`` slice."""
+        if table in PARTITIONED:
+            return self.parts(table).select(*self.schemas[table].names)
+        self._remember(table)
+        return self._rows(table, slice_)
+
+    def _rows(self, table: str, slice_: str | None = None) -> DataFrame:
         schema = self.schemas[table]
         versions = self.versions(table)
         if not versions:
@@ -134,21 +237,35 @@ class MartStore:
     def publish(self) -> None:
         """Make everything this load wrote visible, at once.
 
-        Fails, and publishes nothing, if another job has replaced one of the same tables
-        since this store last read the log: its changes would be lost. The log takes no
-        lock; jobs that publish the same table in the same instant must be kept apart.
+        Fails, and publishes nothing, if another job has published one of the same tables
+        since this store first read or wrote it: its changes would be lost. Append-only
+        tables take part in no conflict. The log takes no lock; jobs that publish the same
+        table in the same instant must be kept apart.
         """
-        seen = {t: self.published.get(t, []) for t in self.pending}
+        mine = [t for t in (*self.pending, *self.parts_pending) if t not in self.appended]
         self.reload()
-        late = sorted(t for t, before in seen.items() if self.published.get(t, []) != before)
+        late = sorted(t for t in mine if self.published.get(t, []) != self.seen[t])
         if late:
             raise ValueError(f"{', '.join(late)} changed since this load read them")
-        entries = [(self.seq + 1, t, self.run, keeps) for t, keeps in self.pending.items()]
+        last = self.appended if self.parts_pending else set()
+        self._log({t: keeps for t, keeps in self.pending.items() if t not in last})
+        for table, rows in self.parts_pending.items():
+            writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy(PARTITIONED[table]).parquet(f"{self.root}/{table}")
+        self._log({t: True for t in (*self.parts_pending, *last)})
+        for table in mine:
+            del self.seen[table]
+        self.pending, self.parts_pending, self.appended = {}, {}, set()
+        self._next_run()
+
+    def _log(self, tables: dict[str, bool]) -> None:
+        """Append a publication of this run's tables to the log."""
+        if not tables:
+            return
+        self.seq += 1
+        entries = [(self.seq, t, self.run, keeps) for t, keeps in tables.items()]
         self.spark.createDataFrame(entries, _LOG).coalesce(1).write.mode("append").json(
             f"{self.root}/_published"
         )
-        for table, keeps in self.pending.items():
+        for table, keeps in tables.items():
             self.published.setdefault(table, []).append((self.run, keeps))
-        self.seq += 1
-        self.pending = {}
-        self._next_run()

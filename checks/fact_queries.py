@@ -13,6 +13,7 @@ from awareness_mart.operators.latest import latest_per_key
 from awareness_mart.plans import facts, history
 from awareness_mart.plans.campaigns import typed_training
 from awareness_mart.plans.load import run_history, run_hr, run_load, run_staging
+from awareness_mart.plans.monitoring import load_status
 from awareness_mart.schemas import RECIPIENT_FLAGS, TABLES
 from awareness_mart.sources.hr import active_hr_units
 from awareness_mart.sources.store import MartStore, scratch_dir
@@ -459,7 +460,7 @@ def end_to_end_load(t: Tables) -> DataFrame:
         "fact_recipient": (store.read("fact_recipient"), F.sum("clicks_count")),
         "fact_enrollment": (enrollments, F.count_if("_moved")),
         "fact_snapshot": (store.read("fact_snapshot"), F.count("phish_prone_pct")),
-        "source_status": (store.read("source_status"), F.count_if("finished")),
+        "source_status": (load_status(store), F.count_if("finished")),
     }
     parts = [
         df.agg(F.count(F.lit(1)).alias("n_rows"), n.cast("long").alias("n_current")).select(

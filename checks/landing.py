@@ -15,9 +15,10 @@ def _moment(day: Column) -> Column:
     return F.concat(F.to_date(day).cast("string"), F.lit("T08:30:00.000Z"))
 
 
-def users(t: Tables) -> DataFrame:
+def users(t: Tables, *others: str) -> DataFrame:
     """People with a high balance lost their id, some of the others their e-mail."""
     return t("fx_users").select(
+        *others,
         F.when(F.col("balance") <= 9000, F.col("user_id")).alias("id"),
         F.when(F.col("balance") >= -500, F.col("email")).alias("email"),
         F.coalesce(F.col("phish_prone_pct").cast("string"), F.lit("")).alias(
@@ -100,6 +101,15 @@ def enrollments(t: Tables) -> DataFrame:
     )
 
 
+def land_damaged(t: Tables, rows: DataFrame, damaged: Column) -> str:
+    """Write a feed as JSON lines of which some are cut off in the middle."""
+    path = scratch_dir(t.spark)
+    line = F.to_json(F.struct(*rows.columns))
+    cut = F.when(damaged, F.expr("left(line, length(line) - 3)")).otherwise(F.col("line"))
+    rows.withColumn("line", line).select(cut.alias("value")).write.text(path)
+    return path
+
+
 def land(t: Tables, rows: DataFrame, by: str | None = None) -> str:
     """Write a feed as JSON to a new shared folder and return its path.
 

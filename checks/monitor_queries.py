@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from awareness_mart.plans import audit, monitoring
 from awareness_mart.plans.constraints import violations
+from awareness_mart.plans.load import run_staging
+from awareness_mart.schemas import TABLES
 from awareness_mart.sources import feeds
+from awareness_mart.sources.store import MartStore, scratch_dir
 
 from . import landing
 from .change_queries import scd2_users
@@ -83,6 +86,75 @@ def load_audit(t: Tables) -> DataFrame:
     return monitoring.load_audit(flat, feeds.staged_rows(flat))
 
 
+def _staged(t: Tables) -> MartStore:
+    """The staging job over the landed feeds; records of people of nation 3 are cut off."""
+    store = MartStore(t.spark, scratch_dir(t.spark), TABLES)
+    limits = [("Vendor", None, 2000, 0, 75, 90, False)]
+    store.write("source_status", t.spark.createDataFrame(limits, TABLES["source_status"]))
+    store.publish()
+    landed = {
+        "users": landing.land_damaged(t, landing.users(t, "nation"), F.col("nation") == 3),
+        "user_detail": landing.land(t, landing.user_detail(t)),
+        "tests": landing.land(t, landing.tests(t)),
+        "recipients": landing.land(t, landing.recipients(t)),
+        "training": landing.land(t, landing.training(t)),
+        "enrollments": landing.land(t, landing.enrollments(t), by="campaign_id"),
+    }
+    run_staging(store, landed, RUN_TS, calls=t("fx_pst").count())
+    return store
+
+
+_STAGED_USERS = "nation <> 3 and segment <> 'BUILDING' and balance between -500 and 9000"
+
+
+@query(
+    "staged_counts",
+    f"""
+    select 'users' as feed, count(*) filter ({_STAGED_USERS}) as inserted,
+      count(*) filter (nation = 3 or segment <> 'BUILDING' and not (balance between -500 and 9000))
+        as rejected, 0::bigint as repeated from fx_users
+    union all
+    select 'user_detail', count(distinct user_id), 0, count(*) - count(distinct user_id)
+    from fx_user_detail where user_id in (select user_id from fx_users where {_STAGED_USERS})
+    union all
+    select 'tests', count(*) filter (campaign_id <> 7), count(*) filter (campaign_id = 7), 0
+    from fx_pst
+    union all
+    select 'recipients', count(*) filter (qr_code_scanned_at is null
+      and pst_id in (select pst_id from fx_pst where campaign_id <> 7)), count(qr_code_scanned_at), 0
+    from fx_recipients
+    union all
+    select 'training', count(*) filter (status = 'In Progress'), 0, 0 from fx_training
+    union all
+    select 'enrollments', count(*) filter (campaign_id in (select campaign_id from fx_training
+      where status = 'In Progress')), 0, 0 from fx_enrollments""",
+)
+def staged_counts(t: Tables) -> DataFrame:
+    """What the staging job stored, rejected and left out as repeated, as it reported."""
+    return _staged(t).read("load_counts").drop("run_ts")
+
+
+@query(
+    "staging_rejects",
+    """
+    select case when nation = 3 then 'damaged' when balance > 9000 then 'lacks user_id'
+        else 'lacks ehash' end as reason, count(*) as n_rows
+    from fx_users
+    where nation = 3 or segment <> 'BUILDING' and not (balance between -500 and 9000) group by 1
+    union all
+    select 'lacks campaign_id', count(*) from fx_pst where campaign_id = 7
+    union all
+    select case when n * 100 > 90 * 2000 then 'ERR' when n * 100 > 75 * 2000 then 'WARN' else 'INFO' end
+      || ': ' || n || ' of 2000 calls', 1 from (select count(*) as n from fx_pst)""",
+)
+def staging_rejects(t: Tables) -> DataFrame:
+    """Why records of the staging job are kept out, and what it logged about its quota."""
+    store = _staged(t)
+    lost = store.rejected("stg_users").unionByName(store.rejected("stg_pst"))
+    log = store.read("log").select(F.concat_ws(": ", "severity", "line").alias("reason"))
+    return lost.select("reason").unionByName(log).groupBy("reason").agg(F.count("*").alias("n_rows"))
+
+
 @query(
     "audit_duplicates",
     """

@@ -11,6 +11,7 @@ from awareness_mart.plans import views
 from awareness_mart.plans.audit import duplicates, orphans, scd2_shape
 from awareness_mart.plans.constraints import KEYS, REFERENCES, REQUIRED, audit_mart
 from awareness_mart.plans.load import run_history, run_hr, run_load, run_staging
+from awareness_mart.plans.monitoring import load_status
 from awareness_mart.schemas import TABLES
 from awareness_mart.sources.store import MartStore
 
@@ -153,7 +154,7 @@ def test_first_load_and_reports(mart, rows):
     assert rows(store.read("fact_snapshot"), "snapshot_date_key", "current_risk_score") == [
         (20240310, 10), (20240310, 20), (20240310, 30)]
     assert store.read("stg_user_detail").count() == 3
-    assert rows(store.read("source_status"), "source", "run_date", "finished") == [
+    assert rows(load_status(store), "source", "run_date", "finished") == [
         ("DWH", date(2024, 3, 10), True),
         ("HR", date(2024, 3, 10), True),
         ("Master", date(2024, 3, 10), True),
