@@ -20,21 +20,25 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
+from .vectors import HOT_SHARE
 
 REFERENCES = 6  # pages of a layout of a host whose trees are aligned to find its slot
 MOSTLY = 0.8  # share of a node's varying text that makes its child the content slot
+HELD = 32 << 20  # characters of candidate pages that a task holds before it hands them on
 DEPTH = 200  # deeper elements pass their text on to the one at this depth
 LAYOUT = 4  # levels of containers that tell layouts apart
-REST = 0.02  # a page of whose text the template leaves less is an altered copy: its text stays
+MAIN = 0.98  # a container with more of the slot's text is the article of an altered copy, no notice
 
 # Fixed names: elements that hold no text of a page, that start a block, that may be the
 # content slot, and whose text is never part of the article; words of class, id and role.
 SILENT = ("script", "style", "noscript", "template", "svg", "iframe", "object", "math")
+CONTROLS = ("select", "button", "label", "textarea", "datalist")
 VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "wbr")
 BLOCKS = (
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset "
@@ -51,6 +55,9 @@ NEVER_WORDS = (
     "search contentinfo complementary banner-ad site-header site-footer page-footer main-nav site-nav "
     "nav-menu cookie-banner cookie-notice comment-list share-buttons related-posts social-links"
 ).split()
+ADVERTS = ("ad", "ads", "advert", "adverts", "advertisement", "sponsored")  # as first or last part of a name
+# Elements that can be a notice as a whole; a heading, paragraph or item alone is part of the article.
+CONTAINERS = (*SLOTS, "ul", "ol", "dl", "figure", "details", "address")
 # Block elements that end when another of the kind begins.
 ENDS = {"p": BLOCKS, "li": ["li"], "dt": ["dt", "dd"], "dd": ["dt", "dd"], "td": ["td", "th", "tr"],
         "th": ["td", "th", "tr"], "tr": ["tr"], "head": ["body"]}
@@ -61,7 +68,8 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)",
     re.S | re.I,
 )
-_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in SILENT}
+_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in (*SILENT, *CONTROLS)}
+_NAME_PARTS = re.compile(r"[-_]+")
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 
@@ -73,7 +81,7 @@ class Node:
     def __init__(self, tag: str, names: str = "", in_article: bool = False) -> None:
         self.tag = tag
         self.label = f"{tag} {names.replace('/', '|')}".strip()
-        self.never = tag in NEVER or (tag not in ("html", "body") and not _NEVER.isdisjoint(names.split()))
+        self.never = tag in NEVER or (tag not in ("html", "body") and never_named(names))
         if tag == "header" and in_article:
             self.never = False
         self.parts: list[Node | str] = []
@@ -102,6 +110,16 @@ class Node:
 _NEVER = frozenset(NEVER_WORDS)
 
 
+@lru_cache(20_000)
+def never_named(names: str) -> bool:
+    """Whether a word of class, id and role says that the element is never part of an article."""
+    for name in names.split():
+        parts = _NAME_PARTS.split(name)
+        if name in _NEVER or parts[0] in ADVERTS or parts[-1] in ADVERTS:
+            return True
+    return False
+
+
 def parse(page: str) -> Node:
     """The tree of a page's block elements; other elements only pass their text on."""
     root = Node("html")
@@ -126,6 +144,8 @@ def parse(page: str) -> Node:
                 at = end.end() if end else len(page)
             else:
                 endless.add(tag)
+            if tag in CONTROLS:
+                pending.append(" ")
         if tag == "br":
             pending.append(" ")
         if tag not in _BLOCKS:
@@ -481,32 +501,56 @@ def induce(pages: list[str], blocks: list[int] | None = None) -> dict:
     return {"slot": slot(roots[0], varying), "blocks": sorted(template), "kept": always}
 
 
-def extract(page: str | None, wrapper: dict | None) -> str:
-    """Blocks of the page's content slot, without template text, joined by an empty line.
+def notices(
+    nodes: dict[str, tuple[Node, list[Node]]], at: str, template: frozenset[int]
+) -> set[int]:
+    """Ids of the nodes in and below containers in the slot (path at) that are template as a whole.
 
-    Where the template leaves next to nothing, the page differs from others in a line or
-    two only; what they share is no evidence of a template then, and stays.
+    A block that recurs among others that vary is part of the article: only containers fall
+    silent, and none that holds most of the slot's text.
     """
-    root = parse(page or "")
+    below = [p for p in nodes if p == at or p.startswith(f"{at}/")]
+    size: dict[str, int] = {}
+    varying: set[str] = set()
+    closed: set[str] = set()
+    for path in below:
+        node = nodes[path][0]
+        above = path.rpartition("/")[0]
+        if path != at and (node.never or above in closed):
+            closed.add(path)
+            continue
+        own = own_text([node])
+        fresh = bool(own) and block_key(path, own) not in template
+        while own:
+            size[path] = size.get(path, 0) + len(own)
+            if fresh:
+                varying.add(path)
+            if path == at:
+                break
+            path = path.rpartition("/")[0]
+    silent: set[int] = set()
+    dropped: set[str] = set()
+    for path in below:
+        node, items = nodes[path]
+        inside = path != at and path.rpartition("/")[0] in dropped
+        whole = path in size and path not in varying and node.tag in CONTAINERS and path != at
+        if inside or (whole and size[path] <= MAIN * size[at]):
+            dropped.add(path)
+            silent.update(id(x) for x in (node, *items))
+    return silent
+
+
+def extract(page: str | None, wrapper: dict | None, root: Node | None = None) -> str:
+    """Blocks of the page's content slot, without notices, joined by an empty line."""
+    root = root or parse(page or "")
     template = frozenset(wrapper["blocks"]) if wrapper else frozenset()
     release(root, wrapper["kept"] if wrapper else large(root, template))
     nodes = {path: (node, items) for path, node, items in items_of(root)}
-    found: list[str] = []
-    for known in (template, frozenset()):
-        at = wrapper["slot"] if wrapper and wrapper["slot"] in nodes else None
-        if at is None:
-            at = slot(root, _varying([(p, n, n) for p, (n, _) in nodes.items()], known))
-        silent = {
-            id(x)
-            for path, (node, items) in nodes.items()
-            if known and (own := own_text([node])) and block_key(path, own) in known
-            for x in (node, *items)
-        }
-        blocks = nodes[at][0].text()
-        found = nodes[at][0].text(silent)
-        if sum(map(len, found)) >= REST * sum(map(len, blocks)):
-            break
-    return "\n\n".join(found)
+    at = wrapper["slot"] if wrapper and wrapper["slot"] in nodes else None
+    if at is None:
+        at = slot(root, _varying([(p, n, n) for p, (n, _) in nodes.items()], template))
+    silent = notices(nodes, at, template) if template else frozenset()
+    return "\n\n".join(nodes[at][0].text(silent))
 
 
 def _induce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -521,16 +565,20 @@ def _induce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _read(raw: str | None) -> dict | None:
+    wrapper = json.loads(raw) if raw else None
+    return wrapper and wrapper | {"blocks": frozenset(wrapper["blocks"])}
+
+
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known: dict[str | None, dict | None] = {None: None}
+    known: dict[str | None, dict | None] = {}
     for batch in batches:
         texts = []
         for page, raw in zip(batch["html"], batch["wrapper"].to_pylist(), strict=True):
             if raw not in known:
                 if len(known) > 1000:
-                    known = {None: None}
-                wrapper = known[raw] = json.loads(raw)
-                wrapper["blocks"] = frozenset(wrapper["blocks"])
+                    known.clear()
+                known[raw] = _read(raw)
             texts.append(extract(page.as_py(), known[raw]))
         yield pa.RecordBatch.from_arrays(
             [batch["page_id"], batch["url"], pa.array(texts, pa.string())],
@@ -538,31 +586,100 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _lay_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        layouts = [
-            layout(parse(page)) if page is not None and host is not None else None
-            for page, host in zip(batch["html"].to_pylist(), batch["host"].to_pylist(), strict=True)
-        ]
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(layouts, pa.int64())], names=[*batch.schema.names, "layout"]
-        )
+def _extract_known(shared):
+    """Texts of pages whose (host, layout) has a wrapper in shared; others with their layout."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = {key: _read(raw) for key, raw in shared.value.items()}
+        for batch in batches:
+            texts, layouts = [], []
+            for page, host in zip(batch["html"].to_pylist(), batch["host"].to_pylist(), strict=True):
+                root = parse(page or "")
+                at = layout(root) if page is not None and host is not None else None
+                unread = at is not None and (host, at) not in known
+                layouts.append(at if unread else None)
+                texts.append(None if unread else extract(page, known.get((host, at)), root))
+            unread = pa.array([t is None for t in texts], pa.bool_())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch["page_id"],
+                    batch["url"],
+                    pc.if_else(unread, batch["html"], None),
+                    batch["host"],
+                    pa.array(layouts, pa.int64()),
+                    pa.array(texts, pa.string()),
+                ],
+                names=["page_id", "url", "html", "host", "layout", "text"],
+            )
+
+    return run
+
+
+_PROFILE = (
+    "host string, layout bigint, content bigint, places array<bigint>, blocks array<bigint>, "
+    "h bigint, html string"
+)
+
+
+def _references(best: dict[tuple, tuple[int, str]]) -> pa.RecordBatch:
+    """The pages of a task that may be references, as rows without content."""
+    none = pa.nulls(len(best), pa.list_(pa.int64()))
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([host for host, _, _ in best], pa.string()),
+            pa.array([at for _, at, _ in best], pa.int64()),
+            pa.nulls(len(best), pa.int64()),
+            none,
+            none,
+            pa.array([h for h, _ in best.values()], pa.int64()),
+            pa.array([page for _, page in best.values()], pa.string()),
+        ],
+        names=[field.split()[0] for field in _PROFILE.split(", ")],
+    )
 
 
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Layout, content, places and blocks of each page, from one parse of it.
+
+    Beside them come each task's candidates for the references of a layout: per remainder
+    of the page's hash that with the least.
+    """
+    best: dict[tuple, tuple[int, str]] = {}
+    held = 0
+    numbers = pa.list_(pa.int64())
     for batch in batches:
-        texts, places, blocks = [], [], []
-        for page in batch["html"].to_pylist():
+        hosts = batch["host"].to_pylist()
+        layouts, texts, places, blocks = [], [], [], []
+        for host, page in zip(hosts, batch["html"].to_pylist(), strict=True):
             root = parse(page)
+            layouts.append(at := layout(root))
             texts.append(number(content(root)))
             found = profile(root)
             places.append([at for at, _ in found])
             blocks.append([block for _, block in found])
-        numbers = pa.list_(pa.int64())
+            h = number(page)
+            key = (host, at, h % REFERENCES)
+            if key not in best or h < best[key][0]:
+                held += len(page) - len(best[key][1] if key in best else "")
+                best[key] = (h, page)
+        nothing = pa.nulls(len(hosts), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch["host"], pa.array(texts, pa.int64()), pa.array(places, numbers), pa.array(blocks, numbers)],
-            names=["host", "content", "places", "blocks"],
+            [
+                batch["host"],
+                pa.array(layouts, pa.int64()),
+                pa.array(texts, pa.int64()),
+                pa.array(places, numbers),
+                pa.array(blocks, numbers),
+                nothing,
+                pa.nulls(len(hosts), pa.string()),
+            ],
+            names=[field.split()[0] for field in _PROFILE.split(", ")],
         )
+        if held > HELD:
+            yield _references(best)
+            best, held = {}, 0
+    if best:
+        yield _references(best)
 
 
 def host_of(url: str = "url"):
@@ -571,16 +688,17 @@ def host_of(url: str = "url"):
     return F.when(host != "", host)
 
 
-def template_blocks(pages: DataFrame) -> DataFrame:
+def template_blocks(profiles: DataFrame) -> DataFrame:
     """(host, blocks): keys of blocks on more than half of a host's distinct pages with their place.
 
     Counted over all pages; pages of equal content count once. Places and blocks are summed
     per task first, and a host has at most two template blocks a place of a page.
     """
-    profiles = pages.where("host is not null and html is not null").select("host", "html").mapInArrow(
-        _profile, "host string, content bigint, places array<bigint>, blocks array<bigint>"
+    single = (
+        profiles.where("content is not null")
+        .groupBy("host", "content")
+        .agg(F.min(F.struct("places", "blocks")).alias("p"))
     )
-    single = profiles.groupBy("host", "content").agg(F.min(F.struct("places", "blocks")).alias("p"))
     pairs = single.select("host", F.explode(F.arrays_zip("p.places", "p.blocks")).alias("x")).select(
         "host", F.col("x.places").alias("place"), F.col("x.blocks").alias("block")
     )
@@ -592,23 +710,26 @@ def template_blocks(pages: DataFrame) -> DataFrame:
     return often.groupBy("host").agg(F.sort_array(F.collect_set("block")).alias("blocks"))
 
 
-def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, layout, wrapper) from pages (host, layout, html).
+def wrappers(profiles: DataFrame) -> DataFrame:
+    """(host, layout, n_pages, wrapper) from the profiles of all pages.
 
     Template blocks come from all pages of the host, the slot from at most REFERENCES pages
     of the layout: per remainder that with the least hash, summed per task first, so that a
     host with a third of all pages is no burden.
     """
-    keyed = pages.where("host is not null and html is not null").select(
-        "host", "layout", "html", F.xxhash64("html").alias("h")
+    best = (
+        profiles.where("content is null")
+        .groupBy("host", "layout", F.pmod("h", F.lit(REFERENCES)).alias("k"))
+        .agg(F.min_by("html", "h").alias("html"))
     )
-    best = keyed.groupBy("host", "layout", F.pmod("h", F.lit(REFERENCES)).alias("k")).agg(
-        F.min_by("html", "h").alias("html")
-    )
-    layouts = best.groupBy("host", "layout").agg(F.collect_list("html").alias("pages"))
-    return layouts.join(template_blocks(pages), "host", "left").select(
+    pages = best.groupBy("host", "layout").agg(F.collect_list("html").alias("pages"))
+    found = pages.join(template_blocks(profiles), "host", "left").select(
         "host", "layout", "pages", "blocks"
     ).mapInArrow(_induce, "host string, layout bigint, wrapper string")
+    sizes = profiles.where("content is not null").groupBy("host", "layout").agg(
+        F.count("*").alias("n_pages")
+    )
+    return found.join(sizes, ["host", "layout"])
 
 
 def extracted(pages: DataFrame) -> DataFrame:
@@ -617,13 +738,31 @@ def extracted(pages: DataFrame) -> DataFrame:
     Null, empty and textless pages give an empty text. Pages without host, and hosts with
     one page or copies of one, are read by the page's own structure. Rows that repeat are
     read each time; ids may be null; other columns are not read.
+
+    A page is parsed twice: once for its profile and once for its text. The wrappers of
+    layouts with a thousandth of all pages, so of a thousand at most, are sent to all tasks,
+    which leaves their pages where they are; pages of rarer layouts are written aside, joined
+    with their wrappers by key and parsed once more.
     """
     id_ = f"page_id {dict(pages.dtypes)['page_id']}"
-    rows = pages.select("page_id", "url", "html", host_of().alias("host")).mapInArrow(
-        _lay_out, f"{id_}, url string, html string, host string, layout bigint"
+    rows = pages.select("page_id", "url", "html", host_of().alias("host"))
+    told = rows.where("host is not null and html is not null").select("host", "html")
+    profiles = written(told.mapInArrow(_profile, _PROFILE), "profiles")
+    known = written(wrappers(profiles), "wrappers")
+    total = known.agg(F.sum("n_pages")).first()[0] or 0
+    common = known.where(F.col("n_pages") * HOT_SHARE >= F.lit(total)).collect()
+    context = pages.sparkSession.sparkContext
+    shared = context.broadcast({(r["host"], r["layout"]): r["wrapper"] for r in common})
+    read = written(
+        rows.mapInArrow(
+            _extract_known(shared),
+            f"{id_}, url string, html string, host string, layout bigint, text string",
+        ),
+        "texts",
     )
-    joined = rows.join(wrappers(rows), ["host", "layout"], "left")
-    texts = joined.select("page_id", "url", "html", "wrapper").mapInArrow(
-        _extract, f"{id_}, url string, text string"
+    rare = read.where("text is null").select("page_id", "url", "html", "host", "layout")
+    others = rare.join(known, ["host", "layout"], "left").select("page_id", "url", "html", "wrapper")
+    texts = read.where("text is not null").select("page_id", "url", "text").unionByName(
+        others.mapInArrow(_extract, f"{id_}, url string, text string")
     )
     return texts.withColumn("n_chars", F.length("text").cast("bigint"))

@@ -257,3 +257,51 @@ def test_chat_round_trip_of_hostile_texts(spark):
     counts = {r.conv_id: r["count"] for r in examples.groupBy("conv_id").count().collect()}
     assert counts == {c: max(1, sum(r == "assistant" for r, _ in t) + (t[-1][0] != "assistant")) for c, t in talks.items()}
     assert chat.digest(chat.expanded(table.limit(0))).collect() == []
+
+
+def test_what_recurs_among_varying_siblings_stays(spark):
+    """Headings, paragraphs and items that many articles share are theirs; whole containers are notices."""
+    def page(k):
+        return (
+            f"<body><div class=content><h1>Title {k}</h1><p>Story {k} of the day.</p><h2>Summary</h2>"
+            f"<p>Point {k}.</p><p>Same line.</p><ul><li>Same item<li>Item {k}</ul>"
+            "<div class=box><h3>Join us</h3><p>Every week.</p></div></div></body>"
+        )
+
+    rows = [(k, "http://h.example/a", page(k)) for k in range(30)]
+    found = html_extract.extracted(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
+    for r in found.collect():
+        k = r.page_id
+        assert r.text.split("\n\n") == [
+            f"Title {k}", f"Story {k} of the day.", "Summary", f"Point {k}.", "Same line.", "Same item", f"Item {k}"
+        ]
+
+
+def test_controls_and_named_adverts_are_no_text():
+    read = lambda page: html_extract.extract(page, None)
+    assert read("<p>A <select><option>opt</select><button type=x>Buy</button><label>Lab</label>"
+                "<textarea>ta</textarea> b.") == "A b."
+    assert read("<div><p>Text.</p><div class='box ad-slot'>Buy</div><div class=top_ads>Now</div>"
+                "<div class=ad-hoc>x</div></div>") == "Text."
+    assert read("<div class=adventure>Text.</div>") == "Text."
+    assert read("<p>open <button>never closed") == "open never closed"
+
+
+@pytest.mark.parametrize("share", [1, 1000])
+def test_pages_of_rare_layouts_are_read_alike(spark, monkeypatch, share):
+    """Whether wrappers are sent to the tasks or joined by key, the texts are the same."""
+    monkeypatch.setattr(html_extract, "HOT_SHARE", share)
+    monkeypatch.setattr(html_extract, "HELD", 300)
+    rows, wanted = [(-1, None, "<p>x"), (-2, "http://h0.example/", None)], {-1: "x", -2: ""}
+    rng = random.Random(4)
+    for k in range(60):
+        host = min(k % 7, 3)
+        names = [f"class=c{host}", "", "id=x"][k % (host + 1) if host < 3 else 0]
+        lines = [f"Line {rng.randrange(10**6)} of {k}." for _ in range(rng.randrange(1, 5))]
+        body = "".join(f"<p>{x}</p>" for x in lines)
+        html = f"<body><nav>Menu</nav><div {names}>{body}</div><div class=legal><p>Rights of h{host}.</p></div></body>"
+        rows.append((k, f"http://h{host}.example/{k}", html))
+        wanted[k] = "\n\n".join(lines)
+    found = html_extract.extracted(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
+    got = {r.page_id: (r.text, r.n_chars) for r in found.collect()}
+    assert got == {k: (t, len(t)) for k, t in wanted.items()}
