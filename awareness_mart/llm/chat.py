@@ -15,7 +15,6 @@ from .common import materialised
 
 OPEN, MIDDLE, CLOSE = "### ", ": ", "</turn>\n"
 _CONTROL = r"\\|(?<=#)#|(?<=<)/(?=turn>)"
-_TURN = r"(?s)^### ((?:[^\\:]|\\.)*): (.*)$"
 
 
 def escaped(text: Column, also: str = "") -> Column:
@@ -34,7 +33,8 @@ def expanded(conversations: DataFrame, reply: str = "assistant") -> DataFrame:
     with a reply gets one more example of all its turns, without loss. Turns are ordered by
     turn (null first), then role and text; rows that repeat are turns of their own; null
     roles and texts are empty; rows without conv_id are one conversation; no rows give no
-    rows; other columns are not read. A conversation is one row and must fit in a task.
+    rows; other columns are not read. Roles and texts may have any length, but a conversation
+    is one row, and its examples of all its prefixes must fit in a task.
     """
     turn = F.struct(
         "turn",
@@ -74,16 +74,21 @@ def expanded(conversations: DataFrame, reply: str = "assistant") -> DataFrame:
 
 
 def parsed(formatted: Column) -> Column:
-    """The turns (role, text) of a formatted example."""
+    """The turns (role, text) of a formatted example.
+
+    The first colon that no backslash escapes ends the role; a search for it in a copy
+    without the escaped characters takes roles of any length.
+    """
     turns = F.split(formatted, CLOSE, -1)
     whole = F.slice(turns, F.lit(1), F.greatest(F.size(turns) - 1, F.lit(0)))
-    return F.transform(
-        whole,
-        lambda t: F.struct(
-            unescaped(F.regexp_extract(t, _TURN, 1)).alias("role"),
-            unescaped(F.regexp_extract(t, _TURN, 2)).alias("text"),
-        ),
-    )
+
+    def turn(t: Column) -> Column:
+        colon = F.instr(F.regexp_replace(t, F.lit(r"(?s)\\."), F.lit("__")), ":")
+        role = F.substring(t, F.lit(len(OPEN) + 1), colon - (len(OPEN) + 1))
+        text = F.substring(t, colon + len(MIDDLE), F.length(t))
+        return F.struct(unescaped(role).alias("role"), unescaped(text).alias("text"))
+
+    return F.transform(whole, turn)
 
 
 def digest(examples: DataFrame) -> DataFrame:
