@@ -17,11 +17,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 POSITIONS = 1 << 18
 GRAMS = (3, 4)
 LEAST_SHARE = 2e-5  # of a language's n-grams that fall on a position
 AGAINST_BEST = 0.2  # of the highest share that any language has there
-LANGUAGES = 256  # most languages that a model may hold
 _SLICE = 1 << 20  # characters that are hashed at a time
 _ROW = 4096  # positions in a row of counts
 
@@ -96,22 +97,28 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([k[0] for k in sums], pa.string()),
                 pa.array([k[1] for k in sums], pa.int32()),
                 pa.array([v.tobytes() for v in sums.values()], pa.binary()),
+                pa.array([int(v.sum()) for v in sums.values()], pa.int64()),
             ],
-            names=["lang", "row", "counts"],
+            names=["lang", "row", "counts", "total"],
         )
 
 
 class Filter:
     """Masks per position, one slice of 64 languages each, and what chance explains."""
 
-    def __init__(self, langs: list[str], shares: Iterator[np.ndarray], best: np.ndarray) -> None:
+    def __init__(self, langs: list[str]) -> None:
         self.langs = langs
         self.masks = np.zeros((max(1, -(-len(langs) // 64)), POSITIONS), np.uint64)
         self.chance = np.zeros(len(langs))
-        for k, share in enumerate(shares):
-            on = (share >= LEAST_SHARE) & (share >= AGAINST_BEST * best)
-            self.masks[k // 64] |= on.astype(np.uint64) << np.uint64(k % 64)
-            self.chance[k] = on.mean() ** 2
+
+    def add(self, lang: int, at: slice, share: np.ndarray, best: np.ndarray) -> None:
+        """Set a language's bit where its share of a row of positions is high enough."""
+        on = (share >= LEAST_SHARE) & (share >= AGAINST_BEST * best)
+        self.masks[lang // 64, at] |= on.astype(np.uint64) << np.uint64(lang % 64)
+        self.chance[lang] += on.sum()
+
+    def close(self) -> None:
+        self.chance = (self.chance / POSITIONS) ** 2
 
     def hits(self, text: str) -> tuple[np.ndarray, int]:
         """N-grams that each language contains, and all n-grams."""
@@ -139,17 +146,25 @@ def train(labelled: DataFrame) -> Filter:
         "text", F.col("lang").cast("string")
     )
     kind = "lang string, row int, counts binary"
-    sums = rows.mapInArrow(_count, kind).repartition("lang", "row").mapInArrow(_add, kind)
-    counts: dict[str, np.ndarray] = {}
-    for r in sums.toLocalIterator():  # POSITIONS numbers a language, whatever the input
-        own = counts.setdefault(r["lang"], np.zeros(POSITIONS))
-        own[r["row"] * _ROW : (r["row"] + 1) * _ROW] = np.frombuffer(r["counts"], "<i8")
-    langs = sorted(counts)
-    if len(langs) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
-    shares = [counts[x] / max(1.0, counts[x].sum()) for x in langs]
-    best = np.max(shares, axis=0) if shares else np.zeros(POSITIONS)
-    return Filter(langs, iter(shares), best)
+    summed = f"{kind}, total bigint"
+    sums = written(rows.mapInArrow(_count, kind).repartition("lang", "row").mapInArrow(_add, summed), "grams")
+    totals = {r["lang"]: r["n"] for r in sums.groupBy("lang").agg(F.sum("total").alias("n")).collect()}
+    # Of any number of languages the driver holds one row of counts, and their masks.
+    langs = {lang: k for k, lang in enumerate(sorted(totals))}
+    best = np.zeros(POSITIONS)
+
+    def shares() -> Iterator[tuple[int, slice, np.ndarray]]:
+        for r in sums.toLocalIterator():
+            at = slice(r["row"] * _ROW, (r["row"] + 1) * _ROW)
+            yield langs[r["lang"]], at, np.frombuffer(r["counts"], "<i8") / max(1.0, totals[r["lang"]])
+
+    for _, at, share in shares():
+        np.maximum(best[at], share, out=best[at])
+    model = Filter(list(langs))
+    for lang, at, share in shares():
+        model.add(lang, at, share, best[at])
+    model.close()
+    return model
 
 
 def _decide(model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
