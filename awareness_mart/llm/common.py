@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -63,6 +63,14 @@ def words_of(text: Column) -> Column:
     )
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df lacks, whatever its case: name, or name with underscores after it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def materialised(df: DataFrame, **columns: Column) -> DataFrame:
     """df with columns that later expressions read without computing them again.
 
@@ -70,16 +78,66 @@ def materialised(df: DataFrame, **columns: Column) -> DataFrame:
     evaluated once per element; a generator in between prevents that.
     """
     row = F.struct(*[c.alias(n) for n, c in columns.items()])
-    kept = df.columns
-    return df.select("*", F.explode(F.array(row)).alias("__m")).select(
-        *kept, *[F.col("__m")[n].alias(n) for n in columns]
+    kept, held = df.columns, unused(df, "__m")
+    return df.select("*", F.explode(F.array(row)).alias(held)).select(
+        *kept, *[F.col(held)[n].alias(n) for n in columns]
     )
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once, however often body reads it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+TOGETHER = 256  # items of an array that are folded before their results are joined
+
+
+def running(
+    items: Column,
+    zero: Column,
+    step: Callable[[Column, Column], Column],
+    out: Callable[[Column, Column], Column],
+    kind: str,
+) -> Column:
+    """out(state, item), of type kind, per item of an array, with state folded over those before.
+
+    Appending copies an array, so that items are folded some at a time: long arrays take time
+    in proportion to their length, not to its square.
+    """
+    none = F.array().cast(f"array<{kind}>")
+
+    def few(state: Column, part: Column) -> Column:
+        return F.aggregate(
+            part,
+            F.struct(state.alias("state"), none.alias("out")),
+            lambda s, x: F.struct(
+                step(s["state"], x).alias("state"),
+                F.array_append(s["out"], out(s["state"], x)).alias("out"),
+            ),
+        )
+
+    def whole(given: Column) -> Column:
+        last = F.ceil(F.size(given) / TOGETHER).cast("int")
+        folded = F.aggregate(
+            F.sequence(F.lit(0), F.greatest(last - 1, F.lit(0))),
+            F.struct(zero.alias("state"), F.array().cast(f"array<array<{kind}>>").alias("out")),
+            lambda s, k: bound(
+                few(s["state"], F.slice(given, k * TOGETHER + 1, F.lit(TOGETHER))),
+                lambda r: F.struct(
+                    r["state"].alias("state"), F.array_append(s["out"], r["out"]).alias("out")
+                ),
+            ),
+        )
+        return F.flatten(folded["out"])
+
+    return bound(items, whole)
+
+
 def without(docs: DataFrame, bad: DataFrame, text_col: str = "text") -> DataFrame:
     """docs without the rows whose (doc_id, row_hash) is in bad; nulls are equal here."""
-    bad = bad.select(F.col("doc_id").alias("__id"), F.col("row_hash").alias("__hash")).distinct()
-    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (row_hash(docs[text_col]) == F.col("__hash"))
+    id_, hash_ = unused(docs, "__id"), unused(docs, "__hash")
+    bad = bad.select(F.col("doc_id").alias(id_), F.col("row_hash").alias(hash_)).distinct()
+    same = docs["doc_id"].eqNullSafe(F.col(id_)) & (row_hash(docs[text_col]) == F.col(hash_))
     return docs.join(bad, same, "left_anti")
 
 

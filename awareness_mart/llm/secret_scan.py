@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialised
+from .common import bound, materialised, running, unused
 
 # Fixed patterns. Greedy runs of a class with a least length equal the longest runs of it.
 ASSIGN = (
@@ -23,16 +23,18 @@ ASSIGN = (
 ASSIGN_VALUE = 8
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
-RUN = r"[A-Za-z0-9+/_=-]{20,}"
+RUN = r"[A-Za-z0-9+/_=-]{12,}"
 ORDINARY = r"[A-Za-z_/+=-]+[0-9]{0,4}"  # words and identifiers: digits only at their end
 KINDS = ("assign", "access", "hex", "markov")
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 CODES = 128
 PRIOR = 20.0  # pseudo-counts after each character, dealt by the shares of the characters
-MIN_MEAN = 1.0  # nats a pair of characters that a run must favour the random model by
+MIN_MEAN = 1.0  # nats a pair of characters that a run must favour the random model by,
+MIN_TOTAL = 19.0  # and in all: short runs need more a pair
 
-_SPANS = "array<struct<start: bigint, kind: int, end: bigint, value: string>>"
+_SPAN = "struct<start: bigint, kind: int, end: bigint, value: string>"
+BLOCK = 4096  # code points of a text that are looked through for a place in it
 
 
 def _found(text: Column, pattern: str, kind: int, value: str, keep) -> Column:
@@ -49,24 +51,20 @@ def _found(text: Column, pattern: str, kind: int, value: str, keep) -> Column:
         lambda s, v: F.struct(s["gap"].alias("gap"), F.length(s["m"]).alias("n"), v.alias("v")),
     )
 
-    def add(state: Column, step: Column) -> Column:
-        start = state["at"] + step["gap"]
-        end = start + F.coalesce(step["n"], F.lit(0))
-        span = F.struct(
-            start.alias("start"),
+    spans = running(
+        steps,
+        F.lit(0).cast("bigint"),
+        lambda at, s: at + s["gap"] + F.coalesce(s["n"], F.lit(0)),
+        lambda at, s: F.struct(
+            (at + s["gap"]).alias("start"),
             F.lit(kind).alias("kind"),
-            end.alias("end"),
-            step["v"].alias("value"),
-        )
-        hit = step["v"].isNotNull() & keep(step["v"])
-        return F.struct(
-            end.alias("at"),
-            F.when(hit, F.array_append(state["spans"], span)).otherwise(state["spans"]).alias("spans"),
-        )
-
-    none = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(_SPANS).alias("spans"))
-    spans = F.aggregate(steps, none, add, lambda state: state["spans"])
-    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(_SPANS))
+            (at + s["gap"] + F.coalesce(s["n"], F.lit(0))).alias("end"),
+            s["v"].alias("value"),
+        ),
+        _SPAN,
+    )
+    hits = F.filter(spans, lambda s: s["value"].isNotNull() & keep(s["value"]))
+    return F.when(text.rlike(pattern), hits).otherwise(F.array().cast(f"array<{_SPAN}>"))
 
 
 def base_spans(text: Column) -> Column:
@@ -94,23 +92,17 @@ def _codes(value: Column) -> Column:
 def train(docs: DataFrame) -> list[float]:
     """Log-likelihood ratio of each pair of characters, random against ordinary."""
     text = F.coalesce("text", F.lit(""))
-    found = materialised(docs.select(text.alias("text")), base=base_spans(F.col("text")))
-    runs = F.regexp_extract_all(F.col("text"), F.lit(RUN), F.lit(0))
-    values = F.transform("base", lambda s: s["value"])
-    ordinary = F.filter(
-        runs,
-        lambda r: r.rlike(f"^{ORDINARY}$")
-        & ~F.exists(values, lambda v: F.contains(r, v) | F.contains(v, r)),
+    plain = lambda v: v.rlike(f"^{ORDINARY}$")
+    found = materialised(
+        docs.select(text.alias("text")),
+        base=base_spans(F.col("text")),
+        runs=_found(F.col("text"), RUN, 3, "whole", plain),
     )
-    samples = found.select(
-        F.explode(
-            F.concat(
-                F.transform(values, lambda v: F.struct(F.lit(1).alias("label"), v.alias("value"))),
-                F.transform(ordinary, lambda v: F.struct(F.lit(0).alias("label"), v.alias("value"))),
-            )
-        ).alias("s")
+    every = F.concat("base", _others(F.col("base"), F.col("runs")))
+    samples = found.select(F.explode(every).alias("s")).select(
+        F.when(F.col("s.kind") < 3, 1).otherwise(0).alias("label"), "s.value"
     )
-    pairs = samples.select(F.col("s.label").alias("label"), F.explode(_codes(F.col("s.value"))).alias("code"))
+    pairs = samples.select("label", F.explode(_codes(F.col("value"))).alias("code"))
     counts = {
         (r["label"], r["code"]): r["n"]
         for r in pairs.groupBy("label", "code").agg(F.count("*").alias("n")).collect()
@@ -135,31 +127,69 @@ def train(docs: DataFrame) -> list[float]:
     return model
 
 
-def scanned(docs: DataFrame, model: list[float] | None = None) -> DataFrame:
-    """docs with column spans: sorted (start, kind, end, value) of all secrets of each text.
+def _apart(base: Column, runs: Column) -> Column:
+    """The runs that overlap no base span; runs overlap none of their own.
+
+    All spans in order of start: a run must begin at or after the end of every base span
+    before it and end at or before the start of the next one.
+    """
+    every = F.sort_array(F.concat(base, runs))
+    zero = F.lit(0).cast("bigint")
+
+    def reach(at: Column, s: Column) -> Column:
+        return F.when(s["kind"] < 3, F.greatest(at, s["end"])).otherwise(at)
+
+    ahead = running(every, zero, reach, lambda at, s: at, "bigint")
+    late = F.lit(2**62).cast("bigint")
+
+    def first(at: Column, s: Column) -> Column:
+        return F.when(s["kind"] < 3, s["start"]).otherwise(at)
+
+    behind = F.reverse(running(F.reverse(every), late, first, lambda at, s: at, "bigint"))
+    checked = F.zip_with(
+        every,
+        F.zip_with(ahead, behind, lambda a, b: F.struct(a.alias("a"), b.alias("b"))),
+        lambda s, x: F.when(
+            (s["kind"] == 3) & (s["start"] >= x["a"]) & (s["end"] <= x["b"]), s
+        ),
+    )
+    return F.array_compact(checked)
+
+
+def _others(base: Column, runs: Column) -> Column:
+    """The runs that overlap no base span; most texts have only the one or the other."""
+    return bound(
+        F.struct(base.alias("base"), runs.alias("runs")),
+        lambda x: F.when((F.size(x["base"]) == 0) | (F.size(x["runs"]) == 0), x["runs"]).otherwise(
+            _apart(x["base"], x["runs"])
+        ),
+    )
+
+
+def scanned(docs: DataFrame, model: list[float] | None = None, into: str = "spans") -> DataFrame:
+    """docs with column into: sorted (start, kind, end, value) of all secrets of each text.
 
     kind counts KINDS; positions are code points, end exclusive. A run that the models
     report is left out where it overlaps a match of a pattern. Null and empty texts have no
     spans; ids are not read; rows that repeat are scanned each time. Without any sample both
-    models are equal and report nothing. An older column named spans is replaced.
+    models are equal and report nothing. An older column of that name is replaced. The time
+    grows with a text and its spans, not with their square.
     """
     model = train(docs) if model is None else model
     table = F.from_json(F.lit(json.dumps(model)), "array<double>")
-    ratio = materialised(
-        docs.drop("spans"), __base=base_spans(F.coalesce("text", F.lit("")))
-    )
+    text = F.coalesce("text", F.lit(""))
 
     def random(value: Column) -> Column:
         parts = F.transform(_codes(value), lambda c: F.get(table, c))
         total = F.aggregate(parts, F.lit(0.0), lambda t, x: t + x)
-        return total >= MIN_MEAN * (F.length(value) - 1)
+        return total >= F.greatest(F.lit(MIN_TOTAL), MIN_MEAN * (F.length(value) - 1))
 
-    runs = _found(F.coalesce("text", F.lit("")), RUN, 3, "whole", random)
-    extra = F.filter(
-        runs,
-        lambda r: ~F.exists("__base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])),
-    )
-    return ratio.withColumn("spans", F.sort_array(F.concat("__base", extra))).drop("__base")
+    rows = docs.drop(into)
+    base, runs = unused(rows, "__base"), unused(rows, "__runs")
+    found = {base: base_spans(text), runs: _found(text, RUN, 3, "whole", random)}
+    rows = materialised(rows, **found)
+    kept = F.sort_array(F.concat(base, _others(F.col(base), F.col(runs))))
+    return rows.withColumn(into, kept).drop(base, runs)
 
 
 def _listed(spans: Column) -> Column:
@@ -191,27 +221,45 @@ def report(docs: DataFrame) -> DataFrame:
     )
 
 
+def _cut(blocks: Column, start: Column, end: Column) -> Column:
+    """Code points start to end of a text in blocks of BLOCK."""
+    parts = F.transform(
+        F.sequence(F.floor(start / BLOCK), F.floor((end - 1) / BLOCK)),
+        lambda k: F.substring(
+            F.get(blocks, k.cast("int")),
+            (F.greatest(start - k * BLOCK, F.lit(0)) + 1).cast("int"),
+            (F.least(end - k * BLOCK, F.lit(BLOCK)) - F.greatest(start - k * BLOCK, F.lit(0))).cast("int"),
+        ),
+    )
+    return F.when(end > start, F.array_join(parts, "")).otherwise("")
+
+
 def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """docs with every span of every text replaced by mark; overlapping spans by one."""
-    steps = F.col("spans")
-    none = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-
-    def cut(state: Column, span: Column) -> Column:
-        gap = F.substring(
-            F.col("text"), (state["at"] + 1).cast("int"), (span["start"] - state["at"]).cast("int")
-        )
-        new = span["start"] >= state["at"]
-        return F.struct(
-            F.greatest(state["at"], span["end"]).alias("at"),
-            F.when(new, F.concat(state["out"], gap, F.lit(mark))).otherwise(state["out"]).alias("out"),
-        )
-
-    clean = F.aggregate(
-        steps,
-        none,
-        cut,
-        lambda s: F.concat(s["out"], F.substring(F.col("text"), (s["at"] + 1).cast("int"), F.length("text"))),
+    """docs with every span of every text replaced by mark; overlapping spans by one.
+
+    All columns stay, a column named spans too. Null texts stay null.
+    """
+    names, spans = docs.columns, unused(docs, "spans")
+    blocks, gaps = unused(docs, "__blocks"), unused(docs, "__gaps")
+    zero = F.lit(0).cast("bigint")
+    kept = running(
+        F.col(spans),
+        zero,
+        lambda at, s: F.greatest(at, s["end"]),
+        lambda at, s: F.struct(at.alias("start"), s["start"].alias("end")),
+        "struct<start: bigint, end: bigint>",
+    )
+    last = F.array_max(F.transform(F.col(spans), lambda s: s["end"]))
+    rest = F.struct(last.alias("start"), F.length("text").cast("bigint").alias("end"))
+    apart = F.concat(F.filter(kept, lambda g: g["end"] >= g["start"]), F.array(rest))
+    hit = F.size(spans) > 0
+    starts = F.sequence(F.lit(0), F.floor(F.greatest(F.length("text") - 1, F.lit(0)) / BLOCK).cast("int"))
+    cut = F.transform(starts, lambda k: F.substring(F.col("text"), k * BLOCK + 1, F.lit(BLOCK)))
+    rows = materialised(
+        scanned(docs, into=spans),
+        **{blocks: F.when(hit, cut), gaps: F.when(hit, apart)},
+    )
+    clean = F.array_join(
+        F.transform(gaps, lambda g: _cut(F.col(blocks), g["start"], g["end"])), mark
     )
-    text = F.when(F.size(steps) > 0, clean).otherwise(F.col("text"))
-    names = docs.columns
-    return scanned(docs).withColumn("text", text).select(names)
+    return rows.withColumn("text", F.when(hit, clean).otherwise(F.col("text"))).select(names)
