@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import BLANKS, materialised, row_hash, words_of, written
+from .vectors import looked_up
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -156,20 +157,23 @@ def judged(docs: DataFrame, host_col: str = "source", by_rule: bool = False) ->
     count each time; no rows give no rows; other columns are not read.
     """
     measured = written(measures(docs, host_col), "measures")
+    hosts = measured.groupBy("host").agg(F.count("*").alias("n_docs"))
     bad = rejected_hosts(measured).select("host", F.lit(True).alias("bad"))
+    verdicts = hosts.join(bad, "host", "left")
+    high = [F.lit(False).alias(f"{rule}_high") for rule in RULES]
+    if by_rule:
+        verdicts = verdicts.join(outlying_hosts(measured), "host", "left")
+        high = [F.coalesce(f"{rule}_high", F.lit(False)).alias(f"{rule}_high") for rule in RULES]
+    verdict = F.struct(F.coalesce("bad", F.lit(False)).alias("bad"), *high)
+    verdicts = written(verdicts.select("host", "n_docs", verdict.alias("verdict")), "verdicts")
+    found = looked_up(measured, verdicts, "host", "n_docs", "verdict")
     base = F.expr(RULES["few_words"]) | F.expr(RULES["repeated"])
-    found = measured.join(bad, "host", "left").select(
+    failed = F.expr(" or ".join(f"(verdict.{rule}_high and {failed})" for rule, failed in RULES.items()))
+    kept = ~base & ~F.col("verdict.bad") & ~failed
+    return found.select(
         *measured.columns,
         base.alias("base_failed"),
-        F.coalesce("bad", F.lit(False)).alias("host_failed"),
-        (~base & F.col("bad").isNull()).alias("kept"),
-    )
-    if not by_rule:
-        return found
-    failed = " or ".join(f"({rule}_high and {failed})" for rule, failed in RULES.items())
-    rule_failed = F.coalesce(F.expr(failed), F.lit(False))
-    return found.join(outlying_hosts(measured), "host", "left").select(
-        *[c for c in found.columns if c != "kept"],
-        rule_failed.alias("rule_failed"),
-        (F.col("kept") & ~rule_failed).alias("kept"),
+        F.col("verdict.bad").alias("host_failed"),
+        *([failed.alias("rule_failed")] if by_rule else []),
+        kept.alias("kept"),
     )

@@ -128,7 +128,10 @@ select doc_id, ruled.host as host, n_words, word_chars, n_symbols, n_lines, n_du
 from ruled left join bad on ruled.host = bad.host""",
 )
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judged(read(spark, sf_dir, "documents")).drop("row_hash")
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged(read(spark, sf_dir, "documents")).select(
+        "doc_id", *counts, "base_failed", "kept", "host", "n_lines", "host_failed"
+    )
 
 
 def _held_out(parts: int, part: int):

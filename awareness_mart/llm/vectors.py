@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import unused
+
 LARGEST = 2**31 - 1
 HOT_SHARE = 1000  # a key with a thousandth of all rows is hot; there are at most so many
 
@@ -82,17 +84,18 @@ def looked_up(rows: DataFrame, table: DataFrame, key: str, count: str, value: st
     """rows with the value of their key from table (key, count of rows, value); nulls are a key.
 
     Hot keys, which are few by definition, are broadcast and never shuffled; the rows of the
-    others are joined by key. rows is read twice.
+    others are joined by key. A key that the table lacks gets a null. rows is read twice.
     """
     total = table.agg(F.sum(count)).first()[0] or 0
-    hot = F.col(count) * HOT_SHARE >= F.lit(total)
-
-    def joined(part: DataFrame, small: bool, how: Column) -> DataFrame:
-        right = table.where(how).select(F.col(key).alias("looked_up_key"), value)
-        right = F.broadcast(right) if small else right
-        same = part[key].eqNullSafe(right["looked_up_key"])
-        return part.join(right, same).drop("looked_up_key")
-
-    hot_keys = F.broadcast(table.where(hot).select(F.col(key).alias("hot_key")))
-    cold = rows.join(hot_keys, rows[key].eqNullSafe(F.col("hot_key")), "left_anti")
-    return joined(rows, True, hot).unionByName(joined(cold, False, ~hot))
+    is_hot = F.col(count) * HOT_SHARE >= F.lit(total)
+    name = unused(rows, "__key")
+    keyed = table.select(F.col(key).alias(name), value, is_hot.alias(unused(rows, "__hot")))
+    is_hot = keyed[keyed.columns[-1]]
+    hot, cold = (F.broadcast(keyed.where(is_hot)), keyed.where(~is_hot))
+
+    def same(right: DataFrame) -> Column:
+        return rows[key].eqNullSafe(right[name])
+
+    near = rows.join(hot, same(hot))
+    far = rows.join(hot, same(hot), "left_anti").join(cold, same(cold), "left")
+    return near.unionByName(far).select(*rows.columns, value)
