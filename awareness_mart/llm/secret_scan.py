@@ -23,7 +23,9 @@ ASSIGN = (
 ASSIGN_VALUE = 8
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
-RUN = r"[A-Za-z0-9+/_=-]{12,}"
+# Runs of key characters: from 20, or from 12 with a digit or a capital after a small letter.
+_KEY = "[A-Za-z0-9+/_=-]"
+RUN = rf"(?<!{_KEY})(?:{_KEY}{{20,}}+|(?=[A-Za-z+/_=-]*+[0-9]|{_KEY}*?[a-z][A-Z]){_KEY}{{12,}}+)"
 ORDINARY = r"[A-Za-z_/+=-]+[0-9]{0,4}"  # words and identifiers: digits only at their end
 KINDS = ("assign", "access", "hex", "markov")
 
