@@ -1,9 +1,10 @@
 """Secrets in text: three patterns, and character Markov models of random and ordinary strings.
 
-The patterns label their own training samples: what they match is random, every other long
-run of key characters that is spelled like words or an identifier is ordinary. Both first-order models count character pairs over all
-documents; a run is reported if the log-likelihood ratio favours the random model. All of it
-is built-in functions; the models are at most 128 x 128 numbers.
+The patterns label their own training samples: what they match is random, every other run of
+12 or more key characters that is spelled like words or an identifier is ordinary. Both
+first-order models count character pairs over all documents; a run is reported if the
+log-likelihood ratio favours the random model. All of it is built-in functions; the models
+are at most 128 x 128 numbers.
 """
 
 from __future__ import annotations
@@ -23,8 +24,10 @@ ASSIGN = (
 ASSIGN_VALUE = 8
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
-# Runs of key characters: from 20, or from 12 with a digit or a capital after a small letter.
+# Runs of key characters that are scored: from 20, or from 12 with a digit or a capital after a
+# small letter. The ordinary ones among all runs from 12 are samples.
 _KEY = "[A-Za-z0-9+/_=-]"
+SAMPLE = rf"(?<!{_KEY}){_KEY}{{12,}}+"
 RUN = rf"(?<!{_KEY})(?:{_KEY}{{20,}}+|(?=[A-Za-z+/_=-]*+[0-9]|{_KEY}*?[a-z][A-Z]){_KEY}{{12,}}+)"
 ORDINARY = r"[A-Za-z_/+=-]+[0-9]{0,4}"  # words and identifiers: digits only at their end
 KINDS = ("assign", "access", "hex", "markov")
@@ -98,7 +101,7 @@ def train(docs: DataFrame) -> list[float]:
     found = materialised(
         docs.select(text.alias("text")),
         base=base_spans(F.col("text")),
-        runs=_found(F.col("text"), RUN, 3, "whole", plain),
+        runs=_found(F.col("text"), SAMPLE, 3, "whole", plain),
     )
     every = F.concat("base", _others(F.col("base"), F.col("runs")))
     samples = found.select(F.explode(every).alias("s")).select(
