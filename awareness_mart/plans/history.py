@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import add_years, exact, first_of_month, last_of_previous_month, strict_mean
 from ..operators.latest import latest_per_key
 from ..operators.prefix import prefix_join
+from .dashboards import Measures
 
 MEASURES = [
     "phish_prone_percentage",
@@ -21,6 +23,54 @@ MEASURES = [
 ]
 
 
+def person_measures(facts: Measures, people: DataFrame, until: int) -> DataFrame:
+    """(id, ehash, measures) of each person as they stood on the day with key ``until``.
+
+    ``people``: user_key, id, ehash, a row per version of a person; the ehash of the newest,
+    which has ``is_current``, counts. Percentage and score are those of the latest snapshot
+    up to the day, NULL without one. The others are shares of what was asked up to the day:
+    reported of delivered tests, completed of enrolled trainings, read of enrolled policies;
+    0 for people who were asked nothing. Facts are summed per key before any join.
+    """
+    past = [rows.filter(F.col("date_key") <= until) for rows in facts]
+    ids = people.select("user_key", "id")
+    newest = latest_per_key(
+        latest_per_key(past[0], ["user_key"], "date_key").join(ids, "user_key").drop("user_key"),
+        ["id"],
+        "date_key",
+    )
+    asked = None
+    for rows in past[1:]:
+        sums = [F.sum(c).alias(c) for c in rows.columns if c not in ("user_key", "date_key")]
+        part = rows.groupBy("user_key").agg(*sums)
+        asked = part if asked is None else asked.join(part, "user_key", "full_outer")
+    own = [c for c in asked.columns if c != "user_key"]
+    asked = asked.join(ids, "user_key").groupBy("id").agg(*[F.sum(c).alias(c) for c in own])
+
+    def tenthousandths(units: Column) -> Column:
+        return (units.cast("decimal(18,0)") * F.lit(Decimal("0.0001"))).cast("decimal(18,4)")
+
+    def share(part: str, whole: str) -> Column:
+        exact = F.expr(f"({part} * 2000000 + {whole}) div nullif(2 * {whole}, 0)")
+        return tenthousandths(F.coalesce(exact, F.lit(0)))
+
+    joined = (
+        people.filter("is_current")
+        .select("id", "ehash")
+        .join(newest, "id", "left")
+        .join(asked, "id", "left")
+    )
+    return joined.select(
+        "id",
+        "ehash",
+        F.when(F.col("prone_n") > 0, tenthousandths(F.col("prone_sum"))).alias(MEASURES[0]),
+        F.when(F.col("risk_n") > 0, tenthousandths(F.col("risk_sum"))).alias(MEASURES[1]),
+        share("reported", "delivered").alias(MEASURES[2]),
+        share("training_completed", "training_enrolled").alias(MEASURES[3]),
+        share("policy_read", "policy_enrolled").alias(MEASURES[4]),
+    )
+
+
 def active_users(
     users: DataFrame,
     hr: DataFrame,

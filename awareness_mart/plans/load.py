@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from calendar import monthrange
 from collections.abc import Callable, Sequence
 from datetime import date, datetime
 
@@ -27,10 +28,11 @@ from ..sources.feeds import (
 from ..sources.hr import active_hr_units
 from ..sources.masters import stage_phishing_campaigns, stage_training_names, stage_units
 from ..sources.store import MartStore, written
-from . import facts
+from . import dashboards, facts
 from .campaigns import campaign_source
-from .history import merge_total_history, merge_unit_history, unit_rollup
+from .history import merge_total_history, merge_unit_history, person_measures, unit_rollup
 from .monitoring import all_ready, load_status, quota_line
+from .reports import current_results
 from .templates import new_templates
 
 FEED_TABLES = {
@@ -138,6 +140,31 @@ def run_history(
     store.publish()
 
 
+def run_monthly(store: MartStore, run_ts: datetime, completed: str) -> None:
+    """Write this month's averages from the mart itself: its people, units and facts.
+
+    ``completed`` is the enrolment status that counts as done.
+    """
+    store.reload()
+    people = store.read("dim_user")
+    types = store.read("dim_campaign").select("campaign_key", "campaign_type")
+    rows = dashboards.measures(
+        current_results(store.read("fact_snapshot"), people, ["snapshot_date_key"]),
+        current_results(store.read("fact_recipient"), people, ["pst_id"]),
+        store.read("fact_enrollment").join(types, "campaign_key"),
+        completed,
+    )
+    versions = people.withColumnRenamed("user_id", "id")
+    users = person_measures(rows, versions, last_key_of_month(run_ts.date()))
+    hr = store.read("stg_hr").select("ehash", F.col("unit").alias("groep"))
+    run_history(store, users, hr, store.read("mst_units").select("unit"), run_ts)
+
+
+def last_key_of_month(day: date) -> int:
+    """The date key of the last day of the month."""
+    return day.year * 10000 + day.month * 100 + monthrange(day.year, day.month)[1]
+
+
 def _load_dimension(
     store: MartStore, table: str, source: DataFrame, keys: list[str], tracked: dict, **options
 ) -> DataFrame:

@@ -185,9 +185,9 @@ class MartStore:
         names = [c for c in self.schemas[table].names if c != column]
         path = scratch_dir(self.spark)
         self._remember(table)
-        dealt = rows.select(*names, column).hint("rebalance", column)
-        dealt.write.partitionBy(column).parquet(path)
         layout = self._layout(table)
+        typed = rows.select(*[F.col(c).cast(layout[c].dataType).alias(c) for c in (*names, column)])
+        typed.hint("rebalance", column).write.partitionBy(column).parquet(path)
         self.parts_pending[table] = self.spark.read.schema(layout).parquet(path)
 
     def _layout(self, table: str) -> StructType:

@@ -12,6 +12,7 @@ from awareness_mart.operators.calendar import calendar_over, with_date_key
 from awareness_mart.operators.latest import latest_per_key
 from awareness_mart.plans import facts, history
 from awareness_mart.plans.campaigns import typed_training
+from awareness_mart.plans.fingerprint import fingerprints
 from awareness_mart.plans.load import run_history, run_hr, run_load, run_staging
 from awareness_mart.plans.monitoring import load_status
 from awareness_mart.schemas import RECIPIENT_FLAGS, TABLES
@@ -389,9 +390,95 @@ def load_twice(t: Tables) -> MartStore:
     return MartStore(t.spark, root, TABLES)
 
 
+def _line(*values: str) -> str:
+    return " || '|' || ".join(f"coalesce(cast({v} as varchar), '-')" for v in values)
+
+
+_FIRST, _SECOND = "'2003-09-05 01:30:00'", "'2003-09-06 01:30:00'"
+
+
+def _date_key_sql(day: str) -> str:
+    return (
+        f"case when {day} between date '1995-01-01' and date '2005-12-31' then {_key_sql(day)} end"
+    )
+
+
+_FLAG_VALUES = [f"case when {event} is not null then 1 else 0 end" for event in RECIPIENT_FLAGS.values()]
+
+
+def _recipient_line(version: str, load: str) -> str:
+    return _line(
+        "g.pst_id", "g.user_id", version, "g.campaign_id", "'phishing'", "g.template_id", "null",
+        *_FLAG_VALUES, _date_key_sql("g.started_at"), "cast(g.duration_days as bigint) * 86400", load,
+    )
+
+
+# Every row of the mart after both loads, as text with natural keys.
+_CONTENTS = f"""
+    select 'dim_user' as name, {_line(
+        "user_id", f"sha256(case when renamed then replace(email, '@', '_old@') else email end)",
+        _FIRST, f"case when renamed and not gone then {_SECOND} end", "not (renamed and not gone)",
+    )} as line from people
+    union all
+    select 'dim_user', {_line("user_id", "sha256(email)", _SECOND, "null", "true")}
+    from people where renamed and not gone
+    union all
+    select 'dim_unit', {_line("unit_code", "unit_naam", _FIRST, "null", "true")} from fx_units
+    union all
+    select 'dim_campaign', {_line(
+        "campaign_id", "'phishing'", "name", "status", _date_key_sql("start_date"), _FIRST,
+        f"case when campaign_end_date < date '2001-09-06' then {_SECOND} end",
+        "campaign_end_date >= date '2001-09-06'",
+    )} from ox_phishing
+    union all
+    select 'dim_campaign', {_line(
+        "c.campaign_id", "campaign_type", "t.name", "t.status", _date_key_sql("t.start_date"),
+        _FIRST, "null", "true",
+    )} from ox_typed_plain c join fx_training t
+      on t.campaign_id = c.campaign_id and t.status = 'In Progress'
+    union all
+    select 'dim_template', {_line("template_id", "template_name", _FIRST, "null", "true")}
+    from fx_templates where template_id in (select template_id from fx_recipients)
+    union all
+    select 'dim_date', {_line(_key_sql("d"), "d")}
+    from (select cast(unnest(generate_series(date '1995-01-01', date '2005-12-31', interval 1 day))
+      as date) as d)
+    union all
+    select 'bridge_user_unit', {_line(
+        "user_id", f"case when renamed then {_SECOND} else {_FIRST} end", "unit_name",
+        "case when renamed then 20030906 else 20030905 end", "null", "true", "'1.0000'",
+    )} from paired where not (renamed and gone)
+    union all
+    select 'fact_recipient', {_recipient_line(_FIRST, _FIRST)} from told g
+    union all
+    select 'fact_recipient', {_recipient_line(_SECOND, _SECOND)} from told g where moved
+    union all
+    select 'fact_enrollment', {_line(
+        "e.enrollment_id", "e.user_id", f"case when moved then {_SECOND} else {_FIRST} end",
+        "e.campaign_id", "c.campaign_type", "e.status", _date_key_sql("e.enrollment_date"), "null",
+        _FIRST,
+    )} from enrolled e join ox_typed_plain c on c.campaign_id = e.campaign_id
+    union all
+    select 'fact_snapshot', {_line("user_id", "version", "day", "phish_prone_pct", "score", "load")}
+    from (select user_id, {_FIRST} as version, 20030905 as day, {_FIRST} as load from people
+        union all
+        select user_id, case when renamed then {_SECOND} else {_FIRST} end, 20030906, {_SECOND}
+        from people where not gone)
+      join (select user_id, phish_prone_pct from fx_users) using (user_id)
+      left join (select user_id, max(current_risk_score) as score from fx_user_detail
+        group by user_id) using (user_id)
+    union all
+    select 'source_status', {_line(
+        "coalesce(source, event_type)", "case when source is not null then '2003-09-06' end",
+        "source is not null",
+    )} from (select distinct event_type from events) left join (values ('view', 'Vendor'),
+      ('click', 'HR'), ('signup', 'Master'), ('purchase', 'DWH')) as n(event_type, source)
+      using (event_type)"""
+
+
 @query(
     "end_to_end_load",
-    """
+    f"""
     with people as (select user_id, lower(email) as email, nation < 5 as renamed,
         segment = 'FURNITURE' as gone from fx_users),
     hr as (select lower(s.email) as email, n.unit_name from fx_hr_staff s
@@ -405,7 +492,13 @@ def load_twice(t: Tables) -> MartStore:
     enrolled as (select e.*, p.renamed and not p.gone as moved from fx_enrollments e
         join people p on p.user_id = e.user_id
         join fx_training t on t.campaign_id = e.campaign_id and t.status = 'In Progress'
-        join ox_typed_plain c on c.campaign_id = e.campaign_id)
+        join ox_typed_plain c on c.campaign_id = e.campaign_id),
+    told as (select g.*, t.campaign_id, t.started_at, t.duration_days
+      from got g join fx_pst t on t.pst_id = g.pst_id),
+    contents as ({_CONTENTS}),
+    prints as (select name, cast(sum(cast('0x' || substr(md5(line), 1, 15) as bigint))
+      as decimal(38,0)) as fingerprint from contents group by name),
+    counts as (
     select 'dim_user' as name, count(*) + count(case when renamed and not gone then 1 end)
       as n_rows, count(*) as n_current from people
     union all
@@ -433,10 +526,11 @@ def load_twice(t: Tables) -> MartStore:
       count(phish_prone_pct) + count(case when not gone then phish_prone_pct end)
       from people join fx_users using (user_id)
     union all
-    select 'source_status', count(distinct event_type), 4 from events""",
+    select 'source_status', count(distinct event_type), 4 from events)
+    select counts.*, fingerprint from counts join prints using (name)""",
 )
 def end_to_end_load(t: Tables) -> DataFrame:
-    """Row counts of the mart after two loads.
+    """Row counts and fingerprints of the mart after two loads.
 
     ``n_current`` counts current rows of dimensions and bridge; for the facts it
     counts clicks, enrolments moved to a new user row, and known percentages.
@@ -471,4 +565,4 @@ def end_to_end_load(t: Tables) -> DataFrame:
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)
-    return result
+    return result.join(fingerprints(store), "name")

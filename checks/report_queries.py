@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from awareness_mart.functions import date_key, flag
+from awareness_mart.functions import date_key, flag, person_key
 from awareness_mart.operators.calendar import calendar_over
-from awareness_mart.plans import dashboards, reports
+from awareness_mart.plans import dashboards, history, reports
 from awareness_mart.plans.campaigns import typed_training
 from awareness_mart.plans.facts import presence_flags
 
+from .fact_queries import _MEANS_SQL, _members
 from .fixtures import Tables
 from .registry import COMPLETED, HELPERS, query
 
@@ -212,6 +213,48 @@ def _register_dashboards() -> None:
 _register_dashboards()
 
 
+# Monthly averages from the facts
+_UNTIL = 19981231
+
+
+def _share_sql(part: str, whole: str) -> str:
+    return f"coalesce(({part} * 2000000 + {whole}) // nullif(2 * {whole}, 0), 0) * 0.0001"
+
+
+HELPERS["ox_month"] = f"""
+    with snap as (select * from fx_snapshots where snapshot_date <= date '1998-12-31'
+      qualify row_number() over (partition by user_id order by snapshot_date desc) = 1),
+    sums as (select user_key, sum(delivered)::bigint as delivered, sum(reported)::bigint as reported,
+        sum(tr)::bigint as tr, sum(tr_done)::bigint as tr_done, sum(po)::bigint as po,
+        sum(po_done)::bigint as po_done
+      from ox_measures where day <= date '1998-12-31' group by user_key)
+    select u.user_id as id, h.unit, s.phish_prone_pct as phish_prone_percentage,
+      s.current_risk_score, {_share_sql("reported", "delivered")} as percentage_response,
+      {_share_sql("tr_done", "tr")} as percentage_viewed,
+      {_share_sql("po_done", "po")} as percentage_policies
+    from fx_users u join ox_hr h on h.email = lower(u.email) join fx_units n on n.unit_code = h.unit
+      left join snap s on s.user_id = u.user_id left join sums m on m.user_key = u.user_id"""
+
+
+@query(
+    "history_from_facts",
+    f"""
+    select unit, false as is_total, count(*) as users, {_MEANS_SQL} from ox_month group by unit
+    union all
+    select null, true, count(*), {_MEANS_SQL} from ox_month having count(*) > 0""",
+)
+def history_from_facts(t: Tables) -> DataFrame:
+    """The monthly averages with measures taken from the facts as of the end of 1998."""
+    people = t("fx_users").select(
+        F.col("user_id").alias("user_key"),
+        F.col("user_id").alias("id"),
+        person_key(F.col("email")).alias("ehash"),
+        F.lit(True).alias("is_current"),
+    )
+    _, hr, units = _members(t)
+    return history.unit_rollup(history.person_measures(_facts(t), people, _UNTIL), hr, units)
+
+
 @query(
     "running_pct",
     """

@@ -8,7 +8,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from awareness_mart.plans.load import run_hr, run_staging, stage_masters
+from awareness_mart.plans.fingerprint import fingerprints
+from awareness_mart.plans.load import run_hr, run_monthly, run_staging, stage_masters
 from awareness_mart.plans.monitoring import load_status
 from awareness_mart.plans.views import listing
 from awareness_mart.schemas import FACT_BUCKETS, TABLES
@@ -150,3 +151,39 @@ def test_staging_reports_counts_rejects_and_quota(spark, tmp_path, rows):
     assert ("INFO", "3 of 100 calls") in bands()
     assert [r.fetched_today for r in load_status(store).collect()] == [3]
     assert store.read("load_counts").count() == 24
+
+
+def test_history_comes_from_the_mart(mart):
+    store = mart.run(DAY)
+    run_monthly(store, DAY, "Passed")
+    units = {r.unit: [float(x) for x in r[2:]] for r in store.read("history_units").collect()}
+    assert units == {"Intern": [2.25, 15, 50, 50, 50], "Business": [4.5, 30, 0, 0, 0]}
+    total = store.read("history_total").collect()
+    assert [(r[0], *map(float, r[1:])) for r in total] == [(date(2024, 3, 1), 3, 20, 33.33, 33.33, 33.33)]
+    # a new e-mail gives a person a second version; both versions' facts are the person's
+    mart.feeds["users"][1]["email"] = "new@x.test"
+    mart.staff[1] = "Business"
+    store = mart.run(datetime(2024, 4, 2, 2))
+    run_monthly(store, datetime(2024, 4, 2, 2), "Passed")
+    found = {(r.date.month, r.unit): [float(x) for x in r[2:]] for r in store.read("history_units").collect()}
+    assert found[3, "Intern"] == units["Intern"] and found[4, "Business"] == [3.0, 20, 0, 50, 50]
+
+
+def test_fingerprints_see_one_wrong_value(mart):
+    store = mart.run(DAY)
+    before = {r.name: r.fingerprint for r in fingerprints(store).collect()}
+    assert before["fact_recipient"] and before["dim_user"]
+    wrong = [
+        ("fact_recipient", "template_key", F.lit(-1)),
+        ("fact_recipient", "started_date_key", F.lit(20240302)),
+        ("fact_snapshot", "current_risk_score", F.col("current_risk_score") + 1),
+        ("fact_enrollment", "status", F.lit("x")),
+    ]
+    for table, column, value in wrong:
+        rows, key = store.parts(table), TABLES[table].names[0]
+        one = rows.agg(F.min(key)).first()[0]
+        store.replace_parts(table, rows.withColumn(column, F.when(F.col(key) == one, value).otherwise(F.col(column))))
+        store.publish()
+        after = {r.name: r.fingerprint for r in fingerprints(store).collect()}
+        assert {n for n in after if after[n] != before[n]} == {table}, column
+        before = after
