@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.store import MartStore
-from .audit import domain, duplicates, orphans
 
 # Primary and unique keys.
 KEYS: dict[str, list[list[str]]] = {
@@ -101,37 +100,70 @@ REFERENCES: dict[str, dict[str, tuple[str, str]]] = {
 ALLOWED = {"dim_campaign": {"campaign_type": ["training", "phishing", "policy"]}}
 
 
+def _value(rows: DataFrame, columns: list[str]) -> Column:
+    """The values of a key as one text, NULL as a value of its own."""
+    kinds = dict(rows.dtypes)
+    texts = [F.hex(c) if kinds[c] == "binary" else F.col(c).cast("string") for c in columns]
+    return F.concat_ws("\x1f", *[F.coalesce(t, F.lit("\x00")) for t in texts])
+
+
+def _entries(table: str, rows: DataFrame, given: set[str]) -> DataFrame:
+    """What one scan of a table tells: its key values, what its rows refer to, its faults."""
+    entries = []
+
+    def add(kind: str, problem: str, label: str, value: Column, when: Column | None = None) -> None:
+        entry = F.struct(
+            F.lit(kind).alias("kind"),
+            F.lit(problem).alias("problem"),
+            F.lit(label).alias("label"),
+            value.alias("value"),
+        )
+        entries.append(entry if when is None else F.when(when, entry))
+
+    keys = KEYS.get(table, [])
+    for key in keys:
+        names = ", ".join(key)
+        add("key", f"{names} repeated", f"{table}.{names}", _value(rows, key))
+    required = dict.fromkeys([c for key in keys for c in key] + REQUIRED.get(table, []))
+    for column in required:
+        problem = f"{column} missing"
+        add("fault", problem, f"{table}: {problem}", F.lit(""), F.col(column).isNull())
+    for column, values in ALLOWED.get(table, {}).items():
+        problem = f"{column} not allowed"
+        add("fault", problem, f"{table}: {problem}", F.lit(""), ~F.col(column).isin(values))
+    for column, (parent, parent_key) in REFERENCES.get(table, {}).items():
+        if parent in given:
+            problem, label = f"{column} not in {parent}", f"{parent}.{parent_key}"
+            add("reference", problem, label, _value(rows, [column]), F.col(column).isNotNull())
+    told = rows.select(F.explode(F.array_compact(F.array(*entries))).alias("entry"))
+    return told.select(F.lit(table).alias("table_name"), "entry.*")
+
+
 def violations(tables: dict[str, DataFrame]) -> DataFrame:
     """(table_name, problem, n_rows) per violated constraint of the given tables.
 
     A repeated key counts all its rows. NULL refers to nothing. A reference is checked
-    if both tables are given. Rows are counted per key before any join.
+    if both tables are given. Every table is scanned once: its keys, references and faults
+    are summed per value in each task, and a value's references meet its key in one shuffle.
     """
-    parts = []
-
-    def add(table: str, found: DataFrame, problem, n_rows) -> None:
-        parts.append(
-            found.select(
-                F.lit(table).alias("table_name"),
-                problem.alias("problem"),
-                F.coalesce(n_rows, F.lit(0)).alias("n_rows"),
-            )
-        )
-
-    for table, rows in tables.items():
-        keys = KEYS.get(table, [])
-        for key in keys:
-            copies = duplicates(rows, key).agg(F.sum("copies").alias("n"))
-            add(table, copies, F.lit(f"{', '.join(key)} repeated"), F.col("n"))
-        required = dict.fromkeys([c for key in keys for c in key] + REQUIRED.get(table, []))
-        found = domain(rows, ALLOWED.get(table), list(required))
-        add(table, found, F.col("problem"), F.col("n_rows"))
-        for column, (parent, parent_key) in REFERENCES.get(table, {}).items():
-            if parent in tables:
-                lost = orphans(rows, column, tables[parent], parent_key)
-                lost = lost.agg(F.sum("n_rows").alias("n"))
-                add(table, lost, F.lit(f"{column} not in {parent}"), F.col("n"))
-    return reduce(DataFrame.unionByName, parts).filter("n_rows > 0")
+    told = reduce(
+        DataFrame.unionByName, [_entries(table, rows, set(tables)) for table, rows in tables.items()]
+    )
+    counted = told.groupBy("label", "value", "table_name", "problem", "kind").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    # A value has at most one sum per constraint that names its key.
+    met = counted.groupBy("label", "value").agg(
+        F.max(F.col("kind") == "key").alias("known"),
+        F.collect_list(F.struct("table_name", "problem", "kind", "n")).alias("sums"),
+    )
+    bad = (
+        (F.col("kind") == "fault")
+        | ((F.col("kind") == "key") & (F.col("n") > 1))
+        | ((F.col("kind") == "reference") & ~F.col("known"))
+    )
+    found = met.select("known", F.inline("sums")).filter(bad)
+    return found.groupBy("table_name", "problem").agg(F.sum("n").alias("n_rows"))
 
 
 def audit_mart(store: MartStore) -> DataFrame:

@@ -30,6 +30,7 @@ from ..sources.masters import stage_phishing_campaigns, stage_training_names, st
 from ..sources.store import MartStore, written
 from . import dashboards, facts
 from .campaigns import campaign_source
+from .constraints import audit_mart
 from .history import merge_total_history, merge_unit_history, person_measures, unit_rollup
 from .monitoring import all_ready, load_status, quota_line
 from .reports import current_results
@@ -315,3 +316,14 @@ def run_load(
 
     _finish(store, MART, run_ts)
     store.publish()
+
+
+def run_audit(store: MartStore, run_ts: datetime) -> int:
+    """Check the declared constraints of all tables and log what is violated; how many are."""
+    store.reload()
+    found = audit_mart(store).orderBy("table_name", "problem").collect()
+    lines = [f"{r['table_name']}: {r['problem']}: {r['n_rows']} rows" for r in found]
+    line = [(run_ts, MART, "ERR" if lines else "INFO", "; ".join(lines) or "no constraint is violated")]
+    store.append("log", store.spark.createDataFrame(line, TABLES["log"]))
+    store.publish()
+    return len(lines)

@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from awareness_mart.plans.fingerprint import fingerprints
-from awareness_mart.plans.load import run_hr, run_monthly, run_staging, stage_masters
+from awareness_mart.plans.constraints import KEYS, audit_mart
+from awareness_mart.plans.load import run_audit, run_hr, run_monthly, run_staging, stage_masters
 from awareness_mart.plans.monitoring import load_status
 from awareness_mart.plans.views import listing
 from awareness_mart.schemas import FACT_BUCKETS, TABLES
@@ -187,3 +188,20 @@ def test_fingerprints_see_one_wrong_value(mart):
         after = {r.name: r.fingerprint for r in fingerprints(store).collect()}
         assert {n for n in after if after[n] != before[n]} == {table}, column
         before = after
+
+
+def test_the_audit_is_a_job_with_a_scan_per_table(mart, rows):
+    store = mart.run(DAY)
+    assert run_audit(store, datetime(2024, 3, 10, 3)) == 0
+    with contextlib.redirect_stdout(io.StringIO()) as plan:
+        audit_mart(store).explain()
+    stored = [t for t in KEYS if store.versions(t)]
+    assert plan.getvalue().count("FileScan parquet") == len(stored) > 20
+    parts = store.parts("fact_recipient")
+    store.replace_parts("fact_recipient", parts.withColumn("template_key", F.lit(-5)))
+    store.publish()
+    assert run_audit(store, datetime(2024, 3, 10, 4)) == 1
+    assert rows(store.read("log").filter("source = 'DWH'"), "severity", "line") == [
+        ("ERR", "fact_recipient: template_key not in dim_template: 2 rows"),
+        ("INFO", "no constraint is violated"),
+    ]
