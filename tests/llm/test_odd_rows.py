@@ -2,6 +2,7 @@
 
 import random
 import time
+from collections import Counter
 
 import pytest
 from compare import compare, duck
@@ -126,3 +127,43 @@ def test_stages_take_odd_rows(spark, name, stage):
         assert text.text.startswith("[SECRET] u0") and text.n_chars == len(text.text)
         assert got.where("doc_id = 2").first().n_chars is None
     assert stage(spark, docs.limit(0), sf).collect() == []
+
+
+def test_language_decisions_by_brute_force(spark):
+    """Masks, chance and decision counted one n-gram at a time."""
+    rng = random.Random(8)
+    alphabets = {"aa": "abcdefgh ", "bb": "efghijkl ", "cc": "abijmnop "}
+    rows = []
+    for k in range(120):
+        lang = rng.choice(list(alphabets))
+        rows.append((k, "".join(rng.choices(alphabets[lang], k=rng.randrange(0, 90))), lang if k % 4 else None))
+    rows += [(200, None, "aa"), (201, "123 ,.", "bb"), (202, "Zz", "cc")]
+    counts = {lang: Counter() for lang in alphabets}
+    for _, text, lang in rows:
+        if lang and text is not None:
+            for a, b in language.positions(text):
+                counts[lang].update(a.tolist())
+                counts[lang].update(b.tolist())
+    share = {x: {p: n / sum(c.values()) for p, n in c.items()} for x, c in counts.items()}
+    best = {p: max(s.get(p, 0) for s in share.values()) for s in share.values() for p in s}
+    on = {
+        x: {p for p, v in s.items() if v >= language.LEAST_SHARE and v >= language.AGAINST_BEST * best[p]}
+        for x, s in share.items()
+    }
+
+    def decide(text):
+        if not text or not any(c.isalpha() for c in text):
+            return "und", 0.0
+        pairs = [p for a, b in language.positions(text) for p in zip(a.tolist(), b.tolist())]
+        scores = []
+        for x in sorted(on):
+            chance = (len(on[x]) / language.POSITIONS) ** 2
+            found = sum(a in on[x] and b in on[x] for a, b in pairs) / len(pairs)
+            scores.append((min(max((found - chance) / (1 - chance), 0), 1), x))
+        top = max(s for s, _ in scores)
+        return next(x for s, x in scores if s == top), top
+
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for r in language.predicted(docs, F.lit(False)).collect():
+        lang, score = decide(rows[[i for i, _, _ in rows].index(r.doc_id)][1])
+        assert (r.lang_pred, r.score) == (lang, pytest.approx(score)), r
