@@ -38,6 +38,14 @@ REQUIRED: dict[str, list[str]] = {
 }
 
 
+# Columns that enter the row hash, of the feeds whose flattened rows still hold all of them.
+HASHED: dict[str, list[str]] = {
+    "tests": ["campaign_id", "pst_id", "name", "started_at", "duration_days"],
+    "recipients": ["pst_id", "user_id", *RECIPIENT_EVENTS],
+    "enrollments": ["enrollment_id", "user_id", "enrollment_date", "status"],
+}
+
+
 _DAMAGED = "_corrupt_record"
 
 
@@ -89,9 +97,12 @@ def _midnight(text: Column) -> Column:
     return lenient_date(text).cast("timestamp_ntz")
 
 
-def _stamped(df: DataFrame, run_ts: datetime, hashed: list[str]) -> DataFrame:
-    row_hash = row_hash_plain(*[F.col(c) for c in hashed])
-    return df.withColumns({"load_ts": ntz(run_ts), "hash_row": row_hash})
+def _row_hash(feed: str) -> Column:
+    return row_hash_plain(*[F.col(c) for c in HASHED[feed]])
+
+
+def _stamped(df: DataFrame, run_ts: datetime, feed: str) -> DataFrame:
+    return df.withColumns({"load_ts": ntz(run_ts), "hash_row": _row_hash(feed)})
 
 
 def flatten_users(raw: DataFrame, run_ts: datetime) -> DataFrame:
@@ -128,7 +139,7 @@ def flatten_tests(raw: DataFrame, run_ts: datetime) -> DataFrame:
         F.col("duration").alias("duration_days"),
         *_raw(raw),
     )
-    return _stamped(flat, run_ts, ["campaign_id", "pst_id", "name", "started_at", "duration_days"])
+    return _stamped(flat, run_ts, "tests")
 
 
 def flatten_recipients(raw: DataFrame, run_ts: datetime) -> DataFrame:
@@ -141,7 +152,7 @@ def flatten_recipients(raw: DataFrame, run_ts: datetime) -> DataFrame:
         *[_midnight(F.col(landed[c])).alias(c) for c in RECIPIENT_EVENTS],
         *_raw(raw),
     )
-    return _stamped(flat, run_ts, ["pst_id", "user_id", *RECIPIENT_EVENTS])
+    return _stamped(flat, run_ts, "recipients")
 
 
 def flatten_training(raw: DataFrame, run_ts: datetime) -> DataFrame:
@@ -167,7 +178,7 @@ def flatten_enrollments(raw: DataFrame, run_ts: datetime) -> DataFrame:
         "status",
         *_raw(raw),
     )
-    return _stamped(flat, run_ts, ["enrollment_id", "user_id", "enrollment_date", "status"])
+    return _stamped(flat, run_ts, "enrollments")
 
 
 FLATTEN: dict[str, Callable[[DataFrame, datetime], DataFrame]] = {
@@ -229,6 +240,19 @@ def children_of(child: DataFrame, parents: DataFrame, key: str) -> DataFrame:
     return child.join(parents.select(key), key, "left_semi")
 
 
+def hashed_after(
+    child: DataFrame, feed: str, join: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """``join`` of flattened rows, with the row hash made behind it where the rows allow that.
+
+    The join shuffles the rows, and 32 bytes of each that no codec shrinks stay out of it.
+    """
+    if feed not in HASHED or "hash_row" not in child.columns:
+        return join(child)
+    joined = join(child.drop("hash_row"))
+    return joined.withColumn("hash_row", _row_hash(feed)).select(*child.columns)
+
+
 def staged_rows(flat: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """What is staged of each flattened feed: accepted rows, children of staged parents only."""
     staged: dict[str, DataFrame] = {}
@@ -236,5 +260,8 @@ def staged_rows(flat: dict[str, DataFrame]) -> dict[str, DataFrame]:
         staged[feed] = accepted(flat[feed], feed)
         if feed in PARENTS:
             parent, key = PARENTS[feed]
-            staged[feed] = children_of(staged[feed], staged[parent], key)
+            known = staged[parent]
+            staged[feed] = hashed_after(
+                staged[feed], feed, lambda rows, known=known, key=key: children_of(rows, known, key)
+            )
     return staged

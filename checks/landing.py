@@ -101,12 +101,17 @@ def enrollments(t: Tables) -> DataFrame:
     )
 
 
+# Landed records are text that repeats the same names and dates: compressed, as an HTTP client
+# receives them. Files of so many records are what one task reads.
+_FILES = {"compression": "gzip", "maxRecordsPerFile": 500_000}
+
+
 def land_damaged(t: Tables, rows: DataFrame, damaged: Column) -> str:
     """Write a feed as JSON lines of which some are cut off in the middle."""
     path = scratch_dir(t.spark)
     line = F.to_json(F.struct(*rows.columns))
     cut = F.when(damaged, F.expr("left(line, length(line) - 3)")).otherwise(F.col("line"))
-    rows.withColumn("line", line).select(cut.alias("value")).write.text(path)
+    rows.withColumn("line", line).select(cut.alias("value")).write.options(**_FILES).text(path)
     return path
 
 
@@ -118,7 +123,7 @@ def land(t: Tables, rows: DataFrame, by: str | None = None) -> str:
     """
     path = scratch_dir(t.spark)
     if by:
-        rows.hint("rebalance", by).write.partitionBy(by).json(path)
+        rows.hint("rebalance", by).write.options(**_FILES).partitionBy(by).json(path)
     else:
-        rows.write.json(path)
+        rows.write.options(**_FILES).json(path)
     return path

@@ -97,7 +97,7 @@ def _staged(t: Tables, feed: str, raw: DataFrame, by: str | None = None) -> Data
 def _of_parents(rows: DataFrame, feed: str, parents: DataFrame) -> DataFrame:
     parent, key = feeds.PARENTS[feed]
     staged = feeds.accepted(feeds.FLATTEN[parent](parents, RUN_TS), parent)
-    return feeds.children_of(rows, staged, key)
+    return feeds.hashed_after(rows, feed, lambda child: feeds.children_of(child, staged, key))
 
 
 @query(
