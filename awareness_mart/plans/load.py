@@ -19,6 +19,7 @@ from ..sources.feeds import (
     FLATTEN,
     IN_PROGRESS,
     PARENTS,
+    hashed_after,
     once_per_key,
     only_active,
     read_records,
@@ -70,7 +71,11 @@ def _stage(store: MartStore, feed: str, rows: DataFrame, parents: dict[str, Data
     if feed in PARENTS:
         parent, key = PARENTS[feed]
         known = parents[parent].select(key, F.lit(True).alias("_known")).distinct()
-        rows = rows.join(known, key, "left").filter(bad | F.col("_known")).drop("_known")
+
+        def of_staged(child: DataFrame) -> DataFrame:
+            return child.join(known, key, "left").filter(bad | F.col("_known")).drop("_known")
+
+        rows = hashed_after(rows, feed, of_staged)
     copies = F.lit(1).cast("long")
     if feed == "user_detail":
         rows, copies = once_per_key(rows, ["user_id", "load_ts"], bad), F.col("_copies")

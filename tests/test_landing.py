@@ -5,7 +5,10 @@ from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
+from awareness_mart.plans.load import run_staging
+from awareness_mart.schemas import TABLES
 from awareness_mart.sources import feeds
+from awareness_mart.sources.store import MartStore
 from checks import landing
 from checks.registry import RUN_TS
 
@@ -46,3 +49,29 @@ def test_the_row_hash_is_made_behind_the_join_with_parents(spark):
     assert staged.count() == 500
     plan = optimized(staged)
     assert plan.index("sha2") < plan.index("Join LeftSemi") and plan.count("sha2") == 1
+
+
+def test_the_staging_job_hashes_behind_its_join(spark, tmp_path, monkeypatch):
+    seen = {}
+    keep = MartStore.write_checked
+
+    def spy(self, table, rows, *rest):
+        seen[table] = optimized(rows)
+        return keep(self, table, rows, *rest)
+
+    monkeypatch.setattr(MartStore, "write_checked", spy)
+    t, tests = SimpleNamespace(spark=spark), [(5, 1), (5, 2), (None, 3)]
+    landed = {f: landing.land(t, spark.createDataFrame([], feeds.FEEDS[f])) for f in feeds.FEEDS}
+    landed["tests"] = landing.land(t, spark.createDataFrame(tests, "campaign_id long, pst_id long"))
+    landed["recipients"] = landing.land(t, recipients(spark))
+    store = MartStore(spark, str(tmp_path), TABLES)
+    limits = [("Vendor", None, 100, 0, 75, 90, False)]
+    store.write("source_status", spark.createDataFrame(limits, TABLES["source_status"]))
+    store.publish()
+    run_staging(store, landed, RUN_TS)
+    plan = seen["stg_recipient"]
+    assert plan.index("sha2") < plan.index("Join")
+    flat = feeds.flatten_recipients(recipients(spark).filter("pst_id in (1, 2)"), RUN_TS)
+    staged = store.read("stg_recipient")
+    assert staged.count() == flat.count() == 100
+    assert staged.select(flat.columns).exceptAll(flat).count() == 0
