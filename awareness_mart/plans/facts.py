@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import flag, ntz
@@ -25,6 +26,25 @@ def presence_flags(recipients: DataFrame) -> DataFrame:
     )
 
 
+# The flags of a recipient as bits of one number, so that joins and merges carry one column.
+FLAGS = "_flags"
+
+
+def pack_flags(recipients: DataFrame) -> DataFrame:
+    """Event times to one column ``_flags``, a bit per event; the other columns stay."""
+    events = list(RECIPIENT_FLAGS.values())
+    bits = [F.when(F.col(e).isNotNull(), 1 << i).otherwise(0) for i, e in enumerate(events)]
+    others = [c for c in recipients.columns if c not in events]
+    return recipients.select(*others, reduce(lambda a, b: a.bitwiseOR(b), bits).alias(FLAGS))
+
+
+def unpack_flags() -> dict[str, Column]:
+    """The 0/1 flags of ``_flags``, by name."""
+    return {
+        name: F.getbit(F.col(FLAGS), F.lit(i)).cast("int") for i, name in enumerate(RECIPIENT_FLAGS)
+    }
+
+
 def describe_tests(tests: DataFrame, dim_campaign: DataFrame, dates: DataFrame) -> DataFrame:
     """What the fact takes from a test: campaign key, start date key, duration.
 
@@ -46,7 +66,17 @@ def describe_tests(tests: DataFrame, dim_campaign: DataFrame, dates: DataFrame)
 def recipient_rows(
     recipients: DataFrame, described: DataFrame, dim_user: DataFrame, dim_template: DataFrame
 ) -> DataFrame:
-    """Recipients with their dimension keys, from the tests of ``describe_tests``.
+    """Recipients with their dimension keys, from the tests of ``describe_tests``."""
+    packed = packed_recipient_rows(recipients, described, dim_user, dim_template)
+    flags = [c.alias(name) for name, c in unpack_flags().items()]
+    at = packed.columns.index(FLAGS)
+    return packed.select(*packed.columns[:at], *flags, *packed.columns[at + 1 :])
+
+
+def packed_recipient_rows(
+    recipients: DataFrame, described: DataFrame, dim_user: DataFrame, dim_template: DataFrame
+) -> DataFrame:
+    """``recipient_rows`` with the flags still in one column.
 
     The tests come with campaign and date: those are small next to the
     recipients, which so take part in three joins instead of five. Unknown tests
@@ -54,9 +84,7 @@ def recipient_rows(
     """
     users = dim_user.filter("is_current").select("user_id", "user_key")
     templates = dim_template.filter("is_current").select("template_id", "template_key")
-    flags = presence_flags(recipients).select(
-        "pst_id", "user_id", "template_id", *RECIPIENT_FLAGS, "load_ts"
-    )
+    flags = pack_flags(recipients).select("pst_id", "user_id", "template_id", FLAGS, "load_ts")
     return (
         flags.join(described, "pst_id")
         .join(users, "user_id")
@@ -66,7 +94,7 @@ def recipient_rows(
             "campaign_key",
             "template_key",
             "pst_id",
-            *RECIPIENT_FLAGS,
+            FLAGS,
             "started_date_key",
             "duration_seconds",
             "load_ts",
@@ -89,14 +117,21 @@ ENROLLMENT_UPDATES = ["user_key", "campaign_key", "status", "enrollment_date_key
 
 
 def merge_recipients(fact: DataFrame, rows: DataFrame) -> DataFrame:
-    """The first load time of a row stays; the result status is never filled."""
+    """The first load time of a row stays; the result status is never filled.
+
+    ``rows`` are those of ``recipient_rows`` or ``packed_recipient_rows``.
+    """
+    packed = FLAGS in rows.columns
+    unpacked = unpack_flags() if packed else {}
     return upsert(
         fact,
         rows,
         keys=RECIPIENT_KEYS,
-        take_source=RECIPIENT_UPDATES,
+        take_source=[c for c in RECIPIENT_UPDATES if c not in unpacked],
         keep_target=["load_ts"],
         insert_defaults={"result_status": F.lit(None).cast("string")},
+        packed=FLAGS if packed else None,
+        unpacked=unpacked,
     )
 
 

@@ -89,11 +89,11 @@ def _dimensions(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
     return users, campaigns, templates
 
 
-def _recipient_rows(t: Tables) -> DataFrame:
+def _recipient_rows(t: Tables, build=facts.recipient_rows) -> DataFrame:
     users, campaigns, templates = _dimensions(t)
     recipients = t("fx_recipients").withColumn("load_ts", F.lit(str(RUN_TS)).cast("timestamp_ntz"))
     tests = facts.describe_tests(t("fx_pst"), campaigns, dates(t))
-    return facts.recipient_rows(recipients, tests, users, templates)
+    return build(recipients, tests, users, templates)
 
 
 HELPERS["ox_recipient_rows"] = f"""
@@ -142,7 +142,7 @@ def merge_recipient(t: Tables) -> DataFrame:
         F.lit(None).cast("long").alias("duration_seconds"),
         F.col("loaded").cast("timestamp_ntz").alias("load_ts"),
     )
-    return facts.merge_recipients(stored, _recipient_rows(t))
+    return facts.merge_recipients(stored, _recipient_rows(t, facts.packed_recipient_rows))
 
 
 def _enrollment_dimensions(t: Tables) -> tuple[DataFrame, DataFrame]:
