@@ -144,16 +144,17 @@ def unit_dashboard(
     A row counts for the units its user belongs to on that day, from the start
     of the membership up to but not including its end.
 
-    The facts are stacked and summed per user and day before the one membership
-    join, so a user brings one row per day into it and one busy user cannot fill
-    a task.
+    Each fact is summed per user and day before the one membership join, so a user
+    brings one row per fact and day into it and one busy user cannot fill a task. The
+    facts are stacked only then: a sum of a fact's own measures takes half the memory of
+    one that carries those of all three.
     """
     unit = "Unit_naam"
     valid = (F.col("start_date_key") <= F.col("date_key")) & (
         F.col("end_date_key").isNull() | (F.col("date_key") < F.col("end_date_key"))
     )
     spans = membership.select("user_key", unit, "start_date_key", "end_date_key")
-    person_days = _sum_by(_stack(facts), ["user_key", "date_key"])
+    person_days = _stack(_sum_by(rows, ["user_key", "date_key"]) for rows in facts)
     members = person_days.join(spans, "user_key").filter(valid)
     daily = _sum_by(members.drop("start_date_key", "end_date_key"), [unit, "date_key"])
     return _present(_with_periods(daily, dates, grain, [unit]), grain, [unit])
