@@ -24,8 +24,10 @@ def membership_pairs(
     """
     current_users = users.filter("is_current").select("user_key", "ehash")
     current_units = units.filter("is_current").select("unit_key", "unit_code")
+    # People share an e-mail in some extracts: each unit of one counts once before the joins.
+    members = hr.select("ehash", "unit").distinct()
     return (
-        hr.join(current_units, normalize(F.col("unit")) == normalize(F.col("unit_code")))
+        members.join(current_units, normalize(F.col("unit")) == normalize(F.col("unit_code")))
         .join(current_users, "ehash")
         .select(*PAIR)
         .distinct()

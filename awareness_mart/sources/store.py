@@ -35,6 +35,8 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..schemas import PARTITIONED
 
+# Zstandard files are smaller than those of Spark's default codec.
+_FILES = {"compression": "zstd"}
 _LOG = "seq BIGINT, name STRING, version STRING, keeps_history BOOLEAN"
 _VERSION, _SLICE = StructField("version", StringType()), StructField("slice", StringType())
 
@@ -61,7 +63,7 @@ def written(df: DataFrame) -> DataFrame:
     executor costs a file read instead of the whole lineage.
     """
     path = scratch_dir(df.sparkSession)
-    df.write.parquet(path)
+    df.write.options(**_FILES).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -123,10 +125,11 @@ class MartStore:
         self._remember(table)
         path = f"{self.root}/{table}/version={self.run}"
         if isinstance(history, bool):
-            rows.write.parquet(f"{path}/slice={'history' if history else 'current'}")
+            rows.write.options(**_FILES).parquet(f"{path}/slice={'history' if history else 'current'}")
         else:
             part = F.when(history, F.lit("history")).otherwise(F.lit("current"))
-            rows.withColumn("slice", part).write.partitionBy("slice").parquet(path)
+            parts = rows.withColumn("slice", part).write.options(**_FILES)
+            parts.partitionBy("slice").parquet(path)
         self.pending[table] = history is not False
         return self._rows(table)
 
@@ -148,7 +151,9 @@ class MartStore:
             F.when(bad, record).alias("record"),
             copies.alias("copies"),
             part.alias("slice"),
-        ).write.partitionBy("slice").parquet(f"{self.root}/{table}/version={self.run}")
+        ).write.options(**_FILES).partitionBy("slice").parquet(
+            f"{self.root}/{table}/version={self.run}"
+        )
         self.pending[table] = False
         return self._rows(table)
 
@@ -187,7 +192,8 @@ class MartStore:
         self._remember(table)
         layout = self._layout(table)
         typed = rows.select(*[F.col(c).cast(layout[c].dataType).alias(c) for c in (*names, column)])
-        typed.hint("rebalance", column).write.partitionBy(column).parquet(path)
+        parts = typed.hint("rebalance", column).write.options(**_FILES)
+        parts.partitionBy(column).parquet(path)
         self.parts_pending[table] = self.spark.read.schema(layout).parquet(path)
 
     def _layout(self, table: str) -> StructType:
@@ -251,6 +257,7 @@ class MartStore:
         self._log({t: keeps for t, keeps in self.pending.items() if t not in last})
         for table, rows in self.parts_pending.items():
             writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer = writer.options(**_FILES)
             writer.partitionBy(PARTITIONED[table]).parquet(f"{self.root}/{table}")
         self._log({t: True for t in (*self.parts_pending, *last)})
         for table in mine:
