@@ -62,10 +62,14 @@ def load_status(store: MartStore) -> DataFrame:
 def usage_band(
     used: Column, limit: Column, warning_percentage: Column, error_percentage: Column
 ) -> Column:
-    """ERR above the error share of the limit, WARN above the warning share, else INFO."""
+    """ERR above the error share of the limit, WARN above the warning share, else INFO.
+
+    A hundred times a count of 32 bits takes more than 32.
+    """
+    hundredfold, limit = used.cast("long") * 100, limit.cast("long")
     return (
-        F.when(used * 100 > error_percentage * limit, "ERR")
-        .when(used * 100 > warning_percentage * limit, "WARN")
+        F.when(hundredfold > error_percentage * limit, "ERR")
+        .when(hundredfold > warning_percentage * limit, "WARN")
         .otherwise("INFO")
     )
 
