@@ -133,6 +133,50 @@ def scd2_apply(
     return dim.filter("not is_current").select(*after.columns).unionByName(after)
 
 
+def merge_once(
+    target: DataFrame,
+    src: DataFrame,
+    keys: list[str],
+    take_source: list[str],
+    known: str,
+    changed: str,
+    packed: str | None = None,
+    unpacked: dict[str, Column] | None = None,
+) -> DataFrame:
+    """The target's rows with ``take_source`` columns of the source, and the source's other rows.
+
+    ``known`` names a column that tells the first from the second, ``changed`` one that says
+    whether a known row differs from what it was. New rows have the source's columns, the
+    others are NULL. One join, in which both sides are shuffled once; the source key must be
+    unique and not NULL. ``unpacked`` columns follow the source as expressions of its column
+    ``packed``; that column is added to the result, and where it is not NULL they still have
+    to be made from it.
+    """
+    opened, carried = unpacked or {}, [packed] if packed else []
+    given = [c for c in src.columns if c in target.columns and c not in opened]
+    old = target.withColumn(known, F.lit(True)).alias("t")
+    new = unique_or_fail(src.select(*given, *carried), keys).withColumn("_seen", F.lit(True)).alias("s")
+    stored, seen = F.col(f"t.{known}").isNotNull(), F.col("s._seen").isNotNull()
+
+    def value(name: str) -> Column:
+        before = F.col(f"t.{name}")
+        if name in keys:
+            return F.coalesce(before, F.col(f"s.{name}"))
+        if name in opened:
+            return F.when(~seen, before)
+        if name in take_source:
+            return F.when(seen, F.col(f"s.{name}")).otherwise(before)
+        return F.when(stored, before).otherwise(F.col(f"s.{name}")) if name in given else before
+
+    differs = [~F.col(f"t.{c}").eqNullSafe(opened.get(c, F.col(f"s.{c}"))) for c in take_source]
+    return old.join(new, _same_keys("t", "s", keys), "full_outer").select(
+        *[value(c).alias(c) for c in target.columns],
+        *carried,
+        stored.alias(known),
+        (stored & seen & reduce(lambda a, b: a | b, differs)).alias(changed),
+    )
+
+
 def insert_missing(target: DataFrame, src: DataFrame, keys: list[str]) -> DataFrame:
     """Target plus the source rows whose key it lacks; columns only the target has become NULL."""
     return target.unionByName(missing_from(src, target, keys), allowMissingColumns=True)
@@ -185,37 +229,6 @@ def upsert(
     return joined.select(*[value(c).alias(c) for c in target.columns])
 
 
-def update_matching(
-    target: DataFrame,
-    src: DataFrame,
-    keys: list[str],
-    take_source: list[str],
-    changed: str | None = None,
-) -> DataFrame:
-    """The target's rows, with ``take_source`` columns of the source row of the same key.
-
-    ``changed`` names a column that says whether a row differs from what it was.
-
-    One join that carries the wide rows; the target is its kept side, which adaptive
-    execution can split at a hot key. The source key must be unique and not NULL.
-    """
-    new = unique_or_fail(src.select(*keys, *take_source), keys)
-    new = new.withColumn("_seen", F.lit(True)).alias("s")
-    joined = target.alias("t").join(new, _same_keys("t", "s", keys), "left")
-    seen = F.col("s._seen").isNotNull()
-    differs = [~F.col(f"t.{c}").eqNullSafe(F.col(f"s.{c}")) for c in take_source]
-    flags = [(seen & reduce(lambda a, b: a | b, differs)).alias(changed)] if changed else []
-    return joined.select(
-        *[
-            F.when(seen, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
-            if c in take_source
-            else F.col(f"t.{c}")
-            for c in target.columns
-        ],
-        *flags,
-    )
-
-
 def keyed_update(
     target: DataFrame, changes: DataFrame, keys: list[str], columns: list[str]
 ) -> DataFrame:

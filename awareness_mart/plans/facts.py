@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from ..functions import flag, ntz
 from ..operators.calendar import with_date_key
-from ..operators.changes import missing_from, update_matching, upsert
+from ..operators.changes import merge_once, upsert
 from ..operators.latest import latest_per_key
 from ..schemas import RECIPIENT_FLAGS
+from ..sources.store import written
 
 SECONDS_PER_DAY = 86400
 
@@ -79,16 +80,19 @@ def packed_recipient_rows(
     """``recipient_rows`` with the flags still in one column.
 
     The tests come with campaign and date: those are small next to the
-    recipients, which so take part in three joins instead of five. Unknown tests
-    and people drop the row; an unknown template leaves its key NULL.
+    recipients, which so take part in three joins instead of five. They come last, since
+    only they make a row wider. Unknown tests and people drop the row; an unknown
+    template leaves its key NULL.
     """
     users = dim_user.filter("is_current").select("user_id", "user_key")
     templates = dim_template.filter("is_current").select("template_id", "template_key")
     flags = pack_flags(recipients).select("pst_id", "user_id", "template_id", FLAGS, "load_ts")
     return (
-        flags.join(described, "pst_id")
-        .join(users, "user_id")
+        flags.join(users, "user_id")
+        .drop("user_id")
         .join(templates, "template_id", "left")
+        .drop("template_id")
+        .join(described, "pst_id")
         .select(
             "user_key",
             "campaign_key",
@@ -144,19 +148,33 @@ def merged_parts(
 ) -> tuple[DataFrame, DataFrame]:
     """Stored rows after their updates, and the rows to insert, which still lack a key.
 
-    The wide fact takes part in one join; the inserts are found by its match key alone.
-    Columns that the source lacks are NULL in new rows. ``changed`` names a column of the
-    stored rows that says whether they differ from what they were.
+    Both come from one join, whose rows are written: their source is shuffled once. Columns
+    that the source lacks are NULL in new rows. ``changed`` names a column of the stored rows
+    that says whether they differ from what they were. If the rows are those of
+    ``packed_recipient_rows``, the flags are still to be made by ``opened_flags``.
     """
-    new = missing_from(rows, fact, keys)
-    kinds = dict(fact.dtypes)
-    inserts = new.select(
-        *[
-            F.col(c) if c in new.columns else F.lit(None).cast(kinds[c]).alias(c)
-            for c in fact.columns
-        ]
+    packed = FLAGS in rows.columns
+    both = written(
+        merge_once(
+            fact,
+            rows,
+            keys,
+            updates,
+            known="_known",
+            changed=changed or "_differs",
+            packed=FLAGS if packed else None,
+            unpacked=unpack_flags() if packed else None,
+        )
     )
-    return update_matching(fact, rows, keys, updates, changed), inserts
+    columns = [*fact.columns, *([FLAGS] if packed else [])]
+    stored = both.filter("_known").select(*columns, *([changed] if changed else []))
+    return stored, both.filter("not _known").select(*columns)
+
+
+def opened_flags() -> dict[str, Column]:
+    """The flags of merged rows: those of ``_flags`` where the row has it, else the stored ones."""
+    has = F.col(FLAGS).isNotNull()
+    return {name: F.when(has, c).otherwise(F.col(name)) for name, c in unpack_flags().items()}
 
 
 def enrollment_rows(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from calendar import monthrange
 from collections.abc import Callable, Sequence
 from datetime import date, datetime
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ from ..sources.feeds import (
 )
 from ..sources.hr import active_hr_units
 from ..sources.masters import stage_phishing_campaigns, stage_training_names, stage_units
-from ..sources.store import MartStore, written
+from ..sources.store import MartStore, tidy, written
 from . import dashboards, facts
 from .campaigns import campaign_source
 from .constraints import audit_mart
@@ -55,6 +56,17 @@ UNIT_TRACKED = {"unit_naam": ""}
 CAMPAIGN_TRACKED = {"name": "", "status": "", "start_date_key": -1}
 
 
+def tidied(job: Callable) -> Callable:
+    """A job on a store of which only the tables stay on disk."""
+
+    @wraps(job)
+    def run(store: MartStore, *args, **kwargs):
+        with tidy(store.spark):
+            return job(store, *args, **kwargs)
+
+    return run
+
+
 def _finish(store: MartStore, source: str, run_ts: datetime) -> None:
     """Report that a source has finished its run of the day."""
     event = [(source, run_ts.date(), True, run_ts)]
@@ -82,6 +94,7 @@ def _stage(store: MartStore, feed: str, rows: DataFrame, parents: dict[str, Data
     return store.write_checked(FEED_TABLES[feed], rows, F.col("_reason"), F.col("_record"), copies)
 
 
+@tidied
 def run_staging(
     store: MartStore,
     landed: dict[str, str],
@@ -114,6 +127,7 @@ def run_staging(
     store.publish()
 
 
+@tidied
 def run_hr(
     store: MartStore,
     staff: DataFrame,
@@ -185,6 +199,7 @@ def _load_dimension(
     return store.write(table, keyed, history=~F.col("is_current"))
 
 
+@tidied
 def _merge_fact(
     store: MartStore,
     table: str,
@@ -195,8 +210,8 @@ def _merge_fact(
     """Merge mapped rows into the buckets of a fact that they belong to.
 
     Only those buckets are read, and of them only the ones with a new or changed row are
-    replaced; only inserted rows are given keys. The rows are written first: updates and
-    inserts both read them.
+    replaced; only inserted rows are given keys. The rows are written first: which buckets
+    are read depends on them.
     """
     surrogate = store.schemas[table].names[0]
     bucket = F.pmod(F.xxhash64(*keys), F.lit(FACT_BUCKETS)).cast("int").alias("bucket")
@@ -204,12 +219,14 @@ def _merge_fact(
     fact = store.parts(table)
     mine = F.col("bucket").isin(_buckets(staged))
     updated, inserts = facts.merged_parts(
-        fact.filter(mine), staged, keys, updates, changed="_changed"
+        fact.filter(mine), staged.drop("bucket"), keys, updates, changed="_changed"
     )
+    inserts = inserts.withColumn("bucket", bucket)
+    changed = _buckets(updated.filter("_changed").select("bucket").union(inserts.select("bucket")))
+    kept = updated.filter(F.col("bucket").isin(changed)).drop("_changed")
     fresh = assign_keys(inserts, surrogate, keys, highest_key(fact, surrogate))
-    merged = written(updated.unionByName(fresh.withColumn("_changed", F.lit(True))))
-    changed = F.col("bucket").isin(_buckets(merged.filter("_changed")))
-    store.replace_parts(table, merged.filter(changed).drop("_changed"))
+    behind = facts.opened_flags() if facts.FLAGS in rows.columns else {}
+    store.replace_parts(table, kept.unionByName(fresh), behind)
 
 
 def _buckets(rows: DataFrame) -> list[int]:
@@ -227,6 +244,7 @@ def stage_masters(store: MartStore, run_ts: datetime) -> None:
     store.publish()
 
 
+@tidied
 def run_load(
     store: MartStore,
     run_ts: datetime,
@@ -304,7 +322,7 @@ def run_load(
     users = store.read("dim_user", "current")
     campaigns = store.read("dim_campaign", "current")
     tests = written(facts.describe_tests(staged["tests"], campaigns, dates))
-    rows = facts.recipient_rows(staged["recipients"], tests, users, dim_template)
+    rows = facts.packed_recipient_rows(staged["recipients"], tests, users, dim_template)
     _merge_fact(store, "fact_recipient", rows, facts.RECIPIENT_KEYS, facts.RECIPIENT_UPDATES)
     rows = facts.enrollment_rows(staged["enrollments"], users, campaigns, dates)
     _merge_fact(store, "fact_enrollment", rows, facts.ENROLLMENT_KEYS, facts.ENROLLMENT_UPDATES)

@@ -245,11 +245,22 @@ def hashed_after(
 ) -> DataFrame:
     """``join`` of flattened rows, with the row hash made behind it where the rows allow that.
 
-    The join shuffles the rows, and 32 bytes of each that no codec shrinks stay out of it.
+    The join shuffles the rows, and 32 bytes of each that no codec shrinks stay out of it. The
+    events of a recipient, all midnights, pass it as the first day and the days since then.
     """
     if feed not in HASHED or "hash_row" not in child.columns:
         return join(child)
-    joined = join(child.drop("hash_row"))
+    rows = child.drop("hash_row")
+    if feed == "recipients":
+        days = [F.col(e).cast("date") for e in RECIPIENT_EVENTS]
+        rows = rows.withColumn("_first", F.least(*days))
+        gaps = F.array(*[F.date_diff(day, F.col("_first")) for day in days])
+        joined = join(rows.withColumn("_gaps", gaps).drop(*RECIPIENT_EVENTS))
+        for i, event in enumerate(RECIPIENT_EVENTS):
+            day = F.date_add("_first", F.col("_gaps")[i])
+            joined = joined.withColumn(event, day.cast("timestamp_ntz"))
+    else:
+        joined = join(rows)
     return joined.withColumn("hash_row", _row_hash(feed)).select(*child.columns)
 
 

@@ -27,6 +27,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -56,17 +59,56 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/awareness-{uuid.uuid4().hex}"
 
 
+_SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this job has made and nothing reads any more."""
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(conf).delete(folder, True)
+
+
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """A part of a job that leaves only the tables it writes on disk.
+
+    What ``written`` made inside is deleted at the end, so nothing that reads it may be
+    handed out. Shuffle files go when their query ends; else they stay until the driver
+    happens to collect its garbage, which may be after the job.
+    """
+    before = spark.conf.get(_SHUFFLE_CLEANUP, "false")
+    outer = _made.set([])
+    spark.conf.set(_SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_SHUFFLE_CLEANUP, before)
+        for path in _made.get():
+            removed(spark, path)
+        _made.reset(outer)
+
+
 def written(df: DataFrame) -> DataFrame:
     """The same rows, written to the shared scratch folder and read back.
 
     For an intermediate that several steps use: it is computed once, and a lost
-    executor costs a file read instead of the whole lineage.
+    executor costs a file read instead of the whole lineage. Inside ``tidy`` it is
+    deleted at the end.
     """
     path = scratch_dir(df.sparkSession)
+    if (made := _made.get()) is not None:
+        made.append(path)
     df.write.options(**_FILES).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _visible(found: list[tuple[str, bool]]) -> list[str]:
+    """Of a table's versions, oldest first, those that kept history, and the newest."""
+    return [v for v, keeps in found[:-1] if keeps] + [v for v, _ in found[-1:]]
+
+
 class MartStore:
     """One load's view of the tables below ``root``."""
 
@@ -78,6 +120,7 @@ class MartStore:
         self.pending: dict[str, bool] = {}
         self.appended: set[str] = set()
         self.parts_pending: dict[str, DataFrame] = {}
+        self.aside: list[str] = []
         self.seen: dict[str, list[tuple[str, bool]]] = {}
         self.seq = 0
         self._read_log()
@@ -111,7 +154,17 @@ class MartStore:
         found = list(self.published.get(table, []))
         if table in self.pending:
             found.append((self.run, self.pending[table]))
-        return [v for v, keeps in found[:-1] if keeps] + [v for v, _ in found[-1:]]
+        return _visible(found)
+
+    def remove_superseded(self) -> None:
+        """Delete the published versions that no reader sees any more.
+
+        To be called when no other job still reads what it found before the last publication.
+        """
+        self.reload()
+        for table, found in self.published.items():
+            for version in {v for v, _ in found} - {*_visible(found)}:
+                removed(self.spark, f"{self.root}/{table}/version={version}")
 
     def write(self, table: str, rows: DataFrame, history: bool | Column = False) -> DataFrame:
         """Write this load's version and return the table as this load now sees it.
@@ -184,16 +237,24 @@ class MartStore:
         self.write(table, rows, history=True)
         self.appended.add(table)
 
-    def replace_parts(self, table: str, rows: DataFrame) -> None:
-        """Replace the parts of a partitioned table that rows has; put in place by ``publish``."""
+    def replace_parts(
+        self, table: str, rows: DataFrame, behind: dict[str, Column] | None = None
+    ) -> None:
+        """Replace the parts of a partitioned table that rows has; put in place by ``publish``.
+
+        ``behind`` gives columns as expressions that are evaluated behind the shuffle by part.
+        """
         column = PARTITIONED[table]
         names = [c for c in self.schemas[table].names if c != column]
         path = scratch_dir(self.spark)
+        self.aside.append(path)
         self._remember(table)
         layout = self._layout(table)
-        typed = rows.select(*[F.col(c).cast(layout[c].dataType).alias(c) for c in (*names, column)])
-        parts = typed.hint("rebalance", column).write.options(**_FILES)
-        parts.partitionBy(column).parquet(path)
+        values = {c: F.col(c) for c in (*names, column)} | (behind or {})
+        typed = [value.cast(layout[c].dataType).alias(c) for c, value in values.items()]
+        rows.hint("rebalance", column).select(*typed).write.options(**_FILES).partitionBy(
+            column
+        ).parquet(path)
         self.parts_pending[table] = self.spark.read.schema(layout).parquet(path)
 
     def _layout(self, table: str) -> StructType:
@@ -211,7 +272,8 @@ class MartStore:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], layout)
+            # No rows by the plan itself: a join with them shuffles nothing.
+            return self.spark.createDataFrame([], layout).limit(0)
 
     def _remember(self, table: str) -> None:
         """Keep the state of a table that this load has seen first since it last published it."""
@@ -260,6 +322,9 @@ class MartStore:
             writer = writer.options(**_FILES)
             writer.partitionBy(PARTITIONED[table]).parquet(f"{self.root}/{table}")
         self._log({t: True for t in (*self.parts_pending, *last)})
+        for path in self.aside:
+            removed(self.spark, path)
+        self.aside = []
         for table in mine:
             del self.seen[table]
         self.pending, self.parts_pending, self.appended = {}, {}, set()

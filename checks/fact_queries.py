@@ -380,6 +380,7 @@ def load_twice(t: Tables) -> MartStore:
         store = MartStore(t.spark, root, TABLES)
         run_staging(store, landed | {"users": landing.land(t, _load_users(t, second))}, when)
         run_hr(store, t("fx_hr_staff"), t("fx_hr_units"), when)
+        store.remove_superseded()
         run_load(
             store,
             when,

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from awareness_mart.schemas import RECIPIENT_EVENTS
-from awareness_mart.sources.store import scratch_dir
+from awareness_mart.sources.store import scratch_dir, tidy
 
 from .fixtures import Tables
 
@@ -111,7 +111,8 @@ def land_damaged(t: Tables, rows: DataFrame, damaged: Column) -> str:
     path = scratch_dir(t.spark)
     line = F.to_json(F.struct(*rows.columns))
     cut = F.when(damaged, F.expr("left(line, length(line) - 3)")).otherwise(F.col("line"))
-    rows.withColumn("line", line).select(cut.alias("value")).write.options(**_FILES).text(path)
+    with tidy(t.spark):
+        rows.withColumn("line", line).select(cut.alias("value")).write.options(**_FILES).text(path)
     return path
 
 
@@ -122,8 +123,9 @@ def land(t: Tables, rows: DataFrame, by: str | None = None) -> str:
     splits a value that holds much more rows than the others over several files.
     """
     path = scratch_dir(t.spark)
-    if by:
-        rows.hint("rebalance", by).write.options(**_FILES).partitionBy(by).json(path)
-    else:
-        rows.write.options(**_FILES).json(path)
+    with tidy(t.spark):
+        if by:
+            rows.hint("rebalance", by).write.options(**_FILES).partitionBy(by).json(path)
+        else:
+            rows.write.options(**_FILES).json(path)
     return path
